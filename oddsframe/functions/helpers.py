@@ -36,7 +36,14 @@ def flag(cond: Column) -> Column:
     return cond.cast("int")
 
 
-def round_doubles(df: DataFrame, dp: int = OUT_DP) -> DataFrame:
-    """Round every double column (sink-side only, so engines agree on the digits kept)."""
-    return df.select(*[F.round(F.col(f.name), dp).alias(f.name) if f.dataType.typeName() == "double"
+def round6(x) -> Column:
+    """floor(x * 1e6 + 0.5) / 1e6: the same IEEE steps in every engine, so two engines
+    holding the same double print the same digits (unlike decimal HALF_UP rounding)."""
+    return F.floor(c(x) * 1000000.0 + 0.5) / 1000000.0
+
+
+def round_doubles(df: DataFrame) -> DataFrame:
+    """Round every double column at the sink (used where transcendental functions or
+    double sums make the last bits engine-dependent)."""
+    return df.select(*[round6(F.col(f.name)).alias(f.name) if f.dataType.typeName() == "double"
                        else F.col(f.name) for f in df.schema.fields])

@@ -6,14 +6,14 @@ from oddsframe.functions import market
 from oddsframe.operators import matches as M
 from oddsframe.plans.registry import register
 from oddsframe.plans.sqlx import (OU_SUM, P_AWAY_FAIR, P_HOME_FAIR, P_OVER, P_OVER_FAIR, P_UNDER,
-                                  P_UNDER_FAIR, X12_SUM, cols, div, inv, r6)
+                                  P_UNDER_FAIR, X12_SUM, cols, div, inv, r6, rr6)
 from oddsframe.sources.tables import fixture_tables
 
 
-def _market_query(group: str, sql_cols: list[tuple[str, str]]):
+def _market_query(group: str, sql_cols: list[tuple[str, str]], rounded: bool = False):
     body = "SELECT event_id,\n  " + cols(*sql_cols) + "\nFROM mf"
 
-    @register(group, body)
+    @register(group, body, rounded=rounded)
     def q(spark, d):
         mf = M.match_frame(fixture_tables(spark, d))
         return mf.select("event_id", *market.GROUPS[group]())
@@ -111,11 +111,11 @@ _market_query("handicap_features", [
 ])
 
 _market_query("log_features", [
-    (r6(f"ln({div('over_odd', 'under_odd')} + 0.001E0)"), "log_ou_ratio"),
-    (r6("ln(over_odd)"), "log_over_odd"),
-    (r6("ln(under_odd)"), "log_under_odd"),
-    (r6(f"ln({div(f'{P_OVER_FAIR} + 1.0E-6', f'1.0E0 - {P_OVER_FAIR} + 1.0E-6')})"), "logit_over_fair"),
-])
+    (rr6(f"ln({div('over_odd', 'under_odd')} + 0.001E0)"), "log_ou_ratio"),
+    (rr6("ln(over_odd)"), "log_over_odd"),
+    (rr6("ln(under_odd)"), "log_under_odd"),
+    (rr6(f"ln({div(f'{P_OVER_FAIR} + 1.0E-6', f'1.0E0 - {P_OVER_FAIR} + 1.0E-6')})"), "logit_over_fair"),
+], rounded=True)
 
 _market_query("juice", [
     (r6(f"(over_odd * {P_OVER_FAIR})"), "over_juice"),

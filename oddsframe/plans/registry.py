@@ -15,11 +15,16 @@ QUERIES: dict[str, Builder] = {}
 ORACLES: dict[str, str] = {}
 
 
-def register(name: str, body: str | None = None, ctes: tuple[tuple[str, str], ...] = ()):
-    """Register a query; ``body`` is the oracle SELECT (None = rows-only check)."""
+def register(name: str, body: str | None = None, ctes: tuple[tuple[str, str], ...] = (),
+             rounded: bool = False):
+    """Register a query; ``body`` is the oracle SELECT (None = rows-only check).
+
+    ``rounded``: doubles leave the Spark side through ``round6``; the oracle text must
+    apply ``rr6`` to the same columns."""
     def deco(fn: Builder) -> Builder:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return round_doubles(fn(spark, sf_dir))
+            df = fn(spark, sf_dir)
+            return round_doubles(df) if rounded else df
         run.__name__ = fn.__name__
         run.__doc__ = fn.__doc__
         QUERIES[name] = run

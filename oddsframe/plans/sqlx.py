@@ -12,7 +12,14 @@ def div(a: str, b: str) -> str:
 
 
 def r6(x: str) -> str:
-    return f"round({x}, 6)"
+    """No rounding: integer sums divided once and IEEE arithmetic in the same order
+    give identical doubles in both engines."""
+    return x
+
+
+def rr6(x: str) -> str:
+    """Engine-neutral rounding to 6 decimals (matches ``helpers.round6``)."""
+    return f"(floor(({x}) * 1000000.0E0 + 0.5E0) / 1000000.0E0)"
 
 
 def cols(*items: tuple[str, str]) -> str:
