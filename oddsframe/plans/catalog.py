@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from oddsframe.plans import q_core, q_eval, q_history, q_learn, q_market  # noqa: F401
+from oddsframe.plans import q_core, q_eval, q_fit, q_history, q_learn, q_market  # noqa: F401
 from oddsframe.plans.registry import ORACLES, QUERIES  # noqa: F401
 from oddsframe.session import configure
 
 
 def flagship(spark, sf_dir):
     configure(spark)
-    return QUERIES["match_frame"](spark, sf_dir)
+    return QUERIES["prediction_output"](spark, sf_dir)

@@ -165,3 +165,11 @@ def recent_matches(spark, d):
               .select("event_id", "start_time", "home_team", "away_team", "home_ft_score", "away_ft_score",
                       (F.col("home_ft_score") + F.col("away_ft_score")).cast("int").alias("total_goals"))
               .orderBy(F.col("start_time").desc(), F.col("event_id").desc()))
+
+
+@register("latest_quote_stream", "SELECT * FROM lq_ou")
+def latest_quote_stream(spark, d):
+    """Latest O/U quote kept incrementally by a Structured Streaming job (foreachBatch
+    candidates in the shared folder); equals the batch operator."""
+    from oddsframe.streaming.latest_quote import latest_quote_stream as run
+    return run(spark, d)

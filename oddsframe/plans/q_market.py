@@ -13,12 +13,12 @@ from oddsframe.sources.tables import fixture_tables
 def _market_query(group: str, sql_cols: list[tuple[str, str]], rounded: bool = False):
     body = "SELECT event_id,\n  " + cols(*sql_cols) + "\nFROM mf"
 
-    @register(group, body, rounded=rounded)
     def q(spark, d):
         mf = M.match_frame(fixture_tables(spark, d))
         return mf.select("event_id", *market.GROUPS[group]())
     q.__name__ = group
-    return q
+    q.__doc__ = f"Market features '{group}' for every match (column expressions over the match frame)."
+    return register(group, body, rounded=rounded)(q)
 
 
 def _g(x: str, missing: str) -> str:

@@ -112,6 +112,23 @@ def _round2(c: Column) -> Column:
     return F.round(c, 2)
 
 
+def _quote_base() -> list[Column]:
+    qid = (F.col("l_linenumber").cast("bigint") * F.lit(10000000000) + F.col("l_partkey") * 10000
+           + F.col("l_suppkey")).alias("quote_id")
+    return [F.col("l_orderkey").alias("event_id"), F.col("l_shipdate").alias("created_at"), qid]
+
+
+def ou_from_lineitem(lineitem: DataFrame) -> DataFrame:
+    """O/U quote rows derived from lineitem rows (works on batch and streaming frames)."""
+    qty_int = F.col("l_quantity").cast("int")
+    return _conform(lineitem.select(
+        *_quote_base(),
+        _round2(F.lit(1.5) + F.col("l_discount") * 10).alias("over_odd"),
+        (F.lit(2.0) + (qty_int % 7) * F.lit(0.25)).alias("over_under_cap"),
+        _round2(F.lit(1.5) + F.col("l_tax") * 10).alias("under_odd"),
+    ), CANONICAL_SCHEMAS["fb_over_under_odd"])
+
+
 def fixture_tables(spark: SparkSession, sf_dir: str) -> Tables:
     """The six canonical tables derived from the driver's test data (FIXTURES.md §2)."""
     read = lambda t: spark.read.parquet(f"{sf_dir}/{t}.parquet")
@@ -133,16 +150,9 @@ def fixture_tables(spark: SparkSession, sf_dir: str) -> Tables:
         F.when(still_open, F.lit(None)).otherwise(((ok * 3 + ck) % 4).cast("int")).cast("int").alias("away_ft_score"),
     )
 
-    qid = (F.col("l_linenumber").cast("bigint") * F.lit(10000000000) + F.col("l_partkey") * 10000
-           + F.col("l_suppkey")).alias("quote_id")
-    base = [F.col("l_orderkey").alias("event_id"), F.col("l_shipdate").alias("created_at"), qid]
+    ou = ou_from_lineitem(lineitem)
+    base = _quote_base()
     qty_int = F.col("l_quantity").cast("int")
-    ou = lineitem.select(
-        *base,
-        _round2(F.lit(1.5) + F.col("l_discount") * 10).alias("over_odd"),
-        (F.lit(2.0) + (qty_int % 7) * F.lit(0.25)).alias("over_under_cap"),
-        _round2(F.lit(1.5) + F.col("l_tax") * 10).alias("under_odd"),
-    )
     win = lineitem.filter(F.col("l_returnflag") != "N").select(
         *base,
         _round2(F.lit(1.3) + (F.col("l_partkey") % 20) * F.lit(0.1)).alias("home_odd"),
@@ -161,7 +171,7 @@ def fixture_tables(spark: SparkSession, sf_dir: str) -> Tables:
         _conform(event, CANONICAL_SCHEMAS["fb_event"]),
         _conform(team, CANONICAL_SCHEMAS["fb_team"]),
         _conform(event_type, CANONICAL_SCHEMAS["fb_event_type"]),
-        _conform(ou, CANONICAL_SCHEMAS["fb_over_under_odd"]),
+        ou,
         _conform(win, CANONICAL_SCHEMAS["fb_win_odd"]),
         _conform(hcp, CANONICAL_SCHEMAS["fb_handicap_odd"]),
     )
