@@ -43,10 +43,19 @@ def last_n_table(tl: DataFrame, keys: list[str], n: int) -> DataFrame:
     last-n total is cum(k) - cum(k - n): cum(k) is the exclusive prefix at T, cum(k - n)
     an equi-join on (keys, pos). Exact with same-timestamp rows, no frame needed."""
     vals = history_values()
-    hist = tl.filter(F.col("played") == 1)
-    pos = positions(hist, keys, "start_time", ["event_id"], vals)
-    lo = pos.select(*keys, F.col("pos").alias("_lo"), *[F.col(f"{v}_cum").alias(f"_lo_{v}") for v in vals])
-    pre = time_prefix(tl, keys, "start_time", vals).withColumn("_lo", F.col("n_before") - n)
+    pre = time_prefix(tl, keys, "start_time", vals)
+    # positions of played rows from the same prefix table: pos = played rows before the
+    # row's time + rank among played rows at that time (window bounded by one instant)
+    hist = tl.filter(F.col("played") == 1).select(*keys, "start_time", "event_id",
+                                                  *[F.coalesce(v, F.lit(0)).alias(f"_v_{k}") for k, v in vals.items()])
+    w = Window.partitionBy(*keys, "start_time").orderBy("event_id")
+    wc = w.rowsBetween(Window.unboundedPreceding, 0)
+    ranked = hist.select(*keys, "start_time", F.row_number().over(w).alias("_rk"),
+                         *[F.sum(f"_v_{v}").over(wc).alias(f"_c_{v}") for v in vals])
+    lo = ranked.join(pre.select(*keys, "start_time", *[f"{v}_before" for v in vals]), [*keys, "start_time"]).select(
+        *keys, (F.col("n_before") + F.col("_rk")).alias("_lo"),
+        *[(F.col(f"{v}_before") + F.col(f"_c_{v}")).alias(f"_lo_{v}") for v in vals])
+    pre = pre.withColumn("_lo", F.col("n_before") - n)
     j = pre.join(lo, [*keys, "_lo"], "left")
     return j.select(*keys, "start_time",
                     *[(F.col(f"{v}_before") - F.coalesce(F.col(f"_lo_{v}"), F.lit(0))).alias(v)

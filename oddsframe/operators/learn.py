@@ -67,7 +67,7 @@ def history_columns(spark: SparkSession, mf: DataFrame) -> DataFrame:
 
 def train_frame(spark: SparkSession, t: Tables, with_history: bool = False) -> DataFrame:
     """Played matches with a latest O/U quote and a season window: label + features."""
-    mf = M.match_frame(t)
+    mf = M.match_core(t)
     base = (mf.filter(M.is_played() & F.col("over_odd").isNotNull())
               .select("event_id", "event_type_id", "start_time", "home_ft_score", "away_ft_score",
                       "over_odd", "under_odd", "over_under_cap", *market_columns(),

@@ -58,6 +58,21 @@ def match_frame(t: Tables, team_join: str = "inner", ou_join: str = "left",
     return df.select(*MATCH_COLUMNS)
 
 
+def match_core(t: Tables, ou_latest: DataFrame | None = None) -> DataFrame:
+    """The match columns history and training need: ids, kick-off, scores and the
+    latest O/U quote. Same row set as ``match_frame`` (league and both teams INNER,
+    quote LEFT) without the 1X2 / handicap aggregations and joins it does not use."""
+    from oddsframe.operators.quotes import latest_per_key
+    from oddsframe.sources.tables import QUOTE_PAYLOAD
+    ou = ou_latest if ou_latest is not None else latest_per_key(t.ou, QUOTE_PAYLOAD["ou"])
+    league = t.event_type.select("event_type_id")
+    home = t.team.select(F.col("team_id").alias("home_id"))
+    away = t.team.select(F.col("team_id").alias("away_id"))
+    return (t.event.join(league, "event_type_id", "inner").join(home, "home_id", "inner")
+                   .join(away, "away_id", "inner")
+                   .join(ou.select("event_id", "over_odd", "over_under_cap", "under_odd"), "event_id", "left"))
+
+
 def team_long(matches: DataFrame) -> DataFrame:
     """Two rows per match (home and away view): removes every ``home = x OR away = x``.
 

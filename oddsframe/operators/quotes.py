@@ -9,7 +9,8 @@ Scale notes
   key; a key holding a third of all quotes costs no more than any other.
 * ``method="window"``: ``row_number() = 1``; Spark plans a partial
   WindowGroupLimit before the exchange, with the same one-row-per-key-per-task bound.
-* ``method="max_by"``: ``max_by(payload, order)``, the same bound as ``agg``.
+* ``method="max_by"`` (default): ``max_by(payload, order)``, the same bound as ``agg``
+  and the fastest form measured (object hash aggregation, no sort).
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from oddsframe.sources.tables import QUOTE_PAYLOAD, Tables
 
 def latest_per_key(quotes: DataFrame, payload: list[str], key: str = "event_id",
                    order: tuple[str, ...] = ("created_at", "quote_id"),
-                   method: str = "agg") -> DataFrame:
+                   method: str = "max_by") -> DataFrame:
     ordering = list(order) + list(payload)
     cols = [key] + ordering
     q = quotes.select(*cols)
@@ -48,7 +49,7 @@ def latest_with_ties(quotes: DataFrame, payload: list[str], key: str = "event_id
 
 def asof_latest(quotes: DataFrame, events: DataFrame, payload: list[str],
                 key: str = "event_id", ts: str = "created_at", bound: str = "start_time",
-                method: str = "agg") -> DataFrame:
+                method: str = "max_by") -> DataFrame:
     """Latest quote strictly before the event's kick-off (leak-free).
 
     Equi-join on the key with a range predicate, then latest-per-key. The event side
@@ -59,7 +60,7 @@ def asof_latest(quotes: DataFrame, events: DataFrame, payload: list[str],
     return latest_per_key(bounded, payload, key=key, method=method)
 
 
-def latest_quotes(t: Tables, method: str = "agg") -> dict[str, DataFrame]:
+def latest_quotes(t: Tables, method: str = "max_by") -> dict[str, DataFrame]:
     return {name: latest_per_key(getattr(t, name), QUOTE_PAYLOAD[name], method=method)
             for name in ("ou", "win", "hcp")}
 

@@ -12,12 +12,16 @@ from oddsframe.operators import evaluate as EV
 from oddsframe.operators import learn as L
 from oddsframe.plans.registry import register
 from oddsframe.sources.registry import read_registry, shared_registry_path, write_registry
+from oddsframe.session import checkpoint_dir
 from oddsframe.sources.tables import fixture_tables
 
 
 def _train_test(spark, d):
+    """Gated split with history features, checkpointed once into the shared folder so
+    the fits (iterative or multi-pass) never recompute the feature lineage."""
     t = fixture_tables(spark, d)
-    sp = L.gated(L.chrono_split(L.train_frame(spark, t, with_history=True)))
+    checkpoint_dir(spark)
+    sp = L.gated(L.chrono_split(L.train_frame(spark, t, with_history=True))).checkpoint()
     return sp.filter(F.col("is_train") == 1), sp.filter(F.col("is_train") == 0)
 
 

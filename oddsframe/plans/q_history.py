@@ -26,7 +26,7 @@ from oddsframe.sources.tables import fixture_tables
 
 
 def _ctx(spark, d):
-    mf = M.match_frame(fixture_tables(spark, d))
+    mf = M.match_core(fixture_tables(spark, d))
     return mf, M.team_long(mf)
 
 
@@ -149,7 +149,7 @@ FROM tlv t JOIN fx_team tn ON tn.team_id = t.team_id JOIN fx_team o ON o.team_id
 def team_matches(spark, d):
     """Every match of every team in either role, with team and opponent names."""
     t = fixture_tables(spark, d)
-    tl = M.team_long(M.match_frame(t))
+    tl = M.team_long(M.match_core(t))
     me = t.team.select(F.col("team_id"), F.col("name").alias("team_name"))
     opp = t.team.select(F.col("team_id").alias("opponent_id"), F.col("name").alias("opponent_name"))
     return (tl.join(me, "team_id").join(opp, "opponent_id")
@@ -499,7 +499,7 @@ LEFT JOIN (SELECT * FROM mfp WHERE played = 1) h ON h.event_type_id = r.event_ty
 GROUP BY r.event_id, r.event_type_id, r.start_time""", TL_CTES)
 def history_before_event(spark, d):
     """For every request (unplayed match): league matches played strictly before it."""
-    mf = M.match_frame(fixture_tables(spark, d))
+    mf = M.match_core(fixture_tables(spark, d))
     played = M.is_played()
     m = mf.select("event_id", "event_type_id", "start_time", played.cast("int").alias("played"),
                   F.when(played, F.col("home_ft_score") + F.col("away_ft_score")).alias("total"))

@@ -271,7 +271,7 @@ def best_model(spark, d):
     probability, team over-rate form) with the best searched-threshold train accuracy."""
     t = fixture_tables(spark, d)
     sp = L.gated(L.chrono_split(L.train_frame(spark, t))).filter(F.col("is_train") == 1)
-    hist = L.history_columns(spark, M.match_frame(t)).select("event_id", "avg_over_rate")
+    hist = L.history_columns(spark, M.match_core(t)).select("event_id", "avg_over_rate")
     rows = sp.withColumn("p_over", market.p_over()).join(hist, "event_id", "inner")
     stack = ", ".join(f"'{n}', `{c}`" for n, c in _CANDIDATES.items())
     long = rows.selectExpr(*L.WKEYS, "label_over", f"stack({len(_CANDIDATES)}, {stack}) AS (model_name, score)")
