@@ -75,6 +75,26 @@ def attach(matches: DataFrame, table: DataFrame, side: str, prefix: str,
     return matches.join(t, ["event_type_id", id_col, "start_time"], "left")
 
 
+def lookup_sides(matches: DataFrame, table: DataFrame,
+                 specs: list[tuple[str, str, int | None]], carry: list[str] | tuple[str, ...] = ()) -> DataFrame:
+    """Attach a (league, team[, is_home], start_time) table to several sides of every
+    match with ONE join: each match is exploded into one lookup row per spec
+    (prefix, team column, venue or None), joined once, and pivoted back with one
+    ``groupBy(event_id)``. Keys include the kick-off time, so no team is a hot key."""
+    venue_keyed = "is_home" in table.columns
+    stat_cols = [c for c in table.columns if c not in ("event_type_id", "team_id", "is_home", "start_time")]
+    looks = [F.struct(F.lit(p).alias("_side"), F.col(idc).alias("team_id"),
+                      F.lit(v if v is not None else -1).alias("is_home")) for p, idc, v in specs]
+    extra = [c for c in carry if c not in ("event_id", "event_type_id", "start_time")]
+    rows = matches.select("event_id", "event_type_id", "start_time", *extra, F.inline(F.array(*looks)))
+    keys = ["event_type_id", "team_id", "start_time"] + (["is_home"] if venue_keyed else [])
+    if not venue_keyed:
+        rows = rows.drop("is_home")
+    j = rows.join(table, keys, "left")
+    aggs = [F.max(F.when(F.col("_side") == p, F.col(c))).alias(f"{p}_{c}") for p, _i, _v in specs for c in stat_cols]
+    return j.groupBy("event_id", *carry).agg(*aggs)
+
+
 def rates(prefix: str, default: float | None = None) -> list[Column]:
     """Averages from totals: scored, conceded, total, win rate, over rate, goal diff."""
     n, on = F.col(f"{prefix}_n"), F.col(f"{prefix}_over_n")
@@ -93,9 +113,10 @@ def rates(prefix: str, default: float | None = None) -> list[Column]:
 
 
 def two_sided(matches: DataFrame, table: DataFrame, pfx: tuple[str, str] = ("home", "away"),
-              venue: bool = False) -> DataFrame:
-    out = attach(matches, table, "home", pfx[0], 1 if venue else None)
-    return attach(out, table, "away", pfx[1], 0 if venue else None)
+              venue: bool = False, carry: list[str] | tuple[str, ...] = ()) -> DataFrame:
+    """Home and away side statistics for every match (one join, see ``lookup_sides``)."""
+    specs = [(pfx[0], "home_id", 1 if venue else None), (pfx[1], "away_id", 0 if venue else None)]
+    return lookup_sides(matches, table, specs, carry)
 
 
 def defaults_table(spark: SparkSession) -> DataFrame:
@@ -130,35 +151,35 @@ def joint_recent(tl: DataFrame, matches: DataFrame, limit: int = config.RECENT_L
     ``limit`` home rows plus A's last ``limit`` away rows, found by position lookups
     (equi-joins on (team, venue, pos)); each match ranks at most 2 * limit candidates."""
     keys = ["team_id", "is_home"]
-    hist = tl.filter(F.col("played") == 1)
-    pos = positions(hist, keys, "start_time", ["event_id"], {"_one": F.lit(1)},
-                    carry=["gf", "ga"]).select(*keys, "pos", F.col("event_id").alias("c_event_id"),
-                                                F.col("start_time").alias("c_start"), "gf", "ga")
     pre = time_prefix(tl, keys, "start_time", {"n": F.col("played")})
-    reqs = []
-    for side, (id_col, venue) in SIDES.items():
-        k = (matches.select("event_id", F.col(id_col).alias("team_id"), "start_time")
-                    .join(pre.filter(F.col("is_home") == venue).drop("is_home", "n_at"),
-                          ["team_id", "start_time"], "left"))
-        k = k.select("event_id", "team_id", F.lit(venue).alias("is_home"),
-                     F.explode(F.when(F.col("n_before") >= 1,
-                                      F.sequence(F.greatest(F.col("n_before") - (limit - 1), F.lit(1)),
-                                                 F.col("n_before")))).alias("pos"))
-        reqs.append(k)
-    cand = (reqs[0].unionByName(reqs[1]).join(pos, keys + ["pos"], "inner"))
-    # a match with H at home and A away is in both lists: keep one copy, remember both roles
-    cand = (cand.groupBy("event_id", "c_event_id", "c_start")
-                .agg(F.max(F.when(F.col("is_home") == 1, F.col("gf"))).alias("h_gf"),
-                     F.max(F.when(F.col("is_home") == 1, F.col("ga"))).alias("h_ga"),
-                     F.max(F.when(F.col("is_home") == 0, F.col("gf"))).alias("a_gf"),
-                     F.max(F.when(F.col("is_home") == 0, F.col("ga"))).alias("a_ga")))
-    w = Window.partitionBy("event_id").orderBy(F.col("c_start").desc(), F.col("c_event_id").desc())
-    top = cand.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= limit)
-    agg = top.groupBy("event_id").agg(
-        F.count(F.lit(1)).alias("n_joint"),
-        F.count("h_gf").alias("home_n"), F.sum("h_gf").alias("_hgf"), F.sum("h_ga").alias("_hga"),
-        F.count("a_gf").alias("away_n"), F.sum("a_gf").alias("_agf"), F.sum("a_ga").alias("_aga"))
-    return agg
+    w = Window.partitionBy(*keys, "start_time").orderBy("event_id")
+    pos = (tl.filter(F.col("played") == 1)
+             .select(*keys, "start_time", F.col("event_id").alias("c_event_id"), "gf", "ga",
+                     F.row_number().over(w).alias("_rk"))
+             .join(pre.select(*keys, "start_time", "n_before"), [*keys, "start_time"])
+             .select(*keys, (F.col("n_before") + F.col("_rk")).alias("pos"), "c_event_id",
+                     F.col("start_time").alias("c_start"), "gf", "ga"))
+    sides = F.array(F.struct(F.col("home_id").alias("team_id"), F.lit(1).alias("is_home")),
+                    F.struct(F.col("away_id").alias("team_id"), F.lit(0).alias("is_home")))
+    req = (matches.select("event_id", "start_time", F.inline(sides))
+                  .join(pre.select(*keys, "start_time", "n_before"), [*keys, "start_time"], "left")
+                  .select("event_id", *keys,
+                          F.explode(F.when(F.col("n_before") >= 1,
+                                           F.sequence(F.greatest(F.col("n_before") - (limit - 1), F.lit(1)),
+                                                      F.col("n_before")))).alias("pos")))
+    cand = req.join(pos, keys + ["pos"], "inner")
+    # a match with H at home and A away is in both lists: dense_rank gives both copies
+    # the same rank, so the top ``limit`` distinct matches are kept without a dedupe
+    # shuffle; the aggregation reuses the window's event_id partitioning.
+    wr = Window.partitionBy("event_id").orderBy(F.col("c_start").desc(), F.col("c_event_id").desc())
+    top = cand.withColumn("_rk", F.dense_rank().over(wr)).filter(F.col("_rk") <= limit)
+    home, away = F.col("is_home") == 1, F.col("is_home") == 0
+    return top.groupBy("event_id").agg(
+        F.max("_rk").cast("bigint").alias("n_joint"),
+        F.count(F.when(home, F.lit(1))).alias("home_n"), F.sum(F.when(home, F.col("gf"))).alias("_hgf"),
+        F.sum(F.when(home, F.col("ga"))).alias("_hga"),
+        F.count(F.when(away, F.lit(1))).alias("away_n"), F.sum(F.when(away, F.col("gf"))).alias("_agf"),
+        F.sum(F.when(away, F.col("ga"))).alias("_aga"))
 
 
 def league_position(played_matches: DataFrame) -> DataFrame:

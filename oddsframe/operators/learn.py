@@ -58,7 +58,7 @@ def history_columns(spark: SparkSession, mf: DataFrame) -> DataFrame:
     tl = M.team_long(mf)
     tab = H.expanding_table(tl, H.LEAGUE_TEAM)
     base = mf.select("event_id", "event_type_id", "start_time", "home_id", "away_id", "over_under_cap")
-    cs = H.with_cold_start(H.two_sided(base, tab).select(
+    cs = H.with_cold_start(H.two_sided(base, tab, carry=["event_type_id"]).select(
         "event_id", "event_type_id", *H.rates("home"), *H.rates("away")), spark)
     hs, hc, as_, ac = (F.col(c) for c in ("home_scored", "home_conceded", "away_scored", "away_conceded"))
     return cs.select("event_id", ((hs + as_ + hc + ac) / 2).alias("exp_total_half"),

@@ -73,30 +73,39 @@ def match_core(t: Tables, ou_latest: DataFrame | None = None) -> DataFrame:
                    .join(ou.select("event_id", "over_odd", "over_under_cap", "under_odd"), "event_id", "left"))
 
 
-def team_long(matches: DataFrame) -> DataFrame:
+def _side_struct(is_home: bool, flipped: bool = False) -> Column:
+    """One team's view of a match as a struct (home or away; ``flipped`` = a zero-weight
+    marker row at the other venue, used by venue tables)."""
+    me, opp = ("home", "away") if is_home else ("away", "home")
+    keep = is_played() if not flipped else F.lit(False)
+    gf = F.when(keep, F.col(f"{me}_ft_score"))
+    ga = F.when(keep, F.col(f"{opp}_ft_score"))
+    total = gf + ga
+    venue = (1 if is_home else 0) if not flipped else (0 if is_home else 1)
+    return F.struct(
+        F.col("event_type_id").alias("event_type_id"), F.col(f"{me}_id").alias("team_id"),
+        F.col(f"{opp}_id").alias("opponent_id"), F.col("event_id").alias("event_id"),
+        F.col("start_time").alias("start_time"), F.lit(venue).alias("is_home"),
+        gf.cast("int").alias("gf"), ga.cast("int").alias("ga"), total.cast("int").alias("total"),
+        F.col("over_under_cap").alias("cap"),
+        (total > F.col("over_under_cap")).cast("int").alias("over"),
+        (gf > ga).cast("int").alias("win"),
+        keep.cast("int").alias("played"))
+
+
+def team_long(matches: DataFrame, with_flipped_venues: bool = False) -> DataFrame:
     """Two rows per match (home and away view): removes every ``home = x OR away = x``.
 
-    Columns: event_type_id, team_id, opponent_id, event_id, start_time, is_home, gf, ga,
-    total, cap, over, win, played (0/1). Scores are NULL for unplayed matches."""
-    played = is_played().cast("int")
-
-    def side(is_home: bool):
-        me, opp = ("home", "away") if is_home else ("away", "home")
-        gf, ga = F.col(f"{me}_ft_score"), F.col(f"{opp}_ft_score")
-        keep = is_played()
-        gf = F.when(keep, gf)
-        ga = F.when(keep, ga)
-        total = gf + ga
-        return matches.select(
-            "event_type_id", F.col(f"{me}_id").alias("team_id"), F.col(f"{opp}_id").alias("opponent_id"),
-            "event_id", "start_time", F.lit(1 if is_home else 0).alias("is_home"),
-            gf.alias("gf"), ga.alias("ga"), total.alias("total"),
-            F.col("over_under_cap").alias("cap"),
-            (total > F.col("over_under_cap")).cast("int").alias("over"),
-            (gf > ga).cast("int").alias("win"),
-            played.alias("played"))
-
-    return side(True).unionByName(side(False))
+    Built with one generator over the match rows (``inline(array(home, away))``), so
+    the match plan appears once, not once per side. Columns: event_type_id, team_id,
+    opponent_id, event_id, start_time, is_home, gf, ga, total, cap, over, win,
+    played (0/1). Scores are NULL for unplayed matches. ``with_flipped_venues`` adds a
+    zero-weight row per team at the other venue, so venue tables hold an entry at every
+    kick-off of the team."""
+    views = [_side_struct(True), _side_struct(False)]
+    if with_flipped_venues:
+        views += [_side_struct(True, flipped=True), _side_struct(False, flipped=True)]
+    return matches.select(F.inline(F.array(*views)))
 
 
 def route_events(spark: SparkSession, t: Tables, ou_latest: DataFrame) -> DataFrame:

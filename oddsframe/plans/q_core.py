@@ -173,3 +173,20 @@ def latest_quote_stream(spark, d):
     candidates in the shared folder); equals the batch operator."""
     from oddsframe.streaming.latest_quote import latest_quote_stream as run
     return run(spark, d)
+
+
+@register("scan_history_csv", f"""SELECT event_id, start_time, home_id, away_id, home_ft_score, away_ft_score,
+  over_under_cap FROM mf WHERE {PLAYED}""")
+def scan_history_csv(spark, d):
+    """History extract written as CSV (ISO timestamps with 'Z') into the shared folder by
+    Spark, then scanned back with an explicit schema and timestamp parsing."""
+    import uuid
+
+    from oddsframe.session import checkpoint_dir
+    from oddsframe.sources.tables import read_history_csv
+    path = f"{checkpoint_dir(spark)}/history-csv-{uuid.uuid4().hex}"
+    mf = M.match_core(fixture_tables(spark, d)).filter(M.is_played())
+    (mf.select("event_id", F.date_format("start_time", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("start_time"),
+               "home_id", "away_id", "home_ft_score", "away_ft_score", "over_under_cap")
+       .write.option("header", "true").csv(path))
+    return read_history_csv(spark, path)

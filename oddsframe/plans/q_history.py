@@ -34,17 +34,6 @@ def _base(mf):
     return mf.select("event_id", "event_type_id", "start_time", "home_id", "away_id", "over_under_cap")
 
 
-def _with_flipped_venues(tl):
-    """Adds a zero-weight row per (team, other venue, time) so venue tables hold an entry
-    at every kick-off of the team, whatever the venue of that match."""
-    flip = tl.select("event_type_id", "team_id", "opponent_id", "event_id", "start_time",
-                     (F.lit(1) - F.col("is_home")).alias("is_home"),
-                     *[F.lit(None).cast("int").alias(c) for c in ("gf", "ga", "total")],
-                     "cap", F.lit(None).cast("int").alias("over"), F.lit(None).cast("int").alias("win"),
-                     F.lit(0).alias("played"))
-    return tl.unionByName(flip)
-
-
 def _alias(col):
     s = col._jc.toString()
     return s.rsplit(" AS ", 1)[-1].strip("`")
@@ -53,7 +42,7 @@ def _alias(col):
 def cold_start_frame(spark, d):
     mf, tl = _ctx(spark, d)
     tab = H.expanding_table(tl, H.LEAGUE_TEAM)
-    out = H.two_sided(_base(mf), tab).select(
+    out = H.two_sided(_base(mf), tab, carry=["event_type_id", "over_under_cap"]).select(
         "event_id", "event_type_id", "over_under_cap", *H.rates("home"), *H.rates("away"))
     return H.with_cold_start(out, spark)
 
@@ -227,11 +216,10 @@ def _v20_sql(p, a, b):
 def venue_last_n(spark, d):
     """Last 10 at the matching venue (home at home, away away) and the 10 + 10 union
     of both venues per team."""
-    mf, tl = _ctx(spark, d)
-    tab = H.last_n_table(_with_flipped_venues(tl), H.LEAGUE_TEAM_VENUE, config.LAST_N_FORM)
-    out = _base(mf)
-    for side, pfx, venue in (("home", "hh10", 1), ("away", "aa10", 0), ("home", "ha10", 0), ("away", "ah10", 1)):
-        out = H.attach(out, tab, side, pfx, venue)
+    mf = M.match_core(fixture_tables(spark, d))
+    tab = H.last_n_table(M.team_long(mf, with_flipped_venues=True), H.LEAGUE_TEAM_VENUE, config.LAST_N_FORM)
+    out = H.lookup_sides(_base(mf), tab, [("hh10", "home_id", 1), ("aa10", "away_id", 0),
+                                          ("ha10", "home_id", 0), ("ah10", "away_id", 1)])
 
     def v20(p, a, b):
         n = F.col(f"{a}_n") + F.col(f"{b}_n")
@@ -520,3 +508,29 @@ def topk_recent_per_team(spark, d):
     w = Window.partitionBy("team_id").orderBy(F.col("start_time").desc(), F.col("event_id").desc())
     return (tl.filter(F.col("played") == 1).select("team_id", "event_id", "start_time")
               .withColumn("rn", F.row_number().over(w)).filter(F.col("rn") <= config.RECENT_LIMIT))
+
+
+@register("match_features", """SELECT q.event_id, q.p_over_fair, q.ou_overround, q.cap_minus_25, q.ou_odds_ratio,
+  c.home_n, c.home_scored, c.home_conceded, c.home_over_rate, c.away_n, c.away_scored, c.away_conceded,
+  c.away_over_rate, (c.home_scored + c.away_scored + c.home_conceded + c.away_conceded) / 2 AS exp_total_half,
+  (c.home_over_rate + c.away_over_rate) / 2 AS avg_over_rate
+FROM qm q JOIN cs c ON c.event_id = q.event_id""", CS_CTES + (
+    ("qm", """SELECT m.event_id,
+       (1.0E0 / NULLIF(over_odd, 0)) / NULLIF((1.0E0 / NULLIF(over_odd, 0)) + (1.0E0 / NULLIF(under_odd, 0)), 0) AS p_over_fair,
+       ((1.0E0 / NULLIF(over_odd, 0)) + (1.0E0 / NULLIF(under_odd, 0))) AS ou_overround,
+       (over_under_cap - 2.5E0) AS cap_minus_25, (over_odd / NULLIF(under_odd, 0)) AS ou_odds_ratio
+FROM mf m WHERE over_odd IS NOT NULL"""),))
+def match_features(spark, d):
+    """The per-match feature vector: market features plus both teams' leak-free history
+    (cold-start filled), joined on event_id - no per-row history filtering."""
+    from oddsframe.operators import learn as L
+    cs = cold_start_frame(spark, d)
+    mf = M.match_core(fixture_tables(spark, d)).filter(F.col("over_odd").isNotNull())
+    q = mf.select("event_id", *L.market_columns())
+    hs, hc, as_, ac = (F.col(c) for c in ("home_scored", "home_conceded", "away_scored", "away_conceded"))
+    return q.join(cs, "event_id").select(
+        "event_id", "p_over_fair", "ou_overround", "cap_minus_25", "ou_odds_ratio",
+        "home_n", "home_scored", "home_conceded", "home_over_rate",
+        "away_n", "away_scored", "away_conceded", "away_over_rate",
+        ((hs + as_ + hc + ac) / 2).alias("exp_total_half"),
+        ((F.col("home_over_rate") + F.col("away_over_rate")) / 2).alias("avg_over_rate"))
