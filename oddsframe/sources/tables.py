@@ -129,8 +129,21 @@ def ou_from_lineitem(lineitem: DataFrame) -> DataFrame:
     ), CANONICAL_SCHEMAS["fb_over_under_odd"])
 
 
+_FIXTURE_CACHE: dict[tuple[int, str], Tables] = {}
+
+
 def fixture_tables(spark: SparkSession, sf_dir: str) -> Tables:
-    """The six canonical tables derived from the driver's test data (FIXTURES.md §2)."""
+    """The six canonical tables derived from the driver's test data (FIXTURES.md §2).
+
+    The lazy DataFrames are memoised per (session, folder): building them reads four
+    parquet footers, and every query of the catalogue starts here."""
+    key = (id(spark._jsparkSession), sf_dir)
+    if key not in _FIXTURE_CACHE:
+        _FIXTURE_CACHE[key] = _fixture_tables(spark, sf_dir)
+    return _FIXTURE_CACHE[key]
+
+
+def _fixture_tables(spark: SparkSession, sf_dir: str) -> Tables:
     read = lambda t: spark.read.parquet(f"{sf_dir}/{t}.parquet")
     region, nation, orders, lineitem = read("region"), read("nation"), read("orders"), read("lineitem")
 
