@@ -122,7 +122,8 @@ def feature_sets(spark, d):
     z = L.standardized(train, sw, L.WKEYS, feats)
     sets = list(L.FEATURE_SETS.items())
     set_rows = spark.createDataFrame([(i, name) for i, (name, _f) in enumerate(sets)], "set_id int, feature_set string")
-    zz = z.crossJoin(F.broadcast(set_rows))  # 3 copies: one per feature set (fixed, config-sized)
+    # one copy per feature set (a generator, not a join)
+    zz = z.withColumn("set_id", F.explode(F.array(*[F.lit(i) for i in range(len(sets))])))
     for f in feats:
         member = [i for i, (_n, fs) in enumerate(sets) if f in fs]
         zz = zz.withColumn(f"z_{f}", F.when(F.col("set_id").isin(member), F.col(f"z_{f}")).otherwise(F.lit(0.0)))
