@@ -47,10 +47,11 @@ def confusion(settled: DataFrame, keys: list[str], pred_over: str = "pred_over",
 
 def league_macro(ws: DataFrame, league: str = "event_type_id") -> DataFrame:
     """Mean of per-window accuracy and ROI; windows meeting the accuracy target."""
-    return ws.groupBy(league).agg(
+    g = ws.groupBy(league).agg(
         F.count(F.lit(1)).alias("n_windows"), F.avg("accuracy").alias("macro_accuracy"),
         F.avg("roi_pct").alias("macro_roi_pct"),
         F.count_if(F.col("accuracy") >= config.WINDOW_TARGET_ACCURACY).alias("windows_meeting_target"))
+    return g.withColumn("share_meeting_target", div(F.col("windows_meeting_target"), F.col("n_windows")))
 
 
 def league_pooled(ws: DataFrame, league: str = "event_type_id") -> DataFrame:

@@ -192,46 +192,53 @@ def threshold_search(train: DataFrame, keys: list[str], score: str = "p_over_fai
 
 def fit_logistic_groups(spark: SparkSession, data: DataFrame, keys: list[str], features: list[str],
                         label: str = "label_over", c_reg: float = 1.0, max_iter: int = 25,
-                        tol: float = 1e-9) -> DataFrame:
+                        tol: float = 1e-9, checkpoint_input: bool = True) -> DataFrame:
     """L2-regularised logistic regression (intercept unpenalised, penalty |w|^2 / 2C) for
     every group at once, on already standardised columns ``z_<feature>``.
 
     Each Newton step joins the current coefficients (one row per group, broadcast) and
     computes gradient and Hessian entries as one wide groupBy sum; only the per-group
     (d+1)x(d+1) systems reach the driver, which solves them and sends new coefficients
-    back as a small DataFrame. The training rows are checkpointed once so the lineage
-    does not grow with the iterations."""
+    back as a small DataFrame. The first step starts from beta = 0 (p = 1/2), needs no
+    coefficients and also yields the group keys and sizes. The training rows are
+    checkpointed once (unless the caller already did) so the lineage does not grow
+    with the iterations."""
     assert_no_leakage(features)
-    checkpoint_dir(spark)
     d = len(features)
-    zc = [F.col(f"z_{f}") for f in features]
-    rows = data.select(*keys, *[z.alias(f"x{i + 1}") for i, z in enumerate(zc)],
-                       F.col(label).cast("double").alias("y")).checkpoint()
+    rows = data.select(*keys, *[F.col(f"z_{f}").alias(f"x{i + 1}") for i, f in enumerate(features)],
+                       F.col(label).cast("double").alias("y"))
+    if checkpoint_input:
+        checkpoint_dir(spark)
+        rows = rows.checkpoint()
     xs = [F.lit(1.0)] + [F.col(f"x{i + 1}") for i in range(d)]
-    group_rows = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).collect()
-    group_keys = [tuple(r[k] for k in keys) for r in group_rows]
-    n_by_group = {tuple(r[k] for k in keys): r["n"] for r in group_rows}
-    beta = {g: np.zeros(d + 1) for g in group_keys}
     coef_schema = ", ".join([f"{k} int" for k in keys] + [f"b{i} double" for i in range(d + 1)])
+
+    def newton_sums(scored: DataFrame):
+        r = F.col("p") - F.col("y")
+        wgt = F.col("p") * (F.lit(1.0) - F.col("p"))
+        aggs = [F.count(F.lit(1)).alias("_n")]
+        aggs += [F.sum(r * xs[i]).alias(f"g{i}") for i in range(d + 1)]
+        aggs += [F.sum(wgt * xs[i] * xs[j]).alias(f"h{i}_{j}") for i in range(d + 1) for j in range(i, d + 1)]
+        return scored.groupBy(*keys).agg(*aggs).collect()
+
+    beta: dict[tuple, np.ndarray] = {}
+    n_by_group: dict[tuple, int] = {}
     iters = 0
     for it in range(max_iter):
         iters = it + 1
-        coefs = spark.createDataFrame([tuple(g) + tuple(float(v) for v in beta[g]) for g in group_keys],
-                                      coef_schema)
-        eta = sum((F.col(f"b{i}") * xs[i] for i in range(d + 1)), F.lit(0.0))
-        p = F.lit(1.0) / (F.lit(1.0) + F.exp(-eta))
-        scored = rows.join(F.broadcast(coefs), keys, "inner").select(
-            *keys, *[F.col(f"x{i + 1}") for i in range(d)], "y", p.alias("p"))
-        xs2 = [F.lit(1.0)] + [F.col(f"x{i + 1}") for i in range(d)]
-        r = F.col("p") - F.col("y")
-        wgt = F.col("p") * (F.lit(1.0) - F.col("p"))
-        aggs = [F.sum(r * xs2[i]).alias(f"g{i}") for i in range(d + 1)]
-        aggs += [F.sum(wgt * xs2[i] * xs2[j]).alias(f"h{i}_{j}") for i in range(d + 1) for j in range(i, d + 1)]
-        sums = scored.groupBy(*keys).agg(*aggs).collect()
+        if it == 0:
+            scored = rows.withColumn("p", F.lit(0.5))
+        else:
+            coefs = spark.createDataFrame([tuple(g) + tuple(float(v) for v in b) for g, b in beta.items()],
+                                          coef_schema)
+            eta = sum((F.col(f"b{i}") * xs[i] for i in range(d + 1)), F.lit(0.0))
+            scored = rows.join(F.broadcast(coefs), keys, "inner").withColumn(
+                "p", F.lit(1.0) / (F.lit(1.0) + F.exp(-eta)))
         step_max = 0.0
-        for s in sums:
+        for s in newton_sums(scored):
             g = tuple(s[k] for k in keys)
-            b = beta[g]
+            n_by_group[g] = s["_n"]
+            b = beta.get(g, np.zeros(d + 1))
             grad = np.array([s[f"g{i}"] for i in range(d + 1)])
             hess = np.zeros((d + 1, d + 1))
             for i in range(d + 1):
@@ -246,8 +253,8 @@ def fit_logistic_groups(spark: SparkSession, data: DataFrame, keys: list[str], f
             step_max = max(step_max, float(np.max(np.abs(delta))))
         if step_max < tol:
             break
-    out = [tuple(g) + (float(beta[g][0]), [float(v) for v in beta[g][1:]], int(n_by_group[g]), iters)
-           for g in group_keys]
+    out = [tuple(g) + (float(b[0]), [float(v) for v in b[1:]], int(n_by_group[g]), iters)
+           for g, b in beta.items()]
     schema = ", ".join([f"{k} int" for k in keys]
                        + ["intercept double", "coef array<double>", "trained_n bigint", "iterations int"])
     return spark.createDataFrame(out, schema)

@@ -51,7 +51,9 @@ def confusion_matrix(spark, d):
 
 @register("league_score_macro", f"""SELECT event_type_id, count(*) AS n_windows,
   {rr6('avg(accuracy)')} AS macro_accuracy, {rr6('avg(roi_pct)')} AS macro_roi_pct,
-  CAST(sum(CASE WHEN accuracy >= {config.WINDOW_TARGET_ACCURACY}E0 THEN 1 ELSE 0 END) AS BIGINT) AS windows_meeting_target
+  CAST(sum(CASE WHEN accuracy >= {config.WINDOW_TARGET_ACCURACY}E0 THEN 1 ELSE 0 END) AS BIGINT) AS windows_meeting_target,
+  {rr6(f"CAST(sum(CASE WHEN accuracy >= {config.WINDOW_TARGET_ACCURACY}E0 THEN 1 ELSE 0 END) AS DOUBLE) / count(*)")}
+    AS share_meeting_target
 FROM ws GROUP BY event_type_id""", LEARN_CTES, rounded=True)
 def league_score_macro(spark, d):
     """Mean over windows of accuracy and ROI, and windows meeting the 70 % target."""

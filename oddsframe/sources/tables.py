@@ -137,7 +137,7 @@ def fixture_tables(spark: SparkSession, sf_dir: str) -> Tables:
 
     The lazy DataFrames are memoised per (session, folder): building them reads four
     parquet footers, and every query of the catalogue starts here."""
-    key = (id(spark._jsparkSession), sf_dir)
+    key = (id(getattr(spark, "_jsparkSession", spark)), sf_dir)
     if key not in _FIXTURE_CACHE:
         _FIXTURE_CACHE[key] = _fixture_tables(spark, sf_dir)
     return _FIXTURE_CACHE[key]
