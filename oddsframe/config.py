@@ -76,6 +76,12 @@ LEAGUES: dict[int, tuple[str, str | None, str, bool]] = {
     5: ("mar_three", None, "profile_25", False),
 }
 
+# Model-fallback policy when a request's window has no model (exact window always wins):
+#   previous_then_last: latest earlier window with a model, else the league's last one
+#   last: the league's last model window;  first: its first;  error: no model (error value)
+FALLBACK_POLICIES = ("previous_then_last", "last", "first", "error")
+LEAGUE_FALLBACK: dict[int, str] = {1: "previous_then_last", 2: "previous_then_last", 3: "error", 4: "first", 5: "last"}
+
 # As-of instant used by the completed-match rule (a parameter, never now()).
 AS_OF = _dt.datetime(2001, 1, 1, 0, 0, 0)
 AS_OF_SQL = "2001-01-01 00:00:00"

@@ -228,27 +228,39 @@ def feature_long(spark, d):
 
 _PLAYED_M = PLAYED.replace('start_time', 'm.start_time').replace('home_ft_score', 'm.home_ft_score').replace(
     'away_ft_score', 'm.away_ft_score')
+_POLICY_VALUES = "SELECT * FROM (VALUES " + ", ".join(
+    f"({lg}, '{pol}')" for lg, pol in sorted(config.LEAGUE_FALLBACK.items())) + ") AS t(event_type_id, policy)"
 _FALLBACK_CTES = LEARN_CTES + (
     ("reg_w", f"""SELECT {WK}, season_start * 10 + window_no AS o FROM sp2
     GROUP BY {WK} HAVING count(*) >= {config.WINDOW_MIN_MATCHES}"""),
     ("rq", f"""SELECT m.event_id, m.event_type_id, CAST(year(m.start_time) - c.season_offset AS INT) AS season_start,
        c.window_no FROM mf m JOIN calendar c ON c.event_type_id = m.event_type_id AND c.cal_month = month(m.start_time)
        WHERE NOT ({_PLAYED_M}) AND m.over_odd IS NOT NULL"""),
-)
-
-
-@register("registry_fallback", """SELECT rq.event_id, rq.event_type_id, rq.season_start, rq.window_no,
-  CAST(CASE WHEN ex.o IS NOT NULL THEN ex.o WHEN pv.o IS NOT NULL THEN pv.o ELSE ls.o END AS INT) AS model_key,
-  CASE WHEN ex.o IS NOT NULL THEN 'exact' WHEN pv.o IS NOT NULL THEN 'previous' WHEN ls.o IS NOT NULL THEN 'last' END AS fallback
+    ("pol", _POLICY_VALUES),
+    ("rr", """SELECT rq.*, ex.o AS exact_o, pv.o AS prev_o, ls.last_o, ls.first_o, pol.policy
 FROM rq
 LEFT JOIN reg_w ex ON ex.event_type_id = rq.event_type_id AND ex.o = rq.season_start * 10 + rq.window_no
 LEFT JOIN (SELECT rq2.event_id, max(r.o) AS o FROM rq rq2 JOIN reg_w r ON r.event_type_id = rq2.event_type_id
            AND r.o < rq2.season_start * 10 + rq2.window_no GROUP BY rq2.event_id) pv ON pv.event_id = rq.event_id
-LEFT JOIN (SELECT event_type_id, max(o) AS o FROM reg_w GROUP BY event_type_id) ls ON ls.event_type_id = rq.event_type_id""",
-          _FALLBACK_CTES)
+LEFT JOIN (SELECT event_type_id, max(o) AS last_o, min(o) AS first_o FROM reg_w GROUP BY event_type_id) ls
+  ON ls.event_type_id = rq.event_type_id
+LEFT JOIN pol ON pol.event_type_id = rq.event_type_id"""),
+)
+
+
+@register("registry_fallback", """SELECT event_id, event_type_id, season_start, window_no,
+  CAST(CASE WHEN exact_o IS NOT NULL THEN exact_o
+            WHEN policy = 'previous_then_last' THEN coalesce(prev_o, last_o)
+            WHEN policy = 'last' THEN last_o WHEN policy = 'first' THEN first_o END AS INT) AS model_key,
+  CASE WHEN exact_o IS NOT NULL THEN 'exact'
+       WHEN policy = 'previous_then_last' AND prev_o IS NOT NULL THEN 'previous'
+       WHEN policy IN ('previous_then_last', 'last') AND last_o IS NOT NULL THEN 'last'
+       WHEN policy = 'first' AND first_o IS NOT NULL THEN 'first'
+       ELSE 'error: no model' END AS fallback
+FROM rr""", _FALLBACK_CTES)
 def registry_fallback(spark, d):
-    """Model window for every request: exact window, else the latest earlier window
-    with a model, else the league's last model window.
+    """Model window for every request under its league's fallback policy: exact window,
+    else previous-then-last / last / first, or an error value.
 
     As-of without pairs: request windows and model windows are unioned per league and a
     running ``last(model, ignorenulls)`` over the window order finds the previous model;
@@ -259,7 +271,7 @@ def registry_fallback(spark, d):
     models = (sp.groupBy(*L.WKEYS).agg(F.count(F.lit(1)).alias("n"))
                 .filter(F.col("n") >= config.WINDOW_MIN_MATCHES)
                 .select("event_type_id", order.alias("o"), F.lit(1).alias("is_model")))
-    mf = M.match_frame(t).filter(F.col("over_odd").isNotNull() & ~M.is_played())
+    mf = M.match_core(t).filter(F.col("over_odd").isNotNull() & ~M.is_played())
     req = (with_season_window(mf.select("event_id", "event_type_id", "start_time"), spark)
            .filter(F.col("window_no").isNotNull())
            .select("event_id", "event_type_id", "season_start", "window_no", order.alias("o")))
@@ -270,15 +282,23 @@ def registry_fallback(spark, d):
     w_all = Window.partitionBy("event_type_id")
     model_o = F.when(F.col("is_model") == 1, F.col("o"))
     res = (both.select("event_type_id", "o", "is_model",
-                       F.max(model_o).over(w_all).alias("last_o"),
+                       F.max(model_o).over(w_all).alias("last_o"), F.min(model_o).over(w_all).alias("first_o"),
                        F.last(model_o, ignorenulls=True).over(w_prev).alias("prev_o"))
                .groupBy("event_type_id", "o")
-               .agg(F.max("is_model").alias("exact"), F.max("prev_o").alias("prev_o"), F.max("last_o").alias("last_o")))
-    out = req.join(F.broadcast(res), ["event_type_id", "o"], "left")
-    key = (F.when(F.col("exact") == 1, F.col("o")).when(F.col("prev_o").isNotNull(), F.col("prev_o"))
-            .otherwise(F.col("last_o")))
-    kind = (F.when(F.col("exact") == 1, F.lit("exact")).when(F.col("prev_o").isNotNull(), F.lit("previous"))
-             .when(F.col("last_o").isNotNull(), F.lit("last")))
+               .agg(F.max("is_model").alias("exact"), F.max("prev_o").alias("prev_o"),
+                    F.max("last_o").alias("last_o"), F.max("first_o").alias("first_o")))
+    policies = spark.createDataFrame(sorted(config.LEAGUE_FALLBACK.items()), "event_type_id int, policy string")
+    out = (req.join(F.broadcast(res), ["event_type_id", "o"], "left")
+              .join(F.broadcast(policies), "event_type_id", "left"))
+    pol, exact = F.col("policy"), F.col("exact") == 1
+    key = (F.when(exact, F.col("o"))
+            .when(pol == "previous_then_last", F.coalesce(F.col("prev_o"), F.col("last_o")))
+            .when(pol == "last", F.col("last_o")).when(pol == "first", F.col("first_o")))
+    kind = (F.when(exact, F.lit("exact"))
+             .when((pol == "previous_then_last") & F.col("prev_o").isNotNull(), F.lit("previous"))
+             .when(pol.isin("previous_then_last", "last") & F.col("last_o").isNotNull(), F.lit("last"))
+             .when((pol == "first") & F.col("first_o").isNotNull(), F.lit("first"))
+             .otherwise(F.lit("error: no model")))
     return out.select("event_id", "event_type_id", "season_start", "window_no",
                       key.cast("int").alias("model_key"), kind.alias("fallback"))
 
