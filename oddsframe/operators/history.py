@@ -184,5 +184,6 @@ def joint_recent(tl: DataFrame, matches: DataFrame, limit: int = config.RECENT_L
 
 def league_position(played_matches: DataFrame) -> DataFrame:
     """0-based position of each played match in its league frame (start_time, event_id)."""
-    p = positions(played_matches, ["event_type_id"], "start_time", ["event_id"], {"_one": F.lit(1)})
+    p = positions(played_matches, ["event_type_id"], "start_time", ["event_id"], {"_one": F.lit(1)},
+                  split_instant=1 << 16)
     return p.select("event_id", (F.col("pos") - 1).alias("league_idx"))

@@ -21,6 +21,9 @@ from oddsframe.session import checkpoint_dir
 from oddsframe.sources.tables import Tables
 
 WKEYS = ["event_type_id", "season_start", "window_no"]
+# width of event_id buckets when ranking the matches of one (window, kick-off instant):
+# a league's kick-off instant may hold any number of matches, so it is split
+INSTANT_BUCKET = 1 << 16
 
 # model features (market + leak-free history), in assembly order
 MARKET_FEATURES = ["p_over_fair", "ou_overround", "cap_minus_25", "ou_odds_ratio"]
@@ -90,7 +93,8 @@ def chrono_split(tf: DataFrame) -> DataFrame:
     The window sizes table has one row per (league, season, window): at most 4 per
     league and year, so it is broadcast."""
     pos = positions(tf, WKEYS, "start_time", ["event_id"], {"_one": F.lit(1)},
-                    carry=[c for c in tf.columns if c not in WKEYS + ["start_time", "event_id"]])
+                    carry=[c for c in tf.columns if c not in WKEYS + ["start_time", "event_id"]],
+                    split_instant=INSTANT_BUCKET)
     out = pos.drop("_one", "_one_cum").join(F.broadcast(window_sizes(tf)), WKEYS, "inner")
     return out.withColumn("is_train", (F.col("pos") * config.TRAIN_DEN
                                        <= F.col("n_window") * config.TRAIN_NUM).cast("int"))
@@ -127,7 +131,7 @@ def stats_wide(train: DataFrame, keys: list[str], features: list[str]) -> DataFr
 def cv_folds(split: DataFrame, k: int = 5) -> DataFrame:
     """Stratified fold: position within (window, label) by (start_time, event_id), mod k."""
     keys = WKEYS + ["label_over"]
-    pos = positions(split, keys, "start_time", ["event_id"], {"_one": F.lit(1)})
+    pos = positions(split, keys, "start_time", ["event_id"], {"_one": F.lit(1)}, split_instant=INSTANT_BUCKET)
     return pos.select(*keys, "event_id", ((F.col("pos") - 1) % k).cast("int").alias("fold"))
 
 

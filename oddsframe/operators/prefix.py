@@ -20,15 +20,25 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def _bucket(col: Column, bucket: str | int) -> Column:
+    """Coarse bucket of the order column: a date_trunc unit for timestamps, or an integer
+    width for integral order columns (ids)."""
+    if isinstance(bucket, int):
+        return F.floor(col / bucket)
+    return F.date_trunc(bucket, col)
+
+
 def time_prefix(df: DataFrame, keys: list[str], time_col: str, values: dict[str, Column],
-                bucket: str = "month") -> DataFrame:
+                bucket: str | int = "month") -> DataFrame:
     """Returns keys, time, ``<v>_before`` (sum over strictly earlier times) and ``<v>_at``
     (sum at exactly this time) for every distinct (keys, time) of ``df``. NULL values
-    count as 0, so rows carried only to make their time present contribute nothing."""
+    count as 0, so rows carried only to make their time present contribute nothing.
+    ``time_col`` may be any orderable column; ``bucket`` is a date_trunc unit or, for
+    integral columns, an integer bucket width."""
     names = list(values)
     per_t = (df.groupBy(*keys, time_col)
                .agg(*[F.sum(F.coalesce(v, F.lit(0))).alias(n) for n, v in values.items()])
-               .withColumn("_bk", F.date_trunc(bucket, F.col(time_col))))
+               .withColumn("_bk", _bucket(F.col(time_col), bucket)))
     per_b = per_t.groupBy(*keys, "_bk").agg(*[F.sum(n).alias(n) for n in names])
     wb = Window.partitionBy(*keys).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
     off = per_b.select(*keys, "_bk", *[F.coalesce(F.sum(n).over(wb), F.lit(0)).alias(f"_off_{n}")
@@ -45,20 +55,45 @@ def time_prefix(df: DataFrame, keys: list[str], time_col: str, values: dict[str,
 
 def positions(df: DataFrame, keys: list[str], time_col: str, tiebreak: list[str],
               values: dict[str, Column], carry: list[str] | tuple[str, ...] = (),
-              bucket: str = "month") -> DataFrame:
+              bucket: str = "month", split_instant: int | None = None) -> DataFrame:
     """Row position ``pos`` (1-based, order time then tiebreak within keys), the row's
-    own values and inclusive running totals ``<v>_cum``; ``carry`` columns pass through."""
+    own values and inclusive running totals ``<v>_cum``; ``carry`` columns pass through.
+
+    Rows sharing one (keys, time) are ranked by a window over that instant; they arrive
+    hash-partitioned on (keys, time) from the join with the prefix table, so the window
+    adds no shuffle. When an instant can hold an unbounded number of rows (all matches
+    of a league on one day), ``split_instant`` = id-bucket width ranks inside
+    (instant, floor(id / width)) and adds per-bucket offsets from a partial count and a
+    window over the bucket counts: no window partition holds more than one bucket."""
     vals = {n: F.coalesce(v, F.lit(0)) for n, v in values.items()}
     base = df.select(*keys, time_col, *tiebreak, *carry, *[v.alias(f"_v_{n}") for n, v in vals.items()])
     pre = time_prefix(base, keys, time_col,
                       {"_n": F.lit(1), **{n: F.col(f"_v_{n}") for n in vals}}, bucket)
-    w = Window.partitionBy(*keys, time_col).orderBy(*tiebreak)
-    wc = w.rowsBetween(Window.unboundedPreceding, 0)
-    ranked = base.select("*", F.row_number().over(w).alias("_rk"),
-                         *[F.sum(f"_v_{n}").over(wc).alias(f"_c_{n}") for n in vals])
-    j = ranked.join(pre.select(*keys, time_col, "_n_before", *[f"{n}_before" for n in vals]),
-                    [*keys, time_col], "inner")
-    return j.select(*keys, time_col, *tiebreak, *carry,
-                    (F.col("_n_before") + F.col("_rk")).alias("pos"),
-                    *[F.col(f"_v_{n}").alias(n) for n in vals],
-                    *[(F.col(f"{n}_before") + F.col(f"_c_{n}")).alias(f"{n}_cum") for n in vals])
+    j = base.join(pre.select(*keys, time_col, "_n_before", *[f"{n}_before" for n in vals]),
+                  [*keys, time_col], "inner")
+    if split_instant is None:
+        w = Window.partitionBy(*keys, time_col).orderBy(*tiebreak)
+        wc = w.rowsBetween(Window.unboundedPreceding, 0)
+        ranked = j.select("*", F.row_number().over(w).alias("_rk"),
+                          *[F.sum(f"_v_{n}").over(wc).alias(f"_c_{n}") for n in vals])
+    else:
+        if len(tiebreak) != 1:
+            raise ValueError("split_instant needs one unique integral tiebreak column")
+        inst = [*keys, time_col]
+        jb = j.withColumn("_ib", F.floor(F.col(tiebreak[0]) / split_instant))
+        cnt = jb.groupBy(*inst, "_ib").agg(F.count(F.lit(1)).alias("_bn"),
+                                           *[F.sum(f"_v_{n}").alias(f"_bs_{n}") for n in vals])
+        wo = Window.partitionBy(*inst).orderBy("_ib").rowsBetween(Window.unboundedPreceding, -1)
+        off = cnt.select(*inst, "_ib", F.coalesce(F.sum("_bn").over(wo), F.lit(0)).alias("_ib_off"),
+                         *[F.coalesce(F.sum(f"_bs_{n}").over(wo), F.lit(0)).alias(f"_ibo_{n}") for n in vals])
+        wi = Window.partitionBy(*inst, "_ib").orderBy(tiebreak[0])
+        wic = wi.rowsBetween(Window.unboundedPreceding, 0)
+        r0 = jb.select("*", F.row_number().over(wi).alias("_rk0"),
+                       *[F.sum(f"_v_{n}").over(wic).alias(f"_c0_{n}") for n in vals])
+        ranked = r0.join(off, [*inst, "_ib"], "inner").select(
+            *j.columns, (F.col("_ib_off") + F.col("_rk0")).alias("_rk"),
+            *[(F.col(f"_ibo_{n}") + F.col(f"_c0_{n}")).alias(f"_c_{n}") for n in vals])
+    return ranked.select(*keys, time_col, *tiebreak, *carry,
+                         (F.col("_n_before") + F.col("_rk")).alias("pos"),
+                         *[F.col(f"_v_{n}").alias(n) for n in vals],
+                         *[(F.col(f"{n}_before") + F.col(f"_c_{n}")).alias(f"{n}_cum") for n in vals])

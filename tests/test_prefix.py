@@ -52,3 +52,14 @@ def test_prefix_crosses_month_buckets(spark):
     got = {r.t.month: r.x_before for r in time_prefix(df, ["k"], "t", {"x": F.col("x")}).collect()}
     assert got[12] == sum(range(1, 12))
     assert got[1] == 0
+
+
+@settings(max_examples=8, deadline=None)
+@given(rows_strategy)
+def test_positions_split_instant_matches_window(spark, raw):
+    rows = _rows(raw)
+    df = spark.createDataFrame(rows, SCHEMA)
+    a = {r.id: (r.pos, r.x_cum) for r in positions(df, ["k"], "t", ["id"], {"x": F.col("x")}).collect()}
+    b = {r.id: (r.pos, r.x_cum) for r in
+         positions(df, ["k"], "t", ["id"], {"x": F.col("x")}, split_instant=4).collect()}
+    assert a == b
