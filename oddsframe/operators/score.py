@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 from oddsframe import config
 
 # ---------------------------------------------------------------------------
-# The per-league literal registry of FIXTURES.md §3
-# (registry_literal: fixed mean, std, coefficient, intercept, threshold), so that
-# scoring and decisions have an exact oracle without fitting.
+# Fixture registry (FIXTURES.md §3 "registry_literal"): one model row per fixture league
+# with fixed mean, std, coefficient, intercept and threshold, chosen by this repository
+# (the original pickled models are not available) so that scoring and decisions have an
+# exact oracle without fitting. Fitted registries come from ``fit_logistic``.
 # feature order: p_over_fair, ou_overround, cap_minus_25, ou_odds_ratio
 # ---------------------------------------------------------------------------
 LITERAL_FEATURES = ["p_over_fair", "ou_overround", "cap_minus_25", "ou_odds_ratio"]
