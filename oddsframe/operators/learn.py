@@ -159,9 +159,11 @@ def threshold_search(train: DataFrame, keys: list[str], score: str = "p_over_fai
     """Grid threshold t_k = (LO + k) / 100 maximising train accuracy of ``score >= t``;
     ties -> lowest t.
 
-    No cross join: each row falls in one bucket kk = max{k : t_k <= score} (-1 if
-    none); per-bucket class counts are a partial aggregation, and the accuracy of
-    every grid point comes from running sums over at most K + 2 buckets per group."""
+    No cross join and no dense grid: each row falls in one bucket kk = max{k : t_k <=
+    score} (-1 if none); per-bucket class counts are a partial aggregation. The set of
+    rows called OVER only changes when k passes an occupied bucket, so the lowest k of
+    every constant stretch is 0 or (occupied bucket + 1); their accuracies come from
+    running sums in one window over at most K + 2 bucket rows per group."""
     lo, hi, den = config.THRESHOLD_GRID_LO, config.THRESHOLD_GRID_HI, config.THRESHOLD_GRID_DEN
     kmax = hi - lo
 
@@ -175,17 +177,23 @@ def threshold_search(train: DataFrame, keys: list[str], score: str = "p_over_fai
     buckets = (train.select(*keys, kk.alias("k"), F.col(label).alias("y"))
                     .groupBy(*keys, "k")
                     .agg(F.sum("y").alias("pos"), F.sum(F.lit(1) - F.col("y")).alias("neg")))
-    groups = buckets.groupBy(*keys).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
-    grid = groups.select(*keys, "P", "N", F.explode(F.sequence(F.lit(-1), F.lit(kmax))).alias("k"))
-    dense = grid.join(buckets, [*keys, "k"], "left").fillna(0, subset=["pos", "neg"])
-    w = Window.partitionBy(*keys).orderBy("k").rowsBetween(Window.unboundedPreceding, -1)
-    acc = dense.select(*keys, "k", "P", "N",
-                       (F.col("P") - F.coalesce(F.sum("pos").over(w), F.lit(0))).alias("pos_ge"),
-                       F.coalesce(F.sum("neg").over(w), F.lit(0)).alias("neg_lt")).filter(F.col("k") >= 0)
-    acc = acc.withColumn("correct", F.col("pos_ge") + F.col("neg_lt"))
-    best_w = Window.partitionBy(*keys).orderBy(F.col("correct").desc(), F.col("k").asc())
+    w_all = Window.partitionBy(*keys)
+    w_cum = Window.partitionBy(*keys).orderBy("k").rowsBetween(Window.unboundedPreceding, 0)
+    cum = buckets.select(*keys, "k", F.sum("pos").over(w_all).alias("P"), F.sum("neg").over(w_all).alias("N"),
+                         F.sum("pos").over(w_cum).alias("pos_le"), F.sum("neg").over(w_cum).alias("neg_le"),
+                         F.min("k").over(w_all).alias("k_min"))
+    # candidate k + 1 after every occupied bucket; candidate 0 when no row is below the grid
+    cands = F.array(
+        F.struct((F.col("k") + 1).alias("kc"), (F.col("P") - F.col("pos_le")).alias("pos_ge"),
+                 F.col("neg_le").alias("neg_lt")),
+        F.struct(F.when((F.col("k") == F.col("k_min")) & (F.col("k") >= 0), F.lit(0)).alias("kc"),
+                 F.col("P").alias("pos_ge"), F.lit(0).cast("bigint").alias("neg_lt")))
+    acc = (cum.select(*keys, "P", "N", F.inline(cands))
+              .filter(F.col("kc").isNotNull() & (F.col("kc") <= kmax))
+              .withColumn("correct", F.col("pos_ge") + F.col("neg_lt")))
+    best_w = Window.partitionBy(*keys).orderBy(F.col("correct").desc(), F.col("kc").asc())
     best = acc.withColumn("_rn", F.row_number().over(best_w)).filter(F.col("_rn") == 1)
-    return best.select(*keys, t(F.col("k")).alias("threshold"), (F.col("P") + F.col("N")).alias("n_train"),
+    return best.select(*keys, t(F.col("kc")).alias("threshold"), (F.col("P") + F.col("N")).alias("n_train"),
                        F.col("correct").alias("n_correct_train"),
                        div(F.col("correct"), F.col("P") + F.col("N")).alias("train_accuracy"))
 
