@@ -186,7 +186,8 @@ def scan_history_csv(spark, d):
     from oddsframe.sources.tables import read_history_csv
     path = f"{checkpoint_dir(spark)}/history-csv-{uuid.uuid4().hex}"
     mf = M.match_core(fixture_tables(spark, d)).filter(M.is_played())
-    (mf.select("event_id", F.date_format("start_time", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("start_time"),
+    iso = F.concat(F.regexp_replace(F.col("start_time").cast("string"), " ", "T"), F.lit("Z"))  # zone-free
+    (mf.select("event_id", iso.alias("start_time"),
                "home_id", "away_id", "home_ft_score", "away_ft_score", "over_under_cap")
        .write.option("header", "true").csv(path))
     return read_history_csv(spark, path)

@@ -201,15 +201,26 @@ HISTORY_CSV_SCHEMA = T.StructType([
 ])
 
 
+ISO_TS = r"^(\d{4})-(\d{2})-(\d{2})(?:[T ](\d{2}):(\d{2})(?::(\d{2}(?:\.\d{1,6})?))?)?Z?$"
+
+
+def parse_iso_ntz(text) -> Column:
+    """ISO date / date-time text (``Z`` suffix allowed) -> timestamp_ntz, NULL when malformed.
+
+    Built from the components with ``try_make_timestamp_ntz``, so the wall-clock value
+    never passes through the session time zone (no DST gap can move a midnight)."""
+    t = F.trim(text if isinstance(text, Column) else F.col(text))
+    part = lambda i: F.regexp_extract(t, ISO_TS, i)
+    num = lambda i: F.when(part(i) == "", F.lit(0)).otherwise(part(i).try_cast("int"))
+    sec = F.when(part(6) == "", F.lit(0)).otherwise(part(6).try_cast("decimal(8,6)")).cast("decimal(8,6)")
+    ok = t.rlike(ISO_TS)
+    return F.when(ok, F.try_make_timestamp_ntz(part(1).try_cast("int"), part(2).try_cast("int"),
+                                               part(3).try_cast("int"), num(4), num(5), sec))
+
+
 def read_history_csv(spark: SparkSession, path: str,
                      schema: T.StructType = HISTORY_CSV_SCHEMA) -> DataFrame:
-    """Match-history CSV with an explicit schema; ISO timestamps (``Z`` allowed) parsed
-    with ``try_to_timestamp`` so a bad value becomes NULL instead of failing the job."""
+    """Match-history CSV with an explicit schema; ISO timestamps (``Z`` allowed) are parsed
+    to timestamp_ntz, a malformed value becomes NULL instead of failing the job."""
     df = spark.read.schema(schema).option("header", "true").csv(path)
-    raw = F.regexp_replace(F.col("start_time"), "Z$", "")
-    parsed = F.coalesce(
-        F.try_to_timestamp(raw, F.lit("yyyy-MM-dd'T'HH:mm:ss")),
-        F.try_to_timestamp(raw, F.lit("yyyy-MM-dd HH:mm:ss")),
-        F.try_to_timestamp(raw, F.lit("yyyy-MM-dd")),
-    )
-    return df.withColumn("start_time", parsed.cast("timestamp_ntz"))
+    return df.withColumn("start_time", parse_iso_ntz("start_time"))

@@ -15,7 +15,8 @@ SF = "/root/testdata/sf0.001"
 def test_history_csv_roundtrip(spark):
     ev = fixture_tables(spark, SF).event.filter(F.col("home_ft_score").isNotNull())
     out = os.path.join(tempfile.mkdtemp(prefix="hist-csv-"), "hist")
-    (ev.select("event_id", F.date_format("start_time", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("start_time"),
+    (ev.select("event_id", F.concat(F.regexp_replace(F.col("start_time").cast("string"), " ", "T"),
+                                    F.lit("Z")).alias("start_time"),
                "home_id", "away_id", "home_ft_score", "away_ft_score", F.lit(2.5).alias("over_under_cap"))
        .write.option("header", "true").csv(out))
     back = read_history_csv(spark, out)
@@ -28,3 +29,18 @@ def test_stream_equals_batch(spark):
     batch = latest_per_key(fixture_tables(spark, SF).ou, QUOTE_PAYLOAD["ou"])
     stream = latest_quote_stream(spark, SF)
     assert batch.exceptAll(stream).count() == 0 and stream.exceptAll(batch).count() == 0
+
+
+def test_iso_parsing_is_zone_independent(spark):
+    from oddsframe.sources.tables import parse_iso_ntz
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")
+    try:
+        rows = [("1996-10-06T00:00:00Z",), ("1996-10-06",), ("2001-02-30T00:00:00",), ("junk",),
+                ("1998-01-02 13:45:10.5",)]
+        got = [r[0] for r in spark.createDataFrame(rows, "s string").select(parse_iso_ntz("s")).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    import datetime as dt
+    assert got == [dt.datetime(1996, 10, 6), dt.datetime(1996, 10, 6), None, None,
+                   dt.datetime(1998, 1, 2, 13, 45, 10, 500000)]
