@@ -39,7 +39,15 @@ def is_played(as_of_sql: str = config.AS_OF_SQL) -> Column:
 
 
 def match_frame(t: Tables, team_join: str = "inner", ou_join: str = "left",
-                quotes: dict[str, DataFrame] | None = None) -> DataFrame:
+                quotes: dict[str, DataFrame] | None = None, quote_policy: str = "latest") -> DataFrame:
+    """One row per match: league, both teams, and the latest quote of each market
+    (``quote_policy="asof"``: the latest quote strictly before kick-off, leak-free)."""
+    if quotes is None and quote_policy == "asof":
+        from oddsframe.operators.quotes import asof_latest
+        from oddsframe.sources.tables import QUOTE_PAYLOAD
+        quotes = {n: asof_latest(getattr(t, n), t.event, QUOTE_PAYLOAD[n]) for n in ("ou", "win", "hcp")}
+    elif quote_policy not in ("latest", "asof"):
+        raise ValueError(f"unknown quote_policy {quote_policy}")
     q = quotes or latest_quotes(t)
     home = t.team.select(F.col("team_id").alias("home_id"), F.col("name").alias("home_team"))
     away = t.team.select(F.col("team_id").alias("away_id"), F.col("name").alias("away_team"))

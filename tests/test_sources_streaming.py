@@ -44,3 +44,25 @@ def test_iso_parsing_is_zone_independent(spark):
     import datetime as dt
     assert got == [dt.datetime(1996, 10, 6), dt.datetime(1996, 10, 6), None, None,
                    dt.datetime(1998, 1, 2, 13, 45, 10, 500000)]
+
+
+def test_load_tables_canonical_parquet_roundtrip(spark):
+    from oddsframe.operators.matches import match_frame
+    from oddsframe.sources.tables import load_tables
+    t = fixture_tables(spark, SF)
+    root = tempfile.mkdtemp(prefix="canonical-")
+    for name, df in (("fb_event", t.event), ("fb_team", t.team), ("fb_event_type", t.event_type),
+                     ("fb_over_under_odd", t.ou), ("fb_win_odd", t.win), ("fb_handicap_odd", t.hcp)):
+        df.write.parquet(f"{root}/{name}.parquet")
+    back = load_tables(spark, root, fmt="parquet")
+    a, b = match_frame(t), match_frame(back)
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_asof_policy_never_uses_late_quotes(spark):
+    from oddsframe.operators.matches import match_frame
+    t = fixture_tables(spark, SF)
+    asof = match_frame(t, quote_policy="asof").select("event_id", "over_odd")
+    latest = match_frame(t).select("event_id", "over_odd")
+    n_asof = asof.filter(F.col("over_odd").isNotNull()).count()
+    assert 0 < n_asof < latest.filter(F.col("over_odd").isNotNull()).count()
