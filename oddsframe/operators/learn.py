@@ -7,6 +7,7 @@ Every per-window computation runs for all (league, season, window) groups in one
 from __future__ import annotations
 
 import numpy as np
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -204,7 +205,8 @@ def threshold_search(train: DataFrame, keys: list[str], score: str = "p_over_fai
 
 def fit_logistic_groups(spark: SparkSession, data: DataFrame, keys: list[str], features: list[str],
                         label: str = "label_over", c_reg: float = 1.0, max_iter: int = 25,
-                        tol: float = 1e-9, checkpoint_input: bool = True) -> DataFrame:
+                        tol: float = 1e-9, checkpoint_input: bool = True,
+                        c_col: str | None = None) -> DataFrame:
     """L2-regularised logistic regression (intercept unpenalised, penalty |w|^2 / 2C) for
     every group at once, on already standardised columns ``z_<feature>``.
 
@@ -214,16 +216,22 @@ def fit_logistic_groups(spark: SparkSession, data: DataFrame, keys: list[str], f
     back as a small DataFrame. The first step starts from beta = 0 (p = 1/2), needs no
     coefficients and also yields the group keys and sizes. The training rows are
     checkpointed once (unless the caller already did) so the lineage does not grow
-    with the iterations."""
+    with the iterations. ``c_col`` names a group-key column holding each group's C, so
+    a whole C grid is fitted in the same loop."""
     assert_no_leakage(features)
     d = len(features)
+    key_types = {f.name: f.dataType.simpleString() for f in data.schema.fields}
     rows = data.select(*keys, *[F.col(f"z_{f}").alias(f"x{i + 1}") for i, f in enumerate(features)],
                        F.col(label).cast("double").alias("y"))
     if checkpoint_input:
         checkpoint_dir(spark)
         rows = rows.checkpoint()
+    else:
+        # the caller's lineage is already short (built on a checkpoint): keep the rows
+        # across iterations without another write; a lost block is recomputed from it
+        rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
     xs = [F.lit(1.0)] + [F.col(f"x{i + 1}") for i in range(d)]
-    coef_schema = ", ".join([f"{k} int" for k in keys] + [f"b{i} double" for i in range(d + 1)])
+    coef_schema = ", ".join([f"{k} {key_types[k]}" for k in keys] + [f"b{i} double" for i in range(d + 1)])
 
     def newton_sums(scored: DataFrame):
         r = F.col("p") - F.col("y")
@@ -256,7 +264,8 @@ def fit_logistic_groups(spark: SparkSession, data: DataFrame, keys: list[str], f
             for i in range(d + 1):
                 for j in range(i, d + 1):
                     hess[i, j] = hess[j, i] = s[f"h{i}_{j}"]
-            pen = np.full(d + 1, 1.0 / c_reg)
+            c_g = float(s[c_col]) if c_col else c_reg
+            pen = np.full(d + 1, 1.0 / c_g)
             pen[0] = 0.0
             grad = grad + pen * b
             hess = hess + np.diag(pen) + np.eye(d + 1) * 1e-12
@@ -265,8 +274,10 @@ def fit_logistic_groups(spark: SparkSession, data: DataFrame, keys: list[str], f
             step_max = max(step_max, float(np.max(np.abs(delta))))
         if step_max < tol:
             break
+    if not checkpoint_input:
+        rows.unpersist()
     out = [tuple(g) + (float(b[0]), [float(v) for v in b[1:]], int(n_by_group[g]), iters)
            for g, b in beta.items()]
-    schema = ", ".join([f"{k} int" for k in keys]
+    schema = ", ".join([f"{k} {key_types[k]}" for k in keys]
                        + ["intercept double", "coef array<double>", "trained_n bigint", "iterations int"])
     return spark.createDataFrame(out, schema)

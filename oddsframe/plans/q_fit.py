@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -32,36 +33,59 @@ def _logit(coef_col: str, intercept_col: str, features: list[str]) -> F.Column:
     return F.lit(1.0) / (F.lit(1.0) + F.exp(-eta))
 
 
+C_GRID = (0.01, 0.1, 1.0, 10.0)
+N_FOLDS = 5
+
+
 def logistic_registry(spark, d, features=L.FEATURES, name="logistic_l2"):
-    """Fit every gated window, search its threshold on train probabilities, return the
-    registry rows (one per window)."""
+    """Per gated window: pick C from ``C_GRID`` by 5-fold stratified cross-validated
+    accuracy on the train rows, refit on all train rows with that C, search the
+    threshold on train probabilities. Every (window, C, held-out fold) model and every
+    (window, C) model on all train rows is fitted in one Newton loop (group key)."""
     train, _test = _train_test(spark, d)
+    folds = L.cv_folds(train, N_FOLDS).select("event_id", "fold")
     sw = L.stats_wide(train, L.WKEYS, features)
-    z = L.standardized(train, sw, L.WKEYS, features)
-    coefs = L.fit_logistic_groups(spark, z, L.WKEYS, features)
+    z = L.standardized(train.join(folds, "event_id"), sw, L.WKEYS, features).persist(StorageLevel.MEMORY_AND_DISK)
+    # fold -1 = all train rows: the final model of every C is fitted in the same loop
+    grid = F.array(*[F.struct(F.lit(c).alias("c_reg"), F.lit(f).alias("cv_fold"))
+                     for c in C_GRID for f in range(-1, N_FOLDS)])
+    rep = (z.select("*", F.inline(grid)).filter(F.col("cv_fold") != F.col("fold")))
+    cv_keys = L.WKEYS + ["c_reg", "cv_fold"]
+    all_coefs = L.fit_logistic_groups(spark, rep, cv_keys, features, c_col="c_reg", checkpoint_input=False)
+    cv_coefs = all_coefs.filter(F.col("cv_fold") >= 0)
+    held = z.join(F.broadcast(cv_coefs.withColumnRenamed("cv_fold", "fold")), L.WKEYS + ["fold"])
+    correct = ((_logit("coef", "intercept", features) >= 0.5).cast("int") == F.col("label_over")).cast("double")
+    cv_acc = held.groupBy(*L.WKEYS, "c_reg").agg(F.avg(correct).alias("cv_accuracy"))
+    w = Window.partitionBy(*L.WKEYS).orderBy(F.col("cv_accuracy").desc(), F.col("c_reg").asc())
+    best_c = cv_acc.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
+    coefs = (all_coefs.filter(F.col("cv_fold") == -1).join(F.broadcast(best_c.select(*L.WKEYS, "c_reg")),
+                                                           L.WKEYS + ["c_reg"])
+                      .drop("c_reg", "cv_fold"))
     scored = z.join(F.broadcast(coefs), L.WKEYS).withColumn("probability", _logit("coef", "intercept", features))
     thr = L.threshold_search(scored, L.WKEYS, score="probability")
     labels = train.select(*L.WKEYS, "window_label").distinct()
     reg = (coefs.join(F.broadcast(sw), L.WKEYS).join(F.broadcast(thr.select(*L.WKEYS, "threshold")), L.WKEYS)
-                .join(F.broadcast(labels), L.WKEYS))
+                .join(F.broadcast(labels), L.WKEYS).join(F.broadcast(best_c), L.WKEYS))
     return reg.select(*L.WKEYS, "window_label", F.lit(name).alias("model_name"),
                       F.array(*[F.lit(f) for f in features]).alias("feature_cols"),
                       F.array(*[F.col(f"{f}__mean") for f in features]).alias("mean"),
                       F.array(*[F.col(f"{f}__std") for f in features]).alias("scale"),
-                      "coef", "intercept", "threshold", F.col("trained_n").cast("bigint").alias("trained_n"))
+                      "coef", "intercept", "threshold", F.col("trained_n").cast("bigint").alias("trained_n"),
+                      "c_reg", "cv_accuracy")
 
 
 @register("fit_logistic")
 def fit_logistic(spark, d):
     """L2 logistic regression for every gated window at once (Newton steps as grouped
-    aggregations), threshold searched on train rows: the model registry."""
+    aggregations), C chosen by 5-fold CV on train rows, threshold searched on train
+    rows: the model registry."""
     return logistic_registry(spark, d)
 
 
 @register("model_registry_scan")
 def model_registry_scan(spark, d):
     """Registry written to the shared folder and scanned back with its fixed schema."""
-    path = write_registry(logistic_registry(spark, d), shared_registry_path(spark))
+    path = write_registry(logistic_registry(spark, d).drop("c_reg", "cv_accuracy"), shared_registry_path(spark))
     return read_registry(spark, path)
 
 
