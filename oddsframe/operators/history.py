@@ -95,21 +95,26 @@ def lookup_sides(matches: DataFrame, table: DataFrame,
     return j.groupBy("event_id", *carry).agg(*aggs)
 
 
-def rates(prefix: str, default: float | None = None) -> list[Column]:
-    """Averages from totals: scored, conceded, total, win rate, over rate, goal diff."""
+RATE_STATS = ("n", "scored", "conceded", "total", "win_rate", "over_rate", "goal_diff")
+
+
+def rates(prefix: str, default: float | None = None, stats: tuple[str, ...] = RATE_STATS) -> list[Column]:
+    """Averages from totals: scored, conceded, total, win rate, over rate, goal diff
+    (``default`` fills scored / conceded when there is no history)."""
     n, on = F.col(f"{prefix}_n"), F.col(f"{prefix}_over_n")
 
     def d(x):
         return x if default is None else F.coalesce(x, F.lit(default))
-    return [
-        n.alias(f"{prefix}_n"),
-        d(div(F.col(f"{prefix}_gf"), n)).alias(f"{prefix}_scored"),
-        d(div(F.col(f"{prefix}_ga"), n)).alias(f"{prefix}_conceded"),
-        div(F.col(f"{prefix}_tot"), n).alias(f"{prefix}_total"),
-        div(F.col(f"{prefix}_win"), n).alias(f"{prefix}_win_rate"),
-        div(F.col(f"{prefix}_over"), on).alias(f"{prefix}_over_rate"),
-        div(F.col(f"{prefix}_gf") - F.col(f"{prefix}_ga"), n).alias(f"{prefix}_goal_diff"),
-    ]
+    exprs = {
+        "n": n,
+        "scored": d(div(F.col(f"{prefix}_gf"), n)),
+        "conceded": d(div(F.col(f"{prefix}_ga"), n)),
+        "total": div(F.col(f"{prefix}_tot"), n),
+        "win_rate": div(F.col(f"{prefix}_win"), n),
+        "over_rate": div(F.col(f"{prefix}_over"), on),
+        "goal_diff": div(F.col(f"{prefix}_gf") - F.col(f"{prefix}_ga"), n),
+    }
+    return [exprs[s].alias(f"{prefix}_{s}") for s in stats]
 
 
 def two_sided(matches: DataFrame, table: DataFrame, pfx: tuple[str, str] = ("home", "away"),

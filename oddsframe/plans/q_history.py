@@ -34,11 +34,6 @@ def _base(mf):
     return mf.select("event_id", "event_type_id", "start_time", "home_id", "away_id", "over_under_cap")
 
 
-def _alias(col):
-    s = col._jc.toString()
-    return s.rsplit(" AS ", 1)[-1].strip("`")
-
-
 def cold_start_frame(spark, d):
     mf, tl = _ctx(spark, d)
     tab = H.expanding_table(tl, H.LEAGUE_TEAM)
@@ -162,9 +157,8 @@ def over_rate(spark, d):
     mf, tl = _ctx(spark, d)
     tab = H.expanding_table(tl, H.LEAGUE_TEAM)
     out = H.two_sided(_base(mf), tab)
-    return out.select("event_id",
-                      *[c for c in H.rates("home") if _alias(c) in ("home_n", "home_over_rate")],
-                      *[c for c in H.rates("away") if _alias(c) in ("away_n", "away_over_rate")])
+    return out.select("event_id", *H.rates("home", stats=("n", "over_rate")),
+                      *H.rates("away", stats=("n", "over_rate")))
 
 
 @_reg("venue_expanding", [hist_cte("hh", "home_id", venue=1), hist_cte("aa", "away_id", venue=0)],
@@ -175,9 +169,7 @@ def venue_expanding(spark, d):
     tab = H.expanding_table(tl, H.LEAGUE_TEAM_VENUE)
     out = H.two_sided(_base(mf), tab, pfx=("hh", "aa"), venue=True)
     keep = ("n", "scored", "conceded")
-    return out.select("event_id",
-                      *[c for c in H.rates("hh", 1.8) if _alias(c) in {f"hh_{k}" for k in keep}],
-                      *[c for c in H.rates("aa", 1.8) if _alias(c) in {f"aa_{k}" for k in keep}])
+    return out.select("event_id", *H.rates("hh", 1.8, stats=keep), *H.rates("aa", 1.8, stats=keep))
 
 
 @_reg("last_n_form", [hist_cte("lh", "home_id", n=config.LAST_N_FORM),
@@ -229,7 +221,7 @@ def venue_last_n(spark, d):
                 div(F.col(f"{a}_over") + F.col(f"{b}_over"), on).alias(f"{p}_v20_over_rate")]
 
     def pick(p, keep):
-        return [c for c in H.rates(p) if _alias(c) in {f"{p}_{k}" for k in keep}]
+        return H.rates(p, stats=keep)
     return out.select("event_id", *pick("hh10", _V3), *pick("aa10", _V3), *pick("ha10", ("n",)),
                       *pick("ah10", ("n",)), *v20("home", "hh10", "ha10"), *v20("away", "aa10", "ah10"))
 
