@@ -129,7 +129,7 @@ def ou_from_lineitem(lineitem: DataFrame) -> DataFrame:
     ), CANONICAL_SCHEMAS["fb_over_under_odd"])
 
 
-_FIXTURE_CACHE: dict[tuple[int, str], Tables] = {}
+_FIXTURE_CACHE: dict[tuple[int, str], tuple[SparkSession, Tables]] = {}
 
 
 def fixture_tables(spark: SparkSession, sf_dir: str) -> Tables:
@@ -137,10 +137,11 @@ def fixture_tables(spark: SparkSession, sf_dir: str) -> Tables:
 
     The lazy DataFrames are memoised per (session, folder): building them reads four
     parquet footers, and every query of the catalogue starts here."""
-    key = (id(getattr(spark, "_jsparkSession", spark)), sf_dir)
-    if key not in _FIXTURE_CACHE:
-        _FIXTURE_CACHE[key] = _fixture_tables(spark, sf_dir)
-    return _FIXTURE_CACHE[key]
+    key = (id(spark), sf_dir)
+    hit = _FIXTURE_CACHE.get(key)
+    if hit is None or hit[0] is not spark:  # the entry keeps its session alive: ids never recycle
+        hit = _FIXTURE_CACHE[key] = (spark, _fixture_tables(spark, sf_dir))
+    return hit[1]
 
 
 def _fixture_tables(spark: SparkSession, sf_dir: str) -> Tables:
