@@ -34,3 +34,28 @@ def test_latest_row_number_uses_partial_group_limit(spark):
         assert "WindowGroupLimit" in _plan(df)
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_bucketed_quotes_need_no_shuffle(spark):
+    import tempfile
+
+    from oddsframe.operators.matches import match_frame
+    from oddsframe.operators.quotes import latest_per_key
+    from oddsframe.sources.tables import QUOTE_PAYLOAD, fixture_tables, load_tables, save_bucketed
+    root = tempfile.mkdtemp(prefix="bucketed-")
+    save_bucketed(spark, fixture_tables(spark, SF), "oddsframe_test_db", root, 8)
+    t = load_tables(spark, "oddsframe_test_db", fmt="table")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "8k")  # dimensions only
+    try:
+        latest = _plan(latest_per_key(t.ou, QUOTE_PAYLOAD["ou"]))
+        assert "Exchange" not in latest
+        frame = _plan(match_frame(t))
+        # only the dimension broadcasts remain; matches and quote aggregates are co-bucketed
+        assert "Exchange hashpartitioning" not in frame
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    base = fixture_tables(spark, SF)
+    a, b = match_frame(base), match_frame(t)
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
