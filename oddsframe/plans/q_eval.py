@@ -14,7 +14,7 @@ from oddsframe.operators import learn as L
 from oddsframe.operators import matches as M
 from oddsframe.operators import score as S
 from oddsframe.plans.oracle_base import PLAYED
-from oddsframe.plans.q_learn import LEARN_CTES, STRICT_SQL, WK, _pooled, _split, _test_predictions, _window_scores
+from oddsframe.plans.q_learn import LEARN_CTES, WK, _pooled, _test_predictions, _window_scores
 from oddsframe.plans.registry import register
 from oddsframe.plans.sqlx import P_OVER_FAIR, rr6
 from oddsframe.sources.tables import fixture_tables

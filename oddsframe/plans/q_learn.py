@@ -9,15 +9,14 @@ from pyspark.sql import functions as F
 from oddsframe import config
 from oddsframe.functions import market
 from oddsframe.functions.calendar import with_season_window
-from oddsframe.functions.helpers import div, finite_or
+from oddsframe.functions.helpers import div
 from oddsframe.operators import evaluate as EV
 from oddsframe.operators import learn as L
 from oddsframe.operators import matches as M
-from oddsframe.operators import score as S
 from oddsframe.plans.oracle_base import PLAYED
 from oddsframe.plans.q_history import CS_CTES
 from oddsframe.plans.registry import register
-from oddsframe.plans.sqlx import OU_SUM, P_OVER, P_OVER_FAIR, P_UNDER, rr6
+from oddsframe.plans.sqlx import OU_SUM, P_OVER, P_OVER_FAIR, rr6
 from oddsframe.sources.tables import fixture_tables
 
 WK = "event_type_id, season_start, window_no"

@@ -1,3 +1,5 @@
 from oddsframe.sources.tables import (  # noqa: F401
-    Tables, fixture_tables, load_tables, read_history_csv, CANONICAL_SCHEMAS,
+    CANONICAL_SCHEMAS, Tables, fixture_tables, load_tables, read_history_csv, save_bucketed,
 )
+
+__all__ = ["CANONICAL_SCHEMAS", "Tables", "fixture_tables", "load_tables", "read_history_csv", "save_bucketed"]
