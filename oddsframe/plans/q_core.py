@@ -82,10 +82,17 @@ def league_gate_frame(mf):
               .groupBy("event_type_id").agg(F.count(F.lit(1)).alias("n_completed")))
 
 
-@register("league_filter", f"SELECT {MF_COLS} FROM mf WHERE event_type_id IN ({_GATE_SQL})")
+_ROUTED = [lg for lg, (_c, pred, _p, _s) in sorted(config.LEAGUES.items()) if pred]
+
+
+@register("league_filter", f"""SELECT {MF_COLS} FROM mf
+WHERE event_type_id IN ({", ".join(str(x) for x in _ROUTED)}) AND event_type_id IN ({_GATE_SQL})""")
 def league_filter(spark, d):
-    """Matches of the leagues that pass the >= 100 completed-with-odds gate."""
-    mf = M.match_frame(fixture_tables(spark, d))
+    """Matches of the leagues served by a predictor (an IN filter on the league id, which
+    prunes partitions when matches are stored by league) that also pass the >= 100
+    completed-with-odds gate."""
+    t = fixture_tables(spark, d)
+    mf = M.match_frame(t).filter(F.col("event_type_id").isin(_ROUTED))
     ok = league_gate_frame(mf).filter(F.col("n_completed") >= config.LEAGUE_MIN_MATCHES)
     return mf.join(ok.select("event_type_id"), "event_type_id", "left_semi")
 
