@@ -38,6 +38,25 @@ def literal_registry(spark: SparkSession) -> DataFrame:
                                        "std double, coef double")
 
 
+def encode_teams(events: DataFrame, seen: Column) -> DataFrame:
+    """Team id -> index over the sorted ids of teams with a ``seen`` (e.g. played) match;
+    every other team gets the extra 'keep' index (= number of seen teams). One row per
+    team: the window over the vocabulary is one small task and the result is broadcast."""
+    from pyspark.sql import Window
+    sides = F.array(F.struct(F.col("home_id").alias("team_id"), seen.cast("int").alias("seen")),
+                    F.struct(F.col("away_id").alias("team_id"), seen.cast("int").alias("seen")))
+    ids = events.select(F.inline(sides)).groupBy("team_id").agg(F.max("seen").alias("seen"))
+    seen_id = F.when(F.col("seen") == 1, F.col("team_id"))
+    vocab = ids.select(
+        "team_id",
+        F.when(F.col("seen") == 1, F.dense_rank().over(Window.orderBy(F.col("seen").desc(), "team_id")) - 1)
+         .otherwise(F.count(seen_id).over(Window.partitionBy())).cast("int").alias("idx"))
+    h = vocab.select(F.col("team_id").alias("home_id"), F.col("idx").alias("home_idx"))
+    a = vocab.select(F.col("team_id").alias("away_id"), F.col("idx").alias("away_idx"))
+    return (events.select("event_id", "home_id", "away_id").join(F.broadcast(h), "home_id", "left")
+                  .join(F.broadcast(a), "away_id", "left").select("event_id", "home_idx", "away_idx"))
+
+
 def feature_long(df: DataFrame, key: list[str], features: list[str]) -> DataFrame:
     """Wide features -> (key..., feature, value) via stack (one generator, no shuffle)."""
     stack = ", ".join(f"'{f}', CAST(`{f}` AS DOUBLE)" for f in features)

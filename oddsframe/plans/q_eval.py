@@ -313,22 +313,7 @@ def team_encoding(spark, d):
     extra 'keep' index. The vocabulary has one row per team (a window over it is one
     small task) and is broadcast into the match rows."""
     ev = fixture_tables(spark, d).event
-    played = M.is_played().cast("int")
-    ids = (ev.select(F.inline(F.array(F.struct(F.col("home_id").alias("team_id"), played.alias("seen")),
-                                      F.struct(F.col("away_id").alias("team_id"), played.alias("seen")))))
-             .groupBy("team_id").agg(F.max("seen").alias("seen")))
-    w_all = Window.partitionBy()
-    seen_ids = F.when(F.col("seen") == 1, F.col("team_id"))
-    vocab = ids.select(
-        "team_id",
-        F.when(F.col("seen") == 1,
-               F.dense_rank().over(Window.orderBy(F.col("seen").desc(), "team_id")) - 1)
-         .otherwise(F.count(seen_ids).over(w_all)).cast("int").alias("idx"))
-    h = vocab.select(F.col("team_id").alias("home_id"), F.col("idx").alias("home_idx"))
-    a = vocab.select(F.col("team_id").alias("away_id"), F.col("idx").alias("away_idx"))
-    out = ev.select("event_id", "home_id", "away_id").join(F.broadcast(h), "home_id", "left").join(
-        F.broadcast(a), "away_id", "left")
-    return out.select("event_id", "home_idx", "away_idx")
+    return S.encode_teams(ev, M.is_played())
 
 
 @register("null_policy", """SELECT event_id,
