@@ -57,6 +57,43 @@ def encode_teams(events: DataFrame, seen: Column) -> DataFrame:
                   .join(F.broadcast(a), "away_id", "left").select("event_id", "home_idx", "away_idx"))
 
 
+def resolve_model_windows(models: DataFrame, requests: DataFrame, policies: DataFrame) -> DataFrame:
+    """Model window for each request row (event_type_id, o = ordered window key): the
+    exact window if it has a model, else by the league's policy: previous_then_last
+    (latest earlier model window, else the last), last, first, or an error value.
+
+    As-of without pairs: model and request windows are unioned per league and a running
+    ``last(model, ignorenulls)`` over the window order finds the previous model. The
+    resolution table has one row per distinct request window (bounded by leagues x
+    windows), so it is broadcast back to the request rows."""
+    from pyspark.sql import Window
+    m = models.select("event_type_id", "o", F.lit(1).alias("is_model"))
+    r = requests.select("event_type_id", "o").distinct().withColumn("is_model", F.lit(0))
+    both = m.unionByName(r)
+    w_prev = Window.partitionBy("event_type_id").orderBy("o", F.col("is_model").desc()) \
+                   .rowsBetween(Window.unboundedPreceding, -1)
+    w_all = Window.partitionBy("event_type_id")
+    model_o = F.when(F.col("is_model") == 1, F.col("o"))
+    res = (both.select("event_type_id", "o", "is_model",
+                       F.max(model_o).over(w_all).alias("last_o"), F.min(model_o).over(w_all).alias("first_o"),
+                       F.last(model_o, ignorenulls=True).over(w_prev).alias("prev_o"))
+               .groupBy("event_type_id", "o")
+               .agg(F.max("is_model").alias("exact"), F.max("prev_o").alias("prev_o"),
+                    F.max("last_o").alias("last_o"), F.max("first_o").alias("first_o")))
+    out = (requests.join(F.broadcast(res), ["event_type_id", "o"], "left")
+                   .join(F.broadcast(policies), "event_type_id", "left"))
+    pol, exact = F.col("policy"), F.col("exact") == 1
+    key = (F.when(exact, F.col("o"))
+            .when(pol == "previous_then_last", F.coalesce(F.col("prev_o"), F.col("last_o")))
+            .when(pol == "last", F.col("last_o")).when(pol == "first", F.col("first_o")))
+    kind = (F.when(exact, F.lit("exact"))
+             .when((pol == "previous_then_last") & F.col("prev_o").isNotNull(), F.lit("previous"))
+             .when(pol.isin("previous_then_last", "last") & F.col("last_o").isNotNull(), F.lit("last"))
+             .when((pol == "first") & F.col("first_o").isNotNull(), F.lit("first"))
+             .otherwise(F.lit("error: no model")))
+    return out.select(*requests.columns, key.cast("int").alias("model_key"), kind.alias("fallback"))
+
+
 def feature_long(df: DataFrame, key: list[str], features: list[str]) -> DataFrame:
     """Wide features -> (key..., feature, value) via stack (one generator, no shuffle)."""
     stack = ", ".join(f"'{f}', CAST(`{f}` AS DOUBLE)" for f in features)

@@ -270,37 +270,14 @@ def registry_fallback(spark, d):
     order = (F.col("season_start") * 10 + F.col("window_no")).cast("int")
     models = (sp.groupBy(*L.WKEYS).agg(F.count(F.lit(1)).alias("n"))
                 .filter(F.col("n") >= config.WINDOW_MIN_MATCHES)
-                .select("event_type_id", order.alias("o"), F.lit(1).alias("is_model")))
+                .select("event_type_id", order.alias("o")))
     mf = M.match_core(t).filter(F.col("over_odd").isNotNull() & ~M.is_played())
     req = (with_season_window(mf.select("event_id", "event_type_id", "start_time"), spark)
            .filter(F.col("window_no").isNotNull())
            .select("event_id", "event_type_id", "season_start", "window_no", order.alias("o")))
-    req_w = req.select("event_type_id", "o").distinct().withColumn("is_model", F.lit(0))
-    both = models.unionByName(req_w)
-    w_prev = Window.partitionBy("event_type_id").orderBy("o", F.col("is_model").desc()) \
-                   .rowsBetween(Window.unboundedPreceding, -1)
-    w_all = Window.partitionBy("event_type_id")
-    model_o = F.when(F.col("is_model") == 1, F.col("o"))
-    res = (both.select("event_type_id", "o", "is_model",
-                       F.max(model_o).over(w_all).alias("last_o"), F.min(model_o).over(w_all).alias("first_o"),
-                       F.last(model_o, ignorenulls=True).over(w_prev).alias("prev_o"))
-               .groupBy("event_type_id", "o")
-               .agg(F.max("is_model").alias("exact"), F.max("prev_o").alias("prev_o"),
-                    F.max("last_o").alias("last_o"), F.max("first_o").alias("first_o")))
     policies = spark.createDataFrame(sorted(config.LEAGUE_FALLBACK.items()), "event_type_id int, policy string")
-    out = (req.join(F.broadcast(res), ["event_type_id", "o"], "left")
-              .join(F.broadcast(policies), "event_type_id", "left"))
-    pol, exact = F.col("policy"), F.col("exact") == 1
-    key = (F.when(exact, F.col("o"))
-            .when(pol == "previous_then_last", F.coalesce(F.col("prev_o"), F.col("last_o")))
-            .when(pol == "last", F.col("last_o")).when(pol == "first", F.col("first_o")))
-    kind = (F.when(exact, F.lit("exact"))
-             .when((pol == "previous_then_last") & F.col("prev_o").isNotNull(), F.lit("previous"))
-             .when(pol.isin("previous_then_last", "last") & F.col("last_o").isNotNull(), F.lit("last"))
-             .when((pol == "first") & F.col("first_o").isNotNull(), F.lit("first"))
-             .otherwise(F.lit("error: no model")))
-    return out.select("event_id", "event_type_id", "season_start", "window_no",
-                      key.cast("int").alias("model_key"), kind.alias("fallback"))
+    out = S.resolve_model_windows(models, req, policies)
+    return out.select("event_id", "event_type_id", "season_start", "window_no", "model_key", "fallback")
 
 
 @register("team_encoding", """SELECT e.event_id, coalesce(h.idx, sz.n) AS home_idx, coalesce(a.idx, sz.n) AS away_idx

@@ -67,3 +67,20 @@ def test_unseen_team_gets_keep_index(spark):
                                "event_id int, home_id int, away_id int, played boolean")
     got = {r.event_id: (r.home_idx, r.away_idx) for r in encode_teams(ev, F.col("played")).collect()}
     assert got == {1: (0, 1), 2: (1, 2), 3: (0, 3)}   # 42 never played: keep index = 3 seen teams
+
+
+def test_registry_gaps_follow_each_policy(spark):
+    from oddsframe.operators.score import resolve_model_windows
+    models = spark.createDataFrame([(1, 20001), (1, 20003), (2, 20002)], "event_type_id int, o int")
+    reqs = spark.createDataFrame(
+        [(10, 1, 20003), (11, 1, 20002), (12, 1, 20000), (20, 2, 20004), (21, 2, 20001), (30, 3, 20001)],
+        "event_id int, event_type_id int, o int")
+    pol = spark.createDataFrame([(1, "previous_then_last"), (2, "first"), (3, "error")],
+                                "event_type_id int, policy string")
+    got = {r.event_id: (r.model_key, r.fallback) for r in resolve_model_windows(models, reqs, pol).collect()}
+    assert got == {10: (20003, "exact"), 11: (20001, "previous"), 12: (20003, "last"),
+                   20: (20002, "first"), 21: (20002, "first"), 30: (None, "error: no model")}
+    pol_last = spark.createDataFrame([(1, "last")], "event_type_id int, policy string")
+    got = {r.event_id: (r.model_key, r.fallback)
+           for r in resolve_model_windows(models, reqs.filter("event_type_id = 1"), pol_last).collect()}
+    assert got == {10: (20003, "exact"), 11: (20003, "last"), 12: (20003, "last")}
