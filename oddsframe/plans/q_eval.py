@@ -3,7 +3,6 @@ and the model fits (rows-only: no SQL form)."""
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from oddsframe import config
