@@ -203,6 +203,10 @@ def threshold_search(train: DataFrame, keys: list[str], score: str = "p_over_fai
 # Grouped logistic regression: Newton steps as one aggregation each
 # ---------------------------------------------------------------------------
 
+ETA_CLIP = 35.0          # |logit| beyond which p is 0 / 1 in double precision anyway
+INTERCEPT_RIDGE = 1e-6   # tiny ridge on the intercept (a one-class group would diverge)
+
+
 def fit_logistic_groups(spark: SparkSession, data: DataFrame, keys: list[str], features: list[str],
                         label: str = "label_over", c_reg: float = 1.0, max_iter: int = 25,
                         tol: float = 1e-9, checkpoint_input: bool = True,
@@ -252,6 +256,7 @@ def fit_logistic_groups(spark: SparkSession, data: DataFrame, keys: list[str], f
             coefs = spark.createDataFrame([tuple(g) + tuple(float(v) for v in b) for g, b in beta.items()],
                                           coef_schema)
             eta = sum((F.col(f"b{i}") * xs[i] for i in range(d + 1)), F.lit(0.0))
+            eta = F.least(F.greatest(eta, F.lit(-ETA_CLIP)), F.lit(ETA_CLIP))  # no exp overflow
             scored = rows.join(F.broadcast(coefs), keys, "inner").withColumn(
                 "p", F.lit(1.0) / (F.lit(1.0) + F.exp(-eta)))
         step_max = 0.0
@@ -266,10 +271,15 @@ def fit_logistic_groups(spark: SparkSession, data: DataFrame, keys: list[str], f
                     hess[i, j] = hess[j, i] = s[f"h{i}_{j}"]
             c_g = float(s[c_col]) if c_col else c_reg
             pen = np.full(d + 1, 1.0 / c_g)
-            pen[0] = 0.0
+            pen[0] = INTERCEPT_RIDGE  # keeps a one-class group's intercept finite
             grad = grad + pen * b
-            hess = hess + np.diag(pen) + np.eye(d + 1) * 1e-12
-            delta = np.linalg.solve(hess, grad)
+            hess = hess + np.diag(pen)
+            try:
+                delta = np.linalg.solve(hess, grad)
+            except np.linalg.LinAlgError:
+                delta = np.zeros(d + 1)
+            if not np.all(np.isfinite(delta)):
+                delta = np.zeros(d + 1)
             beta[g] = b - delta
             step_max = max(step_max, float(np.max(np.abs(delta))))
         if step_max < tol:

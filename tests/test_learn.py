@@ -89,3 +89,12 @@ def test_leakage_guard():
     import pytest
     with pytest.raises(ValueError):
         L.assert_no_leakage(["p_over_fair", "home_ft_score"])
+
+
+def test_one_class_group_stays_finite(spark):
+    rows = [(1, float(i % 5) - 2.0, float(i % 3) - 1.0, 1) for i in range(12)]
+    rows += [(2, float(i % 5) - 2.0, float(i % 3) - 1.0, i % 2) for i in range(12)]
+    df = spark.createDataFrame(rows, "g int, z_a double, z_b double, label_over int")
+    got = {r.g: r for r in L.fit_logistic_groups(spark, df, ["g"], ["a", "b"]).collect()}
+    assert np.isfinite(got[1].intercept) and got[1].intercept > 5
+    assert all(np.isfinite(c) for r in got.values() for c in r.coef)
