@@ -87,3 +87,19 @@ def test_stream_over_several_micro_batches_equals_batch(spark):
     # a replayed micro-batch only re-appends candidates: the result does not change
     again = run_latest_quote_stream(spark, stream, f"{work}/candidates", f"{tempfile.mkdtemp()}/_ckpt2")
     assert again.exceptAll(batch).count() == 0 and batch.exceptAll(again).count() == 0
+
+
+def test_prediction_sinks_round_trip(spark):
+    import json
+
+    import __spark_entry__ as E
+    from oddsframe.sources.sinks import write_predictions
+    preds = E.queries()["prediction_output"](spark, SF)
+    root = tempfile.mkdtemp(prefix="sink-")
+    write_predictions(preds, f"{root}/pq")
+    back = spark.read.parquet(f"{root}/pq")
+    assert back.count() == preds.count()
+    assert set(back.columns) == set(preds.columns)
+    write_predictions(preds.drop("start_time"), f"{root}/json", fmt="json")
+    lines = spark.read.text(f"{root}/json").collect()
+    assert len(lines) == preds.count() and json.loads(lines[0].value)["prediction"] in ("OVER", "UNDER")
