@@ -95,6 +95,9 @@ def _ml_eval(spark, d, estimator, name):
     L.assert_no_leakage(cols)
     pipe = Pipeline(stages=[VectorAssembler(inputCols=cols, outputCol="features", handleInvalid="keep"),
                             estimator])
+    if train.isEmpty():  # no window passes the gate: nothing to fit, empty typed result
+        pred = test.withColumn("pred_over", F.lit(None).cast("int"))
+        return None, EV.window_score(EV.settle(pred), L.WKEYS).withColumn("model_name", F.lit(name))
     model = pipe.fit(train)
     pred = model.transform(test).withColumn("pred_over", F.col("prediction").cast("int"))
     scores = EV.window_score(EV.settle(pred), L.WKEYS)
@@ -121,8 +124,8 @@ def feature_importance(spark, d):
     """Random-forest importances and mean |coefficient| of the windowed logistic models."""
     model, _ = _ml_eval(spark, d, RandomForestClassifier(labelCol="label_over", featuresCol="features",
                                                          numTrees=50, maxDepth=4, seed=42), "random_forest")
-    imp = model.stages[-1].featureImportances.toArray().tolist()
     cols = L.FEATURES + ["event_type_id"]
+    imp = model.stages[-1].featureImportances.toArray().tolist() if model is not None else []
     rf = spark.createDataFrame([("random_forest", c, float(v)) for c, v in zip(cols, imp)],
                                "model_name string, feature string, importance double")
     reg = logistic_registry(spark, d)
