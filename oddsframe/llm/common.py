@@ -46,6 +46,20 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Hand this package to the Python workers once per session, so that they find it wherever
+    they start (the same as ``--py-files`` at submission)."""
+    sc = spark.sparkContext
+    if getattr(sc, "_oddsframe_shipped", False):
+        return
+    import shutil
+    import tempfile
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    to = os.path.join(tempfile.mkdtemp(prefix="oddsframe-py-"), "oddsframe")
+    sc.addPyFile(shutil.make_archive(to, "zip", root, "oddsframe"))
+    sc._oddsframe_shipped = True
+
+
 def tokenizer_file(name: str, folder: str | None = None) -> str:
     """Place of a public vocabulary file: ``folder`` if given, else that of the installed
     ``public_tokenizers`` package, else the default folder."""

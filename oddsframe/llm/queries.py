@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from oddsframe.llm import simhash_bktree
-from oddsframe.llm.common import read_table
+from oddsframe.llm import packing, simhash_bktree, token_counts
+from oddsframe.llm.common import read_table, ship_package, tokenizer_file
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -15,7 +16,12 @@ ORACLES: dict[str, str] = {}
 
 def query(name: str, oracle: str | None = None):
     def deco(fn):
-        QUERIES[name] = fn
+        @wraps(fn)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship_package(spark)
+            return fn(spark, sf_dir)
+
+        QUERIES[name] = run
         if oracle:
             ORACLES[name] = oracle
         return fn
@@ -26,3 +32,17 @@ def query(name: str, oracle: str | None = None):
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash components of all documents (3-word shingles, at most 3 bits)."""
     return simhash_bktree.near_duplicates(read_table(spark, sf_dir, "documents", "doc_id", "text"), 3, 3)
+
+
+@query("op8_packing")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of at most 4096 word-BPE tokens."""
+    return packing.pack(read_table(spark, sf_dir, "documents", "doc_id", "text"),
+                        tokenizer_file("word_bpe_49k.json"), end_id=2, width=4096, with_ids=False).drop("ids")
+
+
+@query("op10_token_counts")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Byte-level BPE token counts of all documents."""
+    return token_counts.token_counts(read_table(spark, sf_dir, "documents", "doc_id", "text"),
+                                     tokenizer_file("byte_bpe_50k.json"), limit=1024)
