@@ -9,7 +9,8 @@ longer than ``stretch`` tokens has neither, or near the end of the stream, at an
     f(j) = cut(j) + window_cost + min over i in [j - width, j) of f(i) + width - (j - i)
 
 whose minimum over a sliding range of ``f(i) + i`` is kept in a monotone queue. A window whose length
-is a power of two needs no padding; those few transitions are looked up besides the queue.
+is a power of two (``SHORTEST`` or more) needs no padding; those few transitions are looked up besides the
+queue.
 
 A task's stream is cut in segments of about ``SEGMENT`` tokens: the cuts of a segment but for its
 last windows are final, the rest goes on into the next segment, so memory is bounded. Streams of
@@ -23,6 +24,7 @@ columns are dropped; an empty table gives no pieces.
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections import deque
 from collections.abc import Iterator
 from functools import lru_cache
@@ -39,6 +41,7 @@ from oddsframe.llm.token_counts import expand
 WIDTH = 4096
 SENTENCE_COST, HARD_COST, WINDOW_COST = 2, 24, 16
 STRETCH = 128
+SHORTEST = 64  # windows of a smaller power of two are not looked for
 SEGMENT = 1 << 20
 BLOCK_CHARS = 4_000_000
 INTERN_MAX = 1_000_000
@@ -54,31 +57,53 @@ def _load(path: str):
 
 class _Words(dict):
     """Word (a run without space and newline) -> number, with the ids of each. Ids never span such
-    white space, so a text's ids are its words' ids one after the other. Number 0 ends a document."""
+    white space, so a text's ids are its words' ids one after the other. Number 0 ends a document.
+
+    A run of lower-case Latin-1 letters is one pre-token, so the model is asked directly; letters
+    followed by one mark are two pre-tokens; all else goes through the whole tokenizer."""
 
     def __init__(self, path: str, end_id: int) -> None:
         super().__init__()
         self.tok = _load(path)
-        self.new: list[str] = []
-        self.flat = [np.array([end_id], dtype=np.uint32)]
-        self.lens = [1]
-        self.ends = [True]
+        letters = [c for c in map(chr, range(256)) if c.isalpha() and c == c.lower()]
+        self.bytes_of = {ord(c): "".join(w for w, _ in self.tok.pre_tokenizer.pre_tokenize_str(c)) for c in letters}
+        self.letters = frozenset(letters)
+        self.marks = {c: self.tok.encode(c, add_special_tokens=False).ids for c in ",.!?"}
+        self.flat, self.lens, self.ends = array("I", [end_id]), array("I", [1]), bytearray([1])
+
+    def ids(self, word: str) -> list[int]:
+        if self.letters.issuperset(word):
+            return [t.id for t in self.tok.model.tokenize(word.translate(self.bytes_of))] if word else []
+        if word[-1] in ",.!?" and self.letters.issuperset(word[:-1]):
+            return self.ids(word[:-1]) + self.marks[word[-1]]
+        return self.tok.encode(word, add_special_tokens=False).ids
 
     def __missing__(self, word: str) -> int:
+        found = self.ids(word)
         self[word] = n = len(self.ends)
-        self.new.append(word)
+        self.flat.extend(found)
+        self.lens.append(len(found))
         self.ends.append(word == "\n" or word[-1:] in (".", "!", "?"))
         return n
 
     def tables(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        if self.new:
-            for e in self.tok.encode_batch(self.new, add_special_tokens=False):
-                self.flat.append(np.array(e.ids, dtype=np.uint32))
-                self.lens.append(len(e.ids))
-            self.new = []
-        flat, lens = np.concatenate(self.flat), np.array(self.lens, dtype=np.int64)
-        self.flat = [flat]
-        return flat, lens, np.cumsum(lens) - lens, np.array(self.ends)
+        lens = np.array(self.lens, dtype=np.int64)
+        return np.array(self.flat, dtype=np.uint32), lens, np.cumsum(lens) - lens, np.array(self.ends, dtype=bool)
+
+
+def _lower(text: str) -> str:
+    """The library lower-cases each character by itself; for Latin-1 texts so does ``str.lower``.
+    Done before words are looked up, it halves the distinct words. Other texts are left to the library."""
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return text
+    return text.lower()
+
+
+def _distinct(x: np.ndarray) -> np.ndarray:
+    x = np.sort(x)
+    return x[np.concatenate(([True], x[1:] != x[:-1]))] if len(x) else x
 
 
 def tokenise(texts: list[str], words: _Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -86,7 +111,7 @@ def tokenise(texts: list[str], words: _Words) -> tuple[np.ndarray, np.ndarray, n
     which a sentence ends."""
     seen, counts = [], []
     for t in texts:
-        parts = t.replace("\n", " \n ").split(" ") if t else []
+        parts = _lower(t).replace("\n", " \n ").split(" ") if t else []
         seen.append(np.fromiter(map(words.__getitem__, parts), dtype=np.int64, count=len(parts)))
         seen.append(np.zeros(1, dtype=np.int64))
         counts.append(len(parts) + 1)
@@ -95,14 +120,14 @@ def tokenise(texts: list[str], words: _Words) -> tuple[np.ndarray, np.ndarray, n
     n = lens[word]
     ids, stop = flat[expand(starts[word], n)], np.cumsum(n)
     doc_end = stop[np.cumsum(counts) - 1]
-    return ids, np.diff(doc_end, prepend=0), np.unique(stop[ends[word]])
+    return ids, np.diff(doc_end, prepend=0), _distinct(stop[ends[word]])
 
 
 def candidate_cuts(total: int, doc_ends: np.ndarray, sentence_ends: np.ndarray, *, width: int = WIDTH,
                    stretch: int = STRETCH, sentence_cost: int = SENTENCE_COST, hard_cost: int = HARD_COST,
                    last: bool = True) -> tuple[np.ndarray, np.ndarray]:
     """Sorted cut positions (0 and ``total`` among them) and the cost of each."""
-    soft = np.unique(np.concatenate(([0, total], doc_ends, sentence_ends)))
+    soft = _distinct(np.concatenate(([0, total], doc_ends, sentence_ends)))
     soft = soft[(soft >= 0) & (soft <= total)]
     gaps = np.diff(soft)
     wide = gaps > stretch
@@ -110,7 +135,7 @@ def candidate_cuts(total: int, doc_ends: np.ndarray, sentence_ends: np.ndarray,
     hard = np.repeat(soft[:-1][wide], more) + (expand(np.ones(len(more), dtype=np.int64), more)) * stretch
     if last:
         hard = np.concatenate((hard, np.arange(total, max(0, total - 2 * width), -min(64, stretch))))
-    at = np.unique(np.concatenate((soft, hard)))
+    at = _distinct(np.concatenate((soft, hard)))
     cost = np.full(len(at), hard_cost, dtype=np.int64)
     cost[np.isin(at, sentence_ends)] = sentence_cost
     cost[np.isin(at, doc_ends)] = 0
@@ -124,9 +149,7 @@ def best_cuts(at: np.ndarray, cost: np.ndarray, width: int = WIDTH, window_cost:
     if n < 2:
         return []
     exact: dict[int, list[int]] = {}
-    for k in range(width.bit_length()):
-        if 1 << k > width:
-            break
+    for k in range(SHORTEST.bit_length() - 1, width.bit_length()):
         i = np.searchsorted(at, at - (1 << k))
         for j in np.flatnonzero((at[np.minimum(i, n - 1)] == at - (1 << k)) & (np.arange(n) > 0)).tolist():
             exact.setdefault(j, []).append(int(i[j]))
@@ -190,7 +213,7 @@ class _Stream:
             return None
         edges = np.array(ends, dtype=np.int64)
         done = int(edges[-1])
-        stops = np.unique(np.concatenate((edges, self.doc_ends[self.doc_ends <= done])))
+        stops = _distinct(np.concatenate((edges, self.doc_ends[self.doc_ends <= done])))
         starts = np.concatenate(([0], stops[:-1]))
         doc = np.searchsorted(self.doc_ends, starts, side="right")
         window = np.searchsorted(edges, starts, side="right")
