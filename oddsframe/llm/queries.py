@@ -6,8 +6,9 @@ from collections.abc import Callable
 from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from oddsframe.llm import packing, simhash_bktree, token_counts
+from oddsframe.llm import packing, simhash_bktree, token_counts, topk_impact, warc
 from oddsframe.llm.common import read_table, ship_package, tokenizer_file
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -46,3 +47,48 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Byte-level BPE token counts of all documents."""
     return token_counts.token_counts(read_table(spark, sf_dir, "documents", "doc_id", "text"),
                                      tokenizer_file("byte_bpe_50k.json"), limit=1024)
+
+
+# base32 in SQL: every 5 hex digits are one number of 20 bits, that is 4 letters.
+_BASE32 = "substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST((v // {p}) % 32 AS INTEGER), 1)"
+
+OP3_SQL = f"""
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS hx,
+         max(page_id) OVER (PARTITION BY coalesce(html, '')) AS first_id
+  FROM pages),
+g AS (
+  SELECT p.*, list_transform(range(8), lambda i: CAST('0x' || substr(hx, CAST(1 + 5 * i AS INTEGER), 5) AS BIGINT)) AS vs FROM p)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes,
+       array_to_string(list_transform(vs, lambda v: {_BASE32.format(p=32768)} || {_BASE32.format(p=1024)} ||
+                                               {_BASE32.format(p=32)} || {_BASE32.format(p=1)}), '') AS payload_digest,
+       CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+FROM g"""
+
+
+@query("op3_warc", OP3_SQL)
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written as WARC records and read back."""
+    pages = read_table(spark, sf_dir, "pages", "page_id", "url", "html")
+    return warc.round_trip(pages, min_bytes=0).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+OP9_SQL = """
+WITH x AS (
+  SELECT vec_id, list_transform(embedding, lambda e: CAST(floor(256 * CAST(e AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda e: e IS NULL OR NOT isfinite(e))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+         CAST(list_sum(list_transform(range(len(q.v)), lambda i: q.v[i + 1] * c.v[i + 1])) AS BIGINT) AS score
+  FROM x q JOIN x c ON c.vec_id <> q.vec_id AND q.vec_id % 50 = 0 AND len(q.v) = len(c.v))
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM s QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 5"""
+
+
+@query("op9_topk", OP9_SQL)
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 best inner products of every 50th vector against all others."""
+    return topk_impact.top_k(read_table(spark, sf_dir, "embeddings", "vec_id", "embedding"), F.col("vec_id") % 50 == 0, k=5)
