@@ -4,10 +4,10 @@ Vectors become integers (``floor(scale * x)``). The index is made of shards of a
 vectors; in a shard every dimension has a posting list sorted by value, cut in segments. For a query a
 segment's impact is the most that any of its postings adds over the least that the dimension can
 add, so impacts are never negative. Impacts are quantised to ``LEVELS`` steps and segments are processed
-by descending step. After every step a vector's score lies between what it has gathered and that
-plus the impacts still open; when fewer than ``ENOUGH`` vectors of the shard can still reach the
-k-th best lower bound (ties included), these are rescored exactly, else the next step
-follows. Nothing is dropped without this proof. The best k of every shard are merged per query.
+by descending step. After every step a vector's score is at most what it has gathered plus the impacts
+still open; vectors for which that is less than the k-th best of some exact scores are out for good.
+When no more than the share ``ENOUGH`` of the shard is left, these are rescored exactly, else
+the next step follows. Nothing is dropped without this proof. The best k of every shard are merged per query.
 
 Queries meet shards in blocks of ``QUERY_ROWS``: a task holds one shard and one block.
 
@@ -28,10 +28,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from oddsframe.llm.common import materialise
-from oddsframe.llm.token_counts import expand
 
 SHARD_ROWS, QUERY_ROWS = 16384, 512
-SEGMENT, LEVELS, ENOUGH = 256, 12, 64
+SEGMENT, LEVELS, ENOUGH = 128, 8, 0.25
 
 
 def quantised(vectors: DataFrame, scale: int = 256, vec: str = "embedding", key: str = "vec_id") -> DataFrame:
@@ -49,11 +48,13 @@ class ShardIndex:
         order = np.argsort(ids, kind="stable")
         self.ids, self.x = ids[order], x[order]
         self.m, self.d = x.shape
+        # doubles hold sums of products exactly while they stay below 2^53
+        self.exact = self.x.astype(np.float64) if self.d * float(np.abs(x).max()) ** 2 < 2 ** 53 else self.x
         self.rows = np.argsort(self.x, axis=0, kind="stable").T.copy()  # d x m, rising values
-        self.values = np.take_along_axis(self.x.T, self.rows, axis=1)
+        self.values = np.take_along_axis(self.exact.T, self.rows, axis=1)
         self.start = np.arange(0, self.m, SEGMENT)
         self.stop = np.minimum(self.start + SEGMENT, self.m)
-        self.low, self.high = self.values[:, self.start], self.values[:, self.stop - 1]
+        self.low, self.high = (self.values[:, i].astype(np.int64) for i in (self.start, self.stop - 1))
 
     def top(self, query_id: int, q: np.ndarray, k: int) -> list[tuple[int, int]]:
         """The best ``(vec_id, score)`` of the shard, at most k, by exact score and then id."""
@@ -63,26 +64,26 @@ class ShardIndex:
         most = int(impact.max())
         step = impact * LEVELS // (most + 1)
         own = self.ids == query_id
-        gathered = np.zeros(self.m)
-        left = np.ones_like(impact, dtype=bool)
+        gathered = np.zeros(self.m, dtype=self.exact.dtype)
+        weight, base = q.astype(self.exact.dtype), floor.astype(self.exact.dtype)
         possible = np.flatnonzero(~own)
-        for level in range(LEVELS - 1, -1, -1):
-            dim, seg = np.nonzero(step == level)
-            if not len(dim):
-                continue
-            left[dim, seg] = False
-            n = self.stop[seg] - self.start[seg]
-            flat = expand(dim * self.m + self.start[seg], n)
-            added = np.repeat(q[dim], n) * self.values.ravel()[flat] - np.repeat(floor[dim], n)
-            gathered += np.bincount(self.rows.ravel()[flat], weights=added, minlength=self.m)
-            open_ = np.where(left, impact, 0).max(axis=1).sum()
-            seen = gathered[~own]
-            if len(seen) > k:
-                bound = np.partition(seen, len(seen) - k)[len(seen) - k]
-                possible = np.flatnonzero(~own & (gathered + open_ >= bound))
-                if len(possible) <= ENOUGH:
-                    break
-        score = self.x[possible] @ q
+        # rising values: a dimension's impacts fall or rise along its segments with the weight's sign,
+        # so the segments of one step are one run of the posting list
+        at = np.arange(step.shape[1])
+        for level in range(int(step.max()), -1, -1):
+            here = step == level
+            for d in np.flatnonzero(here.any(axis=1)).tolist():
+                run = at[here[d]]
+                a, b = self.start[run[0]], self.stop[run[-1]]
+                gathered[self.rows[d, a:b]] += weight[d] * self.values[d, a:b] - base[d]
+            open_ = np.where(step < level, impact, 0).max(axis=1).sum()
+            if len(possible) > k:
+                best = possible[np.argpartition(-gathered[possible], k - 1)[:k]]
+                bound = (self.exact[best] @ weight - base.sum()).min()  # k exact scores: no worse one is among the best
+                possible = possible[gathered[possible] + open_ >= bound]
+            if len(possible) <= max(k, ENOUGH * self.m):
+                break
+        score = (self.exact[possible] @ q.astype(self.exact.dtype)).astype(np.int64)
         best = np.lexsort((self.ids[possible], -score))[:k]
         return [(int(self.ids[possible[i]]), int(score[i])) for i in best]
 
