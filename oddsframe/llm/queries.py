@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from oddsframe.llm import packing, simhash_bktree, token_counts, topk_impact, warc
+from oddsframe.llm import minhash, packing, sentencepiece_sa, simhash_bktree, token_counts, topk_impact, warc
 from oddsframe.llm.common import read_table, ship_package, tokenizer_file
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -92,3 +92,16 @@ FROM s QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 5 best inner products of every 50th vector against all others."""
     return topk_impact.top_k(read_table(spark, sf_dir, "embeddings", "vec_id", "embedding"), F.col("vec_id") % 50 == 0, k=5)
+
+
+@query("op6_minhash")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """MinHash fingerprints of all documents, their edited texts and their next documents."""
+    return minhash.edited_fingerprints(read_table(spark, sf_dir, "documents", "doc_id", "text")).select(
+        "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next")
+
+
+@query("op7_sentencepiece")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SentencePiece ids of all documents, and whether they decode to the text."""
+    return sentencepiece_sa.encode(read_table(spark, sf_dir, "documents", "doc_id", "text"), tokenizer_file("piece_bpe_32k.model"))
