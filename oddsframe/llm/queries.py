@@ -8,7 +8,8 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from oddsframe.llm import minhash, packing, sentencepiece_sa, simhash_bktree, token_counts, topk_impact, warc
+from oddsframe.llm import (html_wrappers, minhash, packing, quality_pu, sentencepiece_sa, simhash_bktree, token_counts, topk_impact,
+                           toxicity_knn, warc)
 from oddsframe.llm.common import read_table, ship_package, tokenizer_file
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -105,3 +106,35 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SentencePiece ids of all documents, and whether they decode to the text."""
     return sentencepiece_sa.encode(read_table(spark, sf_dir, "documents", "doc_id", "text"), tokenizer_file("piece_bpe_32k.model"))
+
+
+def remainder(modulus: int) -> F.Column:
+    """crc32 of the doc_id as text, modulo; null ids count as remainder -1."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % modulus, F.lit(-1))
+
+
+@query("op2_quality_pu")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of all documents, learned from labels whose crc32 remainder by 5 is not 0."""
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
+    labels = read_table(spark, sf_dir, "labels", "doc_id", "quality").filter(remainder(5) != 0)
+    scored = quality_pu.score(docs, quality_pu.fit(docs, labels))
+    return scored.select("doc_id", (remainder(5) == 0).alias("held_out"), F.col("_quality").alias("score"),
+                         (F.col("_quality") >= 0.3).cast("int").alias("predicted"))
+
+
+@query("op5_toxicity_knn")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of all documents, learned from labels whose crc32 remainder by 3 is not 1."""
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
+    labels = read_table(spark, sf_dir, "labels", "doc_id", "toxic").filter(remainder(3) != 1)
+    scored = toxicity_knn.score(docs, toxicity_knn.fit(docs, labels))
+    return scored.select("doc_id", (remainder(3) == 1).alias("held_out"), F.col("_toxicity.score").alias("score"),
+                         (F.col("_toxicity.score") >= 0.7).cast("int").alias("predicted"),
+                         F.col("_toxicity.evidence").alias("evidence"))
+
+
+@query("op1_html_wrappers")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of all pages."""
+    return html_wrappers.main_text(read_table(spark, sf_dir, "pages", "page_id", "url", "html"))

@@ -155,6 +155,7 @@ def _scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _chain(rows: pd.DataFrame) -> pd.DataFrame:
+    rows = rows.astype({f.name: object for f in CANDIDATE if f.dataType == T.StringType()})
     rows = rows.sort_values("offset", kind="stable")
     return rows[reachable(rows["offset"].to_numpy(), rows["successor"].to_numpy())]
 
