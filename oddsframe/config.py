@@ -18,7 +18,7 @@ import datetime as _dt
 # ---------------------------------------------------------------------------
 COMPLETED_LAG_HOURS = 3            # completed match: as_of - 3 hours > start_time
 LEAGUE_MIN_MATCHES = 100           # league gate: >= 100 completed matches with odds
-WINDOW_MIN_MATCHES = 20            # window gate: windows under 20 matches are skipped
+WINDOW_MIN_MATCHES = 8             # window gate where a league names none: the smallest window the reports score
 TRAIN_NUM, TRAIN_DEN = 7, 10       # chronological 70 / 30 split, train = floor(0.7 n)
 ACCEPT_MIN_ACCURACY = 0.70         # acceptance: accuracy >= 70 %
 ACCEPT_MIN_ROI = 0.0               # acceptance: ROI >= 0 %
@@ -76,6 +76,9 @@ LEAGUES: dict[int, tuple[str, str | None, str, bool]] = {
     5: ("mar_three", None, "profile_25", False),
 }
 
+# Window gate by league: some reports skip windows under 30 or 20 matches, others keep theirs of 8
+LEAGUE_WINDOW_MIN: dict[int, int] = {1: 30, 3: 20}
+
 # Model-fallback policy when a request's window has no model (exact window always wins):
 #   previous_then_last: latest earlier window with a model, else the league's last one
 #   last: the league's last model window;  first: its first;  error: no model (error value)

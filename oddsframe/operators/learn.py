@@ -70,8 +70,9 @@ def history_columns(spark: SparkSession, mf: DataFrame) -> DataFrame:
 
 
 def train_frame(spark: SparkSession, t: Tables, with_history: bool = False) -> DataFrame:
-    """Played matches with a latest O/U quote and a season window: label + features."""
-    mf = M.match_core(t)
+    """Played matches with an O/U quote from before the kick-off and a season window: label +
+    features. Later quotes are never seen, nor are they in the caps of the history."""
+    mf = M.match_asof(t)
     base = (mf.filter(M.is_played() & F.col("over_odd").isNotNull())
               .select("event_id", "event_type_id", "start_time", "home_ft_score", "away_ft_score",
                       "over_odd", "under_odd", "over_under_cap", *market_columns(),
@@ -101,8 +102,17 @@ def chrono_split(tf: DataFrame) -> DataFrame:
                                        <= F.col("n_window") * config.TRAIN_NUM).cast("int"))
 
 
-def gated(split: DataFrame, min_n: int = config.WINDOW_MIN_MATCHES) -> DataFrame:
-    return split.filter(F.col("n_window") >= min_n)
+def window_min(league: str = "event_type_id") -> Column:
+    """Least matches of a window that is trained on, by league."""
+    out = F.lit(config.WINDOW_MIN_MATCHES)
+    for lg, n in sorted(config.LEAGUE_WINDOW_MIN.items()):
+        out = F.when(F.col(league) == lg, F.lit(n)).otherwise(out)
+    return out
+
+
+def gated(split: DataFrame, min_n: int | Column | None = None) -> DataFrame:
+    """Rows of windows with at least ``min_n`` matches (the league's own minimum unless given)."""
+    return split.filter(F.col("n_window") >= (window_min() if min_n is None else min_n))
 
 
 def standardize_stats(train: DataFrame, keys: list[str], features: list[str]) -> DataFrame:

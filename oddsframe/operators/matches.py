@@ -81,6 +81,14 @@ def match_core(t: Tables, ou_latest: DataFrame | None = None) -> DataFrame:
                    .join(ou.select("event_id", "over_odd", "over_under_cap", "under_odd"), "event_id", "left"))
 
 
+def match_asof(t: Tables) -> DataFrame:
+    """``match_core`` with the latest O/U quote strictly before each kick-off: what training and
+    its history may see."""
+    from oddsframe.operators.quotes import asof_latest
+    from oddsframe.sources.tables import QUOTE_PAYLOAD
+    return match_core(t, asof_latest(t.ou, t.event, QUOTE_PAYLOAD["ou"]))
+
+
 def _side_struct(is_home: bool, flipped: bool = False) -> Column:
     """One team's view of a match as a struct (home or away; ``flipped`` = a zero-weight
     marker row at the other venue, used by venue tables)."""

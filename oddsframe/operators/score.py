@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from oddsframe import config
+from oddsframe.functions.helpers import div
 
 # ---------------------------------------------------------------------------
 # Fixture registry (FIXTURES.md §3 "registry_literal"): one model row per fixture league
@@ -116,7 +117,8 @@ def score_logistic(df: DataFrame, registry: DataFrame, features: list[str],
     j = df.join(F.broadcast(wide), group, "inner")
     eta: Column = F.col("intercept")
     for f in features:
-        eta = eta + F.col(f"{f}__coef") * ((F.col(f) - F.col(f"{f}__mean")) / F.col(f"{f}__std"))
+        eta = eta + F.col(f"{f}__coef") * F.coalesce(div(F.col(f) - F.col(f"{f}__mean"), F.col(f"{f}__std")),
+                                                        F.when(F.col(f).isNotNull(), F.lit(0.0)))
     prob = F.lit(1.0) / (F.lit(1.0) + F.exp(-eta))
     keep = [c for c in df.columns]
     return j.select(*keep, "model_name", "threshold", "strict", prob.alias("probability"))

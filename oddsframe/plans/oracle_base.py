@@ -52,6 +52,12 @@ AS_OF = f"TIMESTAMP '{config.AS_OF_SQL}'"
 CUTOFF = f"(TIMESTAMP '{config.AS_OF_SQL}' - INTERVAL {config.COMPLETED_LAG_HOURS} HOUR)"
 PLAYED = f"(start_time < {CUTOFF} AND home_ft_score IS NOT NULL AND away_ft_score IS NOT NULL)"
 
+# Overrides ``lq_ou`` where a query trains: only quotes from before the kick-off.
+ASOF_QUOTES = ("lq_ou", """SELECT q.event_id, q.created_at, q.quote_id, q.over_odd, q.over_under_cap, q.under_odd
+FROM fx_over_under_odd q JOIN fx_event e ON q.event_id = e.event_id WHERE q.created_at < e.start_time
+QUALIFY row_number() OVER (PARTITION BY q.event_id ORDER BY q.created_at DESC, q.quote_id DESC,
+  q.over_odd DESC NULLS LAST, q.over_under_cap DESC NULLS LAST, q.under_odd DESC NULLS LAST) = 1""")
+
 DERIVED = {
     "lq_ou": _latest("fx_over_under_odd", ["over_odd", "over_under_cap", "under_odd"]),
     "lq_win": _latest("fx_win_odd", ["home_odd", "draw_odd", "away_odd"]),
@@ -74,8 +80,9 @@ LEFT JOIN lq_hcp h ON e.event_id = h.event_id""",
 
 
 def sql(body: str, *ctes: tuple[str, str]) -> str:
-    """WITH <fixture views>, <derived>, <ctes> <body>."""
+    """WITH <fixture views>, <derived>, <ctes> <body>; a CTE named like a derived one replaces it."""
+    given = dict(ctes)
     parts = [f"{k} AS ({v})" for k, v in VIEWS.items()]
-    parts += [f"{k} AS ({v})" for k, v in DERIVED.items()]
-    parts += [f"{k} AS ({v})" for k, v in ctes]
+    parts += [f"{k} AS ({v})" for k, v in ((k, given.get(k, v)) for k, v in DERIVED.items())]
+    parts += [f"{k} AS ({v})" for k, v in ctes if k not in DERIVED]
     return "WITH " + ",\n".join(parts) + "\n" + body

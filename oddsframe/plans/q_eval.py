@@ -13,7 +13,8 @@ from oddsframe.operators import learn as L
 from oddsframe.operators import matches as M
 from oddsframe.operators import score as S
 from oddsframe.plans.oracle_base import PLAYED
-from oddsframe.plans.q_learn import LEARN_CTES, WK, _pooled, _test_predictions, _window_scores
+from oddsframe.plans.q_history import CS_CTES
+from oddsframe.plans.q_learn import GATE, LEARN_CTES, TF_CTES, WK, _pooled, _test_predictions, _window_scores
 from oddsframe.plans.registry import register
 from oddsframe.plans.sqlx import P_OVER_FAIR, rr6
 from oddsframe.sources.tables import fixture_tables
@@ -76,7 +77,7 @@ FROM pooled p LEFT JOIN completed c ON c.event_type_id = p.event_type_id""", LEA
 def acceptance_gate(spark, d):
     """accepted iff pooled accuracy >= 70 %, ROI >= 0 and >= 100 completed matches."""
     t = fixture_tables(spark, d)
-    mf = M.match_frame(t)
+    mf = M.match_asof(t)
     completed = (mf.filter(M.is_played() & F.col("over_odd").isNotNull())
                    .groupBy("event_type_id").agg(F.count(F.lit(1)).alias("n_completed")))
     return EV.acceptance(_pooled(spark, d), completed)
@@ -117,7 +118,7 @@ def _eta_sql():
     return e
 
 
-SCORE_CTES = LEARN_CTES + (
+SCORE_CTES = CS_CTES + TF_CTES + (  # a prediction takes the latest quote
     ("reg", _registry_sql()),
     ("qm", f"""SELECT m.*, {P_OVER_FAIR} AS p_over_fair,
        ((1.0E0 / NULLIF(over_odd, 0)) + (1.0E0 / NULLIF(under_odd, 0))) AS ou_overround,
@@ -231,7 +232,7 @@ _POLICY_VALUES = "SELECT * FROM (VALUES " + ", ".join(
     f"({lg}, '{pol}')" for lg, pol in sorted(config.LEAGUE_FALLBACK.items())) + ") AS t(event_type_id, policy)"
 _FALLBACK_CTES = LEARN_CTES + (
     ("reg_w", f"""SELECT {WK}, season_start * 10 + window_no AS o FROM sp2
-    GROUP BY {WK} HAVING count(*) >= {config.WINDOW_MIN_MATCHES}"""),
+    GROUP BY {WK} HAVING count(*) >= {GATE}"""),
     ("rq", f"""SELECT m.event_id, m.event_type_id, CAST(year(m.start_time) - c.season_offset AS INT) AS season_start,
        c.window_no FROM mf m JOIN calendar c ON c.event_type_id = m.event_type_id AND c.cal_month = month(m.start_time)
        WHERE NOT ({_PLAYED_M}) AND m.over_odd IS NOT NULL"""),
@@ -268,9 +269,9 @@ def registry_fallback(spark, d):
     sp = L.chrono_split(L.train_frame(spark, t))
     order = (F.col("season_start") * 10 + F.col("window_no")).cast("int")
     models = (sp.groupBy(*L.WKEYS).agg(F.count(F.lit(1)).alias("n"))
-                .filter(F.col("n") >= config.WINDOW_MIN_MATCHES)
+                .filter(F.col("n") >= L.window_min())
                 .select("event_type_id", order.alias("o")))
-    mf = M.match_core(t).filter(F.col("over_odd").isNotNull() & ~M.is_played())
+    mf = M.match_asof(t).filter(F.col("over_odd").isNotNull() & ~M.is_played())
     req = (with_season_window(mf.select("event_id", "event_type_id", "start_time"), spark)
            .filter(F.col("window_no").isNotNull())
            .select("event_id", "event_type_id", "season_start", "window_no", order.alias("o")))

@@ -13,7 +13,7 @@ from oddsframe.functions.helpers import div
 from oddsframe.operators import evaluate as EV
 from oddsframe.operators import learn as L
 from oddsframe.operators import matches as M
-from oddsframe.plans.oracle_base import PLAYED
+from oddsframe.plans.oracle_base import ASOF_QUOTES, PLAYED
 from oddsframe.plans.q_history import CS_CTES
 from oddsframe.plans.registry import register
 from oddsframe.plans.sqlx import OU_SUM, P_OVER, P_OVER_FAIR, rr6
@@ -23,7 +23,8 @@ WK = "event_type_id, season_start, window_no"
 STRICT = [lg for lg, (_c, _p, _d, strict) in config.LEAGUES.items() if strict]
 STRICT_SQL = "(" + ", ".join(str(x) for x in STRICT) + ")" if STRICT else "(NULL)"
 LO, HI, DEN = config.THRESHOLD_GRID_LO, config.THRESHOLD_GRID_HI, config.THRESHOLD_GRID_DEN
-GATE = config.WINDOW_MIN_MATCHES
+GATE = ("(CASE event_type_id " + " ".join(f"WHEN {lg} THEN {n}" for lg, n in sorted(config.LEAGUE_WINDOW_MIN.items()))
+        + f" ELSE {config.WINDOW_MIN_MATCHES} END)")
 
 # ---------------------------------------------------------------------------
 # shared oracle CTEs
@@ -68,7 +69,7 @@ WHERE s.is_train = 0"""),
        CAST(sum(pnl) AS DOUBLE) / sum(n_test) AS pooled_roi_pct FROM ws GROUP BY event_type_id"""),
     ("completed", "SELECT event_type_id, count(*) AS n_completed FROM tf0 GROUP BY event_type_id"),
 )
-LEARN_CTES = CS_CTES + TF_CTES
+LEARN_CTES = (ASOF_QUOTES,) + CS_CTES + TF_CTES
 
 
 # ---------------------------------------------------------------------------
@@ -123,7 +124,7 @@ def season_window(spark, d):
 @register("ou_label", "SELECT event_id, total_goals, over_under_cap, label_over FROM tf0", LEARN_CTES)
 def ou_label(spark, d):
     """OVER iff total goals > cap (total == cap is UNDER)."""
-    mf = M.match_frame(fixture_tables(spark, d))
+    mf = M.match_asof(fixture_tables(spark, d))
     return (mf.filter(M.is_played() & F.col("over_odd").isNotNull())
               .select("event_id", (F.col("home_ft_score") + F.col("away_ft_score")).cast("int").alias("total_goals"),
                       "over_under_cap", L.label_over().alias("label_over")))
@@ -135,7 +136,7 @@ FROM fx_event_type e LEFT JOIN completed c ON c.event_type_id = e.event_type_id"
 def league_gate(spark, d):
     """>= 100 completed matches with odds per league, else 'failed'."""
     t = fixture_tables(spark, d)
-    mf = M.match_frame(t)
+    mf = M.match_asof(t)
     n = (mf.filter(M.is_played() & F.col("over_odd").isNotNull())
            .groupBy("event_type_id").agg(F.count(F.lit(1)).alias("n_completed")))
     out = t.event_type.select("event_type_id").join(n, "event_type_id", "left")
@@ -151,7 +152,7 @@ def window_gate(spark, d):
     tf = L.train_frame(spark, fixture_tables(spark, d))
     w = L.window_sizes(tf)
     return w.select(*L.WKEYS, "n_window",
-                    F.when(F.col("n_window") >= GATE, F.lit("train")).otherwise(F.lit("skip")).alias("status"))
+                    F.when(F.col("n_window") >= L.window_min(), F.lit("train")).otherwise(F.lit("skip")).alias("status"))
 
 
 @register("chrono_split", f"SELECT event_id, {WK}, CAST(pos AS BIGINT) AS pos, n_window, is_train FROM sp2", LEARN_CTES)
@@ -270,7 +271,7 @@ def best_model(spark, d):
     probability, team over-rate form) with the best searched-threshold train accuracy."""
     t = fixture_tables(spark, d)
     sp = L.gated(L.chrono_split(L.train_frame(spark, t))).filter(F.col("is_train") == 1)
-    hist = L.history_columns(spark, M.match_core(t)).select("event_id", "avg_over_rate")
+    hist = L.history_columns(spark, M.match_asof(t)).select("event_id", "avg_over_rate")
     rows = sp.withColumn("p_over", market.p_over()).join(hist, "event_id", "inner")
     stack = ", ".join(f"'{n}', `{c}`" for n, c in _CANDIDATES.items())
     long = rows.selectExpr(*L.WKEYS, "label_over", f"stack({len(_CANDIDATES)}, {stack}) AS (model_name, score)")

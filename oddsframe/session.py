@@ -50,7 +50,7 @@ def configure(spark: SparkSession) -> SparkSession:
 def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """Shared checkpoint folder named by the cluster (``spark.checkpoint.dir``).
 
-    Only when the session names none (local tests) is ``fallback`` (or a fresh
+    Only when a local session names none (tests) is ``fallback`` (or a fresh
     folder under the system temp dir) used and registered.
     """
     sc = spark.sparkContext
@@ -59,6 +59,8 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
         return current
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
+        if fallback is None and not sc.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         if fallback is None:
             import tempfile
             fallback = tempfile.mkdtemp(prefix="oddsframe-ckpt-")

@@ -6,6 +6,7 @@ import os
 import pytest
 
 import __spark_entry__ as E
+from oddsframe.plans import catalog
 from tools.check_oracle import TABLES, digest
 
 SF = "/root/testdata/sf0.001"
@@ -34,14 +35,14 @@ def test_every_query_has_docstring_and_entry_runs(spark):
     for name, fn in E.queries().items():
         assert fn.__doc__, name
     df = E.entry(spark)
-    assert df.count() >= 0 and len(df.columns) > 0
+    assert df.count() > 0 and len(df.columns) > 0
 
 
-FIT_QUERIES = sorted(set(E.queries()) - set(ORACLES))
+FIT_QUERIES = sorted(set(catalog.QUERIES) - set(ORACLES))
 
 
 @pytest.mark.parametrize("name", FIT_QUERIES)
-def test_fits_run_when_no_window_passes_the_gate(spark, name):
-    # at sf0.001 every window is under the gate: the fits must return a typed empty result
+def test_fits_run_on_small_windows(spark, name):
+    # at sf0.001 the few windows that pass a gate of 8 have a handful of train rows each
     df = E.queries()[name](spark, SF)
-    assert df.count() >= 0 and len(df.columns) > 0
+    assert df.count() > 0 and len(df.columns) > 0

@@ -44,5 +44,5 @@ def test_fitted_registry_invariants(spark):
     for r in rows:
         assert len(r.coef) == len(r.feature_cols) == len(r.mean) == len(r.scale) == 6
         assert lo - 1e-12 <= r.threshold <= hi + 1e-12
-        assert r.trained_n >= int(config.WINDOW_MIN_MATCHES * 0.7)
+        assert r.trained_n >= int(config.LEAGUE_WINDOW_MIN.get(r.event_type_id, config.WINDOW_MIN_MATCHES) * 0.7)
         assert all(abs(c) < 50 for c in r.coef)
