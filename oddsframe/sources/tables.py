@@ -84,14 +84,33 @@ def _conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
+# Key columns, which may be strings in a source, and the name of each quote table's own key there.
+ID_COLUMNS = ("event_id", "event_type_id", "home_id", "away_id", "team_id", "quote_id")
+QUOTE_KEYS = {"fb_over_under_odd": "over_under_odd_id", "fb_win_odd": "win_odd_id", "fb_handicap_odd": "handicap_odd_id"}
+
+
+def _conform_source(df: DataFrame, name: str) -> DataFrame:
+    """Canonical columns of a source table: string keys stay strings, a quote table's own key
+    becomes ``quote_id``, all else is cast."""
+    kinds = dict(df.dtypes)
+    out = []
+    for f in CANONICAL_SCHEMAS[name].fields:
+        source = QUOTE_KEYS[name] if f.name == "quote_id" and "quote_id" not in kinds else f.name
+        keep = f.name in ID_COLUMNS and kinds[source] in ("string", "bigint")
+        out.append((F.col(source) if keep else F.col(source).cast(f.dataType)).alias(f.name))
+    return df.select(*out)
+
+
 def load_tables(spark: SparkSession, source: str, fmt: str = "parquet",
-                options: dict[str, str] | None = None) -> Tables:
-    """Read the canonical tables.
+                options: dict[str, str] | None = None,
+                table_options: dict[str, dict[str, str]] | None = None) -> Tables:
+    """Read the six tables, with string or integer keys.
 
     fmt='parquet': ``source`` is a folder holding ``<table>.parquet`` (or a
     partitioned folder per table); fmt='table': ``source`` is a database name in the
     catalog; fmt='jdbc': ``options`` carry url / user / password supplied by the
-    caller and each table is read by name.
+    caller and each table is read by name; ``table_options`` adds options per table, such as
+    partitionColumn / lowerBound / upperBound / numPartitions for a partitioned read.
     """
     def read(name: str) -> DataFrame:
         if fmt == "parquet":
@@ -99,10 +118,11 @@ def load_tables(spark: SparkSession, source: str, fmt: str = "parquet",
         elif fmt == "table":
             df = spark.read.table(f"{source}.{name}")
         elif fmt == "jdbc":
-            df = spark.read.format("jdbc").options(**(options or {})).option("dbtable", name).load()
+            df = (spark.read.format("jdbc").options(**(options or {})).option("dbtable", name)
+                  .options(**(table_options or {}).get(name, {})).load())
         else:
             raise ValueError(f"unknown format {fmt}")
-        return _conform(df, CANONICAL_SCHEMAS[name])
+        return _conform_source(df, name)
 
     return Tables(read("fb_event"), read("fb_team"), read("fb_event_type"),
                   read("fb_over_under_odd"), read("fb_win_odd"), read("fb_handicap_odd"))
