@@ -26,6 +26,8 @@ def shared_dir(spark: SparkSession) -> str:
     none (local tests) is a folder of our own registered."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not named:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         import tempfile
         named = tempfile.mkdtemp(prefix="oddsframe-llm-")
         spark.conf.set("spark.checkpoint.dir", named)
