@@ -224,14 +224,17 @@ def fit_logistic_groups(spark: SparkSession, data: DataFrame, keys: list[str], f
     """L2-regularised logistic regression (intercept unpenalised, penalty |w|^2 / 2C) for
     every group at once, on already standardised columns ``z_<feature>``.
 
-    Each Newton step joins the current coefficients (one row per group, broadcast) and
-    computes gradient and Hessian entries as one wide groupBy sum; only the per-group
-    (d+1)x(d+1) systems reach the driver, which solves them and sends new coefficients
-    back as a small DataFrame. The first step starts from beta = 0 (p = 1/2), needs no
-    coefficients and also yields the group keys and sizes. The training rows are
-    checkpointed once (unless the caller already did) so the lineage does not grow
+    Each Newton step joins the current coefficients (one row per group) and computes
+    gradient and Hessian entries as one wide groupBy sum; the per-group (d+1)x(d+1)
+    systems are solved where the sums are, one Arrow batch of groups at a time, and the new
+    coefficients are checkpointed. Only the number of open groups reaches the driver.
+    The first step starts from beta = 0 (p = 1/2) and needs no coefficients. The training rows
+    are checkpointed once (unless the caller already did) so the lineage does not grow
     with the iterations. ``c_col`` names a group-key column holding each group's C, so
-    a whole C grid is fitted in the same loop."""
+    a whole C grid is fitted in the same loop.
+
+    ``converged`` is False for a group whose system had no finite solution, or whose last
+    step was not under ``tol``."""
     assert_no_leakage(features)
     d = len(features)
     key_types = {f.name: f.dataType.simpleString() for f in data.schema.fields}
@@ -245,59 +248,63 @@ def fit_logistic_groups(spark: SparkSession, data: DataFrame, keys: list[str], f
         # across iterations without another write; a lost block is recomputed from it
         rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
     xs = [F.lit(1.0)] + [F.col(f"x{i + 1}") for i in range(d)]
-    coef_schema = ", ".join([f"{k} {key_types[k]}" for k in keys] + [f"b{i} double" for i in range(d + 1)])
+    betas = [f"b{i}" for i in range(d + 1)]
 
-    def newton_sums(scored: DataFrame):
+    def newton_sums(scored: DataFrame) -> DataFrame:
         r = F.col("p") - F.col("y")
         wgt = F.col("p") * (F.lit(1.0) - F.col("p"))
-        aggs = [F.count(F.lit(1)).alias("_n")]
+        aggs = [F.count(F.lit(1)).alias("n"), F.max("failed").alias("failed")] + [F.max(b).alias(b) for b in betas]
         aggs += [F.sum(r * xs[i]).alias(f"g{i}") for i in range(d + 1)]
         aggs += [F.sum(wgt * xs[i] * xs[j]).alias(f"h{i}_{j}") for i in range(d + 1) for j in range(i, d + 1)]
-        return scored.groupBy(*keys).agg(*aggs).collect()
-
-    beta: dict[tuple, np.ndarray] = {}
-    n_by_group: dict[tuple, int] = {}
-    iters = 0
+        return scored.groupBy(*keys).agg(*aggs)
+
+    def solve(batches):
+        for s in batches:
+            m = len(s)
+            b = s[betas].to_numpy(dtype=float)
+            grad = s[[f"g{i}" for i in range(d + 1)]].to_numpy(dtype=float)
+            hess = np.empty((m, d + 1, d + 1))
+            for i in range(d + 1):
+                for j in range(i, d + 1):
+                    hess[:, i, j] = hess[:, j, i] = s[f"h{i}_{j}"].to_numpy(dtype=float)
+            c = s[c_col].to_numpy(dtype=float) if c_col else np.full(m, c_reg)
+            pen = np.repeat(1.0 / c[:, None], d + 1, axis=1)
+            pen[:, 0] = INTERCEPT_RIDGE  # keeps a one-class group's intercept finite
+            grad = grad + pen * b
+            hess[:, np.arange(d + 1), np.arange(d + 1)] += pen
+            delta = np.full((m, d + 1), np.nan)
+            for g in range(m):
+                try:
+                    delta[g] = np.linalg.solve(hess[g], grad[g])
+                except np.linalg.LinAlgError:
+                    pass  # stays NaN: the group has failed
+            bad = ~np.isfinite(delta).all(axis=1)
+            delta[bad] = 0.0
+            out = s[keys].copy()
+            out[betas] = b - delta
+            out["n"], out["failed"] = s["n"], s["failed"].to_numpy(dtype=bool) | bad
+            out["step"] = np.abs(delta).max(axis=1)
+            yield out
+
+    solved_schema = ", ".join([f"{k} {key_types[k]}" for k in keys] + [f"{b} double" for b in betas]
+                              + ["n bigint", "failed boolean", "step double"])
+    checkpoint_dir(spark)
+    coefs, iters = None, 0
     for it in range(max_iter):
         iters = it + 1
         if it == 0:
-            scored = rows.withColumn("p", F.lit(0.5))
+            scored = rows.select("*", F.lit(0.5).alias("p"), F.lit(False).alias("failed"),
+                                 *[F.lit(0.0).alias(b) for b in betas])
         else:
-            coefs = spark.createDataFrame([tuple(g) + tuple(float(v) for v in b) for g, b in beta.items()],
-                                          coef_schema)
-            eta = sum((F.col(f"b{i}") * xs[i] for i in range(d + 1)), F.lit(0.0))
+            eta = sum((F.col(b) * x for b, x in zip(betas, xs)), F.lit(0.0))
             eta = F.least(F.greatest(eta, F.lit(-ETA_CLIP)), F.lit(ETA_CLIP))  # no exp overflow
-            scored = rows.join(F.broadcast(coefs), keys, "inner").withColumn(
+            scored = rows.join(coefs.drop("n", "step"), keys, "inner").withColumn(
                 "p", F.lit(1.0) / (F.lit(1.0) + F.exp(-eta)))
-        step_max = 0.0
-        for s in newton_sums(scored):
-            g = tuple(s[k] for k in keys)
-            n_by_group[g] = s["_n"]
-            b = beta.get(g, np.zeros(d + 1))
-            grad = np.array([s[f"g{i}"] for i in range(d + 1)])
-            hess = np.zeros((d + 1, d + 1))
-            for i in range(d + 1):
-                for j in range(i, d + 1):
-                    hess[i, j] = hess[j, i] = s[f"h{i}_{j}"]
-            c_g = float(s[c_col]) if c_col else c_reg
-            pen = np.full(d + 1, 1.0 / c_g)
-            pen[0] = INTERCEPT_RIDGE  # keeps a one-class group's intercept finite
-            grad = grad + pen * b
-            hess = hess + np.diag(pen)
-            try:
-                delta = np.linalg.solve(hess, grad)
-            except np.linalg.LinAlgError:
-                delta = np.zeros(d + 1)
-            if not np.all(np.isfinite(delta)):
-                delta = np.zeros(d + 1)
-            beta[g] = b - delta
-            step_max = max(step_max, float(np.max(np.abs(delta))))
-        if step_max < tol:
+        coefs = newton_sums(scored).mapInPandas(solve, solved_schema).checkpoint()
+        if coefs.filter(F.col("step") >= tol).isEmpty():
             break
     if not checkpoint_input:
         rows.unpersist()
-    out = [tuple(g) + (float(b[0]), [float(v) for v in b[1:]], int(n_by_group[g]), iters)
-           for g, b in beta.items()]
-    schema = ", ".join([f"{k} {key_types[k]}" for k in keys]
-                       + ["intercept double", "coef array<double>", "trained_n bigint", "iterations int"])
-    return spark.createDataFrame(out, schema)
+    return coefs.select(*keys, F.col("b0").alias("intercept"), F.array(*[F.col(b) for b in betas[1:]]).alias("coef"),
+                        F.col("n").alias("trained_n"), F.lit(iters).alias("iterations"),
+                        (~F.col("failed") & (F.col("step") < tol)).alias("converged"))

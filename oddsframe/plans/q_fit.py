@@ -71,7 +71,7 @@ def logistic_registry(spark, d, features=L.FEATURES, name="logistic_l2"):
                       F.array(*[F.col(f"{f}__mean") for f in features]).alias("mean"),
                       F.array(*[F.col(f"{f}__std") for f in features]).alias("scale"),
                       "coef", "intercept", "threshold", F.col("trained_n").cast("bigint").alias("trained_n"),
-                      "c_reg", "cv_accuracy")
+                      "c_reg", "cv_accuracy", "converged")
 
 
 @register("fit_logistic")

@@ -69,6 +69,7 @@ def test_grouped_logistic_matches_ml(spark):
                                "g int, z_a double, z_b double, label_over int")
     c_reg = 2.0
     ours = L.fit_logistic_groups(spark, df, ["g"], ["a", "b"], c_reg=c_reg).collect()[0]
+    assert ours.converged
     vec = VectorAssembler(inputCols=["z_a", "z_b"], outputCol="features").transform(df)
     ml = LogisticRegression(labelCol="label_over", regParam=1.0 / (c_reg * n), elasticNetParam=0.0,
                             standardization=False, tol=1e-12, maxIter=200).fit(vec)
