@@ -195,10 +195,10 @@ def edited_fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     again = texts.join(maybe(open_), "doc_id").join(following, "next_id").select("doc_id", "text", "next_id", "following")
     # rows without an id: the next document is the first in the order
     first = follow.agg(F.max("doc_id").alias("next_id")).first()["next_id"]
-    head = (texts.filter(F.col("doc_id") == F.lit(first).cast("long")).agg(F.min("text").alias("following")))
-    without = (texts.filter(F.col("doc_id").isNull()).withColumn("next_id", F.lit(first).cast("long"))
-               .join(head.withColumn("next_id", F.lit(first).cast("long")), "next_id", "left")
-               .select("doc_id", "text", "next_id", "following"))
+    head = (texts.filter(F.col("doc_id") == F.lit(first).cast("long")).groupBy(F.col("doc_id").alias("next_id"))
+            .agg(F.min("text").alias("following")))
+    without = (texts.filter(F.col("doc_id").isNull()).withColumn("next_id", F.coalesce("doc_id", F.lit(first).cast("long")))
+               .join(head, "next_id", "left").select("doc_id", "text", "next_id", "following"))
     redone = again.unionByName(without).mapInPandas(_again(shingle), ROW)
     return done.select(*[c.split()[0] for c in ROW.split(", ")]).unionByName(redone)
 
