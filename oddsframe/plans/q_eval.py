@@ -13,8 +13,7 @@ from oddsframe.operators import learn as L
 from oddsframe.operators import matches as M
 from oddsframe.operators import score as S
 from oddsframe.plans.oracle_base import PLAYED
-from oddsframe.plans.q_history import CS_CTES
-from oddsframe.plans.q_learn import GATE, LEARN_CTES, TF_CTES, WK, _pooled, _test_predictions, _window_scores
+from oddsframe.plans.q_learn import GATE, LEARN_CTES, WK, _pooled, _test_predictions, _window_scores
 from oddsframe.plans.registry import register
 from oddsframe.plans.sqlx import P_OVER_FAIR, rr6
 from oddsframe.sources.tables import fixture_tables
@@ -118,7 +117,7 @@ def _eta_sql():
     return e
 
 
-SCORE_CTES = CS_CTES + TF_CTES + (  # a prediction takes the latest quote
+SCORE_CTES = (  # a prediction takes the latest quote
     ("reg", _registry_sql()),
     ("qm", f"""SELECT m.*, {P_OVER_FAIR} AS p_over_fair,
        ((1.0E0 / NULLIF(over_odd, 0)) + (1.0E0 / NULLIF(under_odd, 0))) AS ou_overround,

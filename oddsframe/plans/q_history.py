@@ -1,8 +1,8 @@
 """Queries: team-long table and leak-free team-history features.
 
-Oracles are brute force on purpose: a self-join of every match with all earlier
-played rows of the team, ranked by recency where a last-N limit applies. They share
-no code path with the prefix-sum operators they check.
+Oracles use SQL window frames over all earlier rows, and row positions where a last-N limit
+applies; a test holds them against self-joins of every match with all earlier rows. They
+share no code path with the prefix-sum operators they check.
 """
 
 from __future__ import annotations
@@ -60,23 +60,32 @@ FROM tl0"""),
 )
 
 
-def hist_cte(name: str, team_col: str, venue: int | None = None, n: int | None = None,
-             league: bool = True) -> tuple[str, str]:
-    """Per match: totals over the team's played rows strictly before kick-off
-    (optionally one venue, optionally only the n most recent)."""
-    cond = ["h.played = 1", "h.start_time < m.start_time", f"h.team_id = m.{team_col}"]
-    if league:
-        cond.append("h.event_type_id = m.event_type_id")
-    if venue is not None:
-        cond.append(f"h.is_home = {venue}")
-    rank = ("row_number() OVER (PARTITION BY m.event_id ORDER BY h.start_time DESC, h.event_id DESC)"
-            if n else "1")
-    where = f"WHERE rn <= {n}" if n else ""
-    return (name, f"""SELECT event_id, count(*) AS n, sum(gf) AS gf, sum(ga) AS ga, sum(total) AS tot,
-       sum(win) AS win, sum(over) AS over, count(over) AS over_n
-FROM (SELECT m.event_id, h.gf, h.ga, h.total, h.win, h.over, {rank} AS rn
-      FROM mf m JOIN tlv h ON {' AND '.join(cond)}) {where}
-GROUP BY event_id""")
+BEFORE = "ORDER BY start_time RANGE BETWEEN UNBOUNDED PRECEDING AND INTERVAL 1 MICROSECOND PRECEDING"
+_SUMS = """sum(gf) {f} AS gf, sum(ga) {f} AS ga, sum(total) {f} AS tot, sum(win) {f} AS win, sum(over) {f} AS over,
+       count(over) {f} AS over_n"""
+
+
+def hist_cte(name: str, team_col: str, venue: int | None = None, n: int | None = None) -> tuple[str, str]:
+    """Per match: totals over the team's played rows in the league strictly before kick-off
+    (optionally one venue, optionally only the n most recent).
+
+    One window pass and, for the n most recent, an equality join on row positions; no match meets all earlier
+    rows, so the cost is linear. A test holds the texts against a self-join with all earlier rows."""
+    side = 1 if team_col == "home_id" else 0
+    at = "" if venue is None else f" AND is_home = {venue}"
+    if n is None:
+        f = f"FILTER (WHERE played = 1{at}) OVER w"
+        return (name, f"""SELECT * FROM (SELECT event_id, is_home, count(*) {f} AS n, {_SUMS.format(f=f)}
+  FROM tlv WINDOW w AS (PARTITION BY event_type_id, team_id {BEFORE})) WHERE is_home = {side}""")
+    return (name, f"""SELECT k.event_id, count(*) AS n, {_SUMS.format(f='')}
+FROM (SELECT event_id, event_type_id, team_id, unnest(range(greatest(k - {n}, 0) + 1, k + 1)) AS pos
+      FROM (SELECT event_id, event_type_id, team_id, is_home,
+                   count(*) FILTER (WHERE played = 1{at}) OVER (PARTITION BY event_type_id, team_id {BEFORE}) AS k FROM tlv)
+      WHERE is_home = {side}) k
+JOIN (SELECT *, row_number() OVER (PARTITION BY event_type_id, team_id ORDER BY start_time, event_id) AS pos
+      FROM tlv WHERE played = 1{at}) h
+  ON h.event_type_id = k.event_type_id AND h.team_id = k.team_id AND h.pos = k.pos
+GROUP BY k.event_id""")
 
 
 def sql_rates(a: str, p: str, default: float | None = None,
@@ -448,11 +457,17 @@ _JOINT_DEFAULT = 2.3
   coalesce(avg(CASE WHEN j.ca = m.away_id THEN CAST(j.hs AS DOUBLE) END), {_JOINT_DEFAULT}E0) AS away_avg_conceded
 FROM mf m LEFT JOIN (SELECT * FROM jc WHERE rn <= {config.RECENT_LIMIT}) j ON j.event_id = m.event_id
 GROUP BY m.event_id, m.home_id, m.away_id""", TL_CTES + (
-    ("jc", """SELECT m.event_id, h.event_id AS c_event_id, h.home_id AS ch, h.away_id AS ca,
-       h.home_ft_score AS hs, h.away_ft_score AS as_,
-       row_number() OVER (PARTITION BY m.event_id ORDER BY h.start_time DESC, h.event_id DESC) AS rn
-FROM mf m JOIN mfp h ON h.played = 1 AND h.start_time < m.start_time
-  AND (h.home_id = m.home_id OR h.away_id = m.away_id)"""),
+    ("jk", f"""SELECT event_id, team_id, is_home, count(*) FILTER (WHERE played = 1) OVER
+       (PARTITION BY team_id, is_home {BEFORE}) AS k FROM tlv"""),
+    ("jp", """SELECT event_id, team_id, is_home, row_number() OVER (PARTITION BY team_id, is_home
+       ORDER BY start_time, event_id) AS pos FROM tlv WHERE played = 1"""),
+    ("jd", f"""SELECT DISTINCT k.event_id, jp.event_id AS c_event_id
+FROM (SELECT *, unnest(range(greatest(k - {config.RECENT_LIMIT}, 0) + 1, k + 1)) AS pos FROM jk) k
+JOIN jp ON jp.team_id = k.team_id AND jp.is_home = k.is_home AND jp.pos = k.pos"""),
+    ("jc", """SELECT jd.event_id, jd.c_event_id, h.home_id AS ch, h.away_id AS ca, h.home_ft_score AS hs,
+       h.away_ft_score AS as_,
+       row_number() OVER (PARTITION BY jd.event_id ORDER BY h.start_time DESC, h.event_id DESC) AS rn
+FROM jd JOIN mfp h ON h.event_id = jd.c_event_id"""),
 ))
 def joint_recent_form(spark, d):
     """30 most recent earlier matches with the home team at home or the away team away
@@ -471,12 +486,12 @@ def joint_recent_form(spark, d):
         F.coalesce(div(F.col("_aga"), F.col("away_n")), dft).alias("away_avg_conceded"))
 
 
-@register("history_before_event", f"""SELECT r.event_id, r.event_type_id, r.start_time,
-  CAST(count(h.event_id) AS BIGINT) AS league_n_before,
-  CAST(sum(h.home_ft_score + h.away_ft_score) AS DOUBLE) / NULLIF(count(h.event_id), 0) AS league_avg_total_before
-FROM (SELECT * FROM mfp WHERE played = 0) r
-LEFT JOIN (SELECT * FROM mfp WHERE played = 1) h ON h.event_type_id = r.event_type_id AND h.start_time < r.start_time
-GROUP BY r.event_id, r.event_type_id, r.start_time""", TL_CTES)
+@register("history_before_event", f"""SELECT event_id, event_type_id, start_time, league_n_before,
+  CAST(tot AS DOUBLE) / NULLIF(league_n_before, 0) AS league_avg_total_before
+FROM (SELECT event_id, event_type_id, start_time, played, count(*) FILTER (WHERE played = 1) OVER w AS league_n_before,
+        sum(home_ft_score + away_ft_score) FILTER (WHERE played = 1) OVER w AS tot
+      FROM mfp WINDOW w AS (PARTITION BY event_type_id {BEFORE}))
+WHERE played = 0""", TL_CTES)
 def history_before_event(spark, d):
     """For every request (unplayed match): league matches played strictly before it."""
     mf = M.match_core(fixture_tables(spark, d))

@@ -69,7 +69,7 @@ WHERE s.is_train = 0"""),
        CAST(sum(pnl) AS DOUBLE) / sum(n_test) AS pooled_roi_pct FROM ws GROUP BY event_type_id"""),
     ("completed", "SELECT event_type_id, count(*) AS n_completed FROM tf0 GROUP BY event_type_id"),
 )
-LEARN_CTES = (ASOF_QUOTES,) + CS_CTES + TF_CTES
+LEARN_CTES = (ASOF_QUOTES,) + TF_CTES
 
 
 # ---------------------------------------------------------------------------
@@ -261,7 +261,7 @@ FROM (SELECT s.event_type_id, s.season_start, s.window_no, s.model_name, g.thres
         sum(CASE WHEN coalesce(s.score >= g.threshold, false) = (s.label_over = 1) THEN 1 ELSE 0 END) AS n_correct
       FROM cand s CROSS JOIN grid g GROUP BY ALL)
 QUALIFY row_number() OVER (PARTITION BY {WK} ORDER BY n_correct DESC, model_name ASC, threshold ASC) = 1""",
-          LEARN_CTES + (("cand", " UNION ALL ".join(
+          LEARN_CTES + CS_CTES + (("cand", " UNION ALL ".join(
               f"SELECT r.event_type_id, r.season_start, r.window_no, r.label_over, '{name}' AS model_name, "
               f"{'(c.home_over_rate + c.away_over_rate) / 2' if col == 'avg_over_rate' else 'r.' + col} AS score "
               f"FROM {_TRAIN_ROWS} r JOIN cs c ON c.event_id = r.event_id"
