@@ -37,6 +37,16 @@ ROUND_OUTPUT = 4                   # probabilities are printed with 4 decimals
 THRESHOLD_GRID_LO = 30
 THRESHOLD_GRID_HI = 70
 THRESHOLD_GRID_DEN = 100
+# Every documented grid: name -> (lowest, highest, step, denominator), as integers
+THRESHOLD_GRIDS: dict[str, tuple[int, int, int, int]] = {
+    "0.30-0.70/0.01": (THRESHOLD_GRID_LO, THRESHOLD_GRID_HI, 1, THRESHOLD_GRID_DEN),
+    "0.20-0.80/0.01": (20, 80, 1, 100),
+    "0.25-0.75/0.02": (25, 75, 2, 100),
+    "0.30-0.70/0.02": (30, 70, 2, 100),
+    "0.30-0.70/0.05": (30, 70, 5, 100),
+    "0.30-0.71/0.01": (30, 71, 1, 100),
+    "0.30-0.70/0.025": (300, 700, 25, 1000),
+}
 
 # Season calendars. Each entry: (season start month,
 #   list of (window number, first month, last month)); months not listed belong to
@@ -53,6 +63,14 @@ CALENDARS: dict[str, tuple[int, list[tuple[int, int, int]]]] = {
     "sep_quarters": (9, [(1, 9, 11), (2, 12, 2), (3, 3, 5), (4, 6, 8)]),
     # Mar start: Mar-May, Jun-Aug, Sep-Feb
     "mar_three": (3, [(1, 3, 5), (2, 6, 8), (3, 9, 2)]),
+    # Aug start, Aug-Nov, Dec-Feb, Mar-Jul
+    "aug_long_ends": (8, [(1, 8, 11), (2, 12, 2), (3, 3, 7)]),
+    # Sep start, Sep-Nov, Dec-Feb, Mar-Apr, May-Aug
+    "sep_short_spring": (9, [(1, 9, 11), (2, 12, 2), (3, 3, 4), (4, 5, 8)]),
+    # calendar year: Feb-Apr, May-Jul, Aug-Oct, Nov-Dec; Jan in no window
+    "calendar_year": (1, [(1, 2, 4), (2, 5, 7), (3, 8, 10), (4, 11, 12)]),
+    # cup: Aug start, Nov-Jan and Feb-Apr only
+    "aug_cup": (8, [(1, 11, 1), (2, 2, 4)]),
 }
 
 # Cold-start default profiles: (scored, conceded, over_rate, win_rate, min_games)
@@ -64,6 +82,18 @@ DEFAULT_PROFILES: dict[str, tuple[float, float, float, float, int]] = {
     "profile_125": (1.25, 1.25, 0.5, 0.45, 1),
 }
 
+# Profiles whose sides differ or whose minimum is another:
+# (home scored, conceded, over_rate, away scored, conceded, over_rate, min_games)
+SIDE_PROFILES: dict[str, tuple[float, float, float, float, float, float, int]] = {
+    "home_18_away_13": (1.8, 1.3, 0.5, 1.3, 1.8, 0.5, 1),
+    "home_15_away_12_min3": (1.5, 1.3, 0.45, 1.2, 1.4, 0.40, 3),
+    "both_20": (2.0, 2.0, 0.5, 2.0, 2.0, 0.5, 1),
+    "both_18": (1.8, 1.8, 0.5, 1.8, 1.8, 0.5, 1),
+    "both_23": (2.3, 2.3, 0.5, 2.3, 2.3, 0.5, 1),
+}
+VENUE_LAST_N_DEFAULT = 2.0         # venue last-10 averages without a match
+VENUE_DEFAULT = 1.8                # venue expanding averages without a match
+
 # ---------------------------------------------------------------------------
 # Fixture league mapping (repository choice for the five test-data leagues)
 # ---------------------------------------------------------------------------
@@ -90,20 +120,27 @@ AS_OF = _dt.datetime(2001, 1, 1, 0, 0, 0)
 AS_OF_SQL = "2001-01-01 00:00:00"
 
 
-def calendar_rows() -> list[tuple[int, int, int, int]]:
-    """(league, month, season_offset, window_no) for every league and month in a window."""
+def calendar_months(cal: str) -> list[tuple[int, int, int, int, int]]:
+    """(month, season_offset, window_no, first month, last month) for every month in a window."""
+    start, windows = CALENDARS[cal]
     rows = []
-    for league, (cal, _pred, _prof, _strict) in sorted(LEAGUES.items()):
-        start, windows = CALENDARS[cal]
-        for wno, first, last in windows:
-            m = first
-            while True:
-                rows.append((league, m, 1 if m < start else 0, wno))
-                if m == last:
-                    break
-                m = m % 12 + 1
+    for wno, first, last in windows:
+        for i in range((last - first) % 12 + 1):
+            m = (first - 1 + i) % 12 + 1
+            rows.append((m, int(m < start), wno, first, last))
     return rows
 
 
+def calendar_rows() -> list[tuple[int, int, int, int]]:
+    """(league, month, season_offset, window_no) for every league and month in a window."""
+    return [(league, *month[:3]) for league, (cal, *_rest) in sorted(LEAGUES.items()) for month in calendar_months(cal)]
+
+
+def calendar_shape_rows() -> list[tuple[str, int, int, int, int, int, int, int]]:
+    """(calendar, month, season_offset, window_no, first month, its offset, last month, its offset)."""
+    return [(cal, m, off, wno, first, int(first < CALENDARS[cal][0]), last, int(last < CALENDARS[cal][0]))
+            for cal in CALENDARS for m, off, wno, first, last in calendar_months(cal)]
+
+
 def threshold_grid() -> list[int]:
     return list(range(THRESHOLD_GRID_LO, THRESHOLD_GRID_HI + 1))

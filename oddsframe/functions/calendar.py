@@ -18,6 +18,28 @@ def calendar_table(spark: SparkSession) -> DataFrame:
         "event_type_id int, cal_month int, season_offset int, window_no int")
 
 
+def all_windows(events: DataFrame, spark: SparkSession) -> DataFrame:
+    """Season, window and the documented label forms of every event under every calendar shape (no row
+    where the month belongs to no window). The calendars are configuration: at most 12 rows each."""
+    cal = F.broadcast(spark.createDataFrame(
+        config.calendar_shape_rows(),
+        "calendar string, cal_month int, season_offset int, window_no int, first_month int, first_offset int, "
+        "last_month int, last_offset int"))
+    j = events.withColumn("cal_month", F.month("start_time")).join(cal, "cal_month")
+    season = (F.year("start_time") - F.col("season_offset")).cast("int")
+
+    def month_of(offset: str, month: str) -> F.Column:
+        return F.format_string("%d-%02d", season + F.col(offset), F.col(month))
+
+    years = F.concat(season.cast("string"), F.lit("-"), (season + 1).cast("string"))
+    no = F.col("window_no").cast("string")
+    span = F.concat(month_of("first_offset", "first_month"), F.lit(" to "), month_of("last_offset", "last_month"))
+    return j.select(*events.columns, "calendar", season.alias("season_start"), "window_no",
+                    F.concat(F.lit("S"), years, F.lit("-W"), no).alias("label_s"),
+                    F.concat(years, F.lit("_W"), no).alias("label_underscore"),
+                    F.concat(years, F.lit(" W"), no).alias("label_space"), span.alias("label_months"))
+
+
 def with_season_window(df: DataFrame, spark: SparkSession) -> DataFrame:
     """Adds season_start (int), window_no (int), window_label (string); NULL when the
     month belongs to no window of the league's calendar."""

@@ -19,6 +19,7 @@ P_OVER_MISSING = 0.5          # guarded implied O/U probability when odd <= 0
 P_1X2_MISSING = 0.33          # guarded implied 1X2 probability when odd <= 0
 VIG_EPS = 1e-6                # denominator guard of the vig-free 1X2 variant
 LOGIT_EPS = 1e-6              # logit guard
+MARKET_EVEN_TOL = 0.05        # O/U odds this close are an even market
 LOG_RATIO_EPS = 0.001         # ln(ratio + 0.001)
 CAP_CENTRES = (3.0, 2.5)      # cap - 3.0, cap - 2.5
 CAP_HALF_UNIT = 0.5           # (cap - 2.5) / 0.5
@@ -144,6 +145,8 @@ def cap_buckets() -> list[Column]:
         flag((cap > 2.75) & (cap <= 3.0)).alias("cap_275_30"),
         flag((cap > 3.0) & (cap <= 3.5)).alias("cap_30_35"),
         flag(cap > 3.5).alias("cap_high"),
+        flag(cap > 2.5).alias("cap_above_25"),
+        flag(cap > 2.75).alias("cap_above_275"),
         F.when(cap.isNull(), F.lit(None)).otherwise(
             F.coalesce(m[cap], F.lit(CAP_BIN_DEFAULT))).cast("int").alias("cap_bin"),
     ]
@@ -156,6 +159,9 @@ def favourite_flags() -> list[Column]:
         flag(c("over_odd") < c("under_odd")).alias("over_favoured"),
         flag(c("home_odd") < c("away_odd")).alias("home_favoured"),
         flag(c("home_cap") < 0).alias("handicap_home_favoured"),
+        flag(F.abs(c("over_odd") - c("under_odd")) < MARKET_EVEN_TOL).alias("market_even"),
+        flag(p_over() > 0.5).alias("market_bias_over"),
+        flag(inv("home_odd") > inv("away_odd")).alias("market_home_likelier"),
         F.greatest(pf, F.lit(1.0) - pf).alias("ou_favourite_strength"),
         F.greatest(div(inv("home_odd"), x12), div(inv("away_odd"), x12)).alias("x12_favourite_strength"),
     ]
@@ -176,7 +182,8 @@ def log_features() -> list[Column]:
         F.log(div("over_odd", "under_odd") + LOG_RATIO_EPS).alias("log_ou_ratio"),
         F.log(c("over_odd")).alias("log_over_odd"),
         F.log(c("under_odd")).alias("log_under_odd"),
-        F.log(div(pf + LOGIT_EPS, F.lit(1.0) - pf + LOGIT_EPS)).alias("logit_over_fair"),
+        *[F.log(div(p + LOGIT_EPS, F.lit(1.0) - p + LOGIT_EPS)).alias(name)
+          for name, p in (("logit_over_fair", pf), ("logit_over", p_over()), ("logit_home", inv("home_odd")))],
     ]
 
 
@@ -186,6 +193,7 @@ def juice() -> list[Column]:
         (c("over_odd") * pf).alias("over_juice"),
         (c("under_odd") * (F.lit(1.0) - pf)).alias("under_juice"),
         (c("over_odd") * p_over()).alias("over_odd_x_implied"),   # identically 1.0 by construction
+        (c("under_odd") * p_under()).alias("under_odd_x_implied"),
         (c("over_odd") - 1).alias("over_net_odd"),
         (c("under_odd") - 1).alias("under_net_odd"),
     ]

@@ -146,6 +146,16 @@ def with_cold_start(df: DataFrame, spark: SparkSession, sides=("home", "away"))
     return out.drop("d_scored", "d_conceded", "d_over_rate", "d_win_rate", "d_min_games")
 
 
+def with_side_profiles(df: DataFrame, profiles: dict[str, tuple[float, float, float, float, float, float, int]]) -> DataFrame:
+    """One row per match and profile: the sides' rates where a team has the profile's games, else
+    the profile's own values. Profiles are configuration, so the rows grow by their fixed number."""
+    names = ("home_scored", "home_conceded", "home_over_rate", "away_scored", "away_conceded", "away_over_rate")
+    rows = F.array(*[F.struct(F.lit(p).alias("profile"), F.lit(v[6]).alias("_min"),
+                              *[F.lit(x).alias(f"d_{c}") for c, x in zip(names, v)]) for p, v in profiles.items()])
+    return df.select("*", F.inline(rows)).select("event_id", "profile", *[
+        F.coalesce(F.when(F.col(c.split("_")[0] + "_n") >= F.col("_min"), F.col(c)), F.col(f"d_{c}")).alias(c) for c in names])
+
+
 def joint_recent(tl: DataFrame, matches: DataFrame, limit: int = config.RECENT_LIMIT) -> DataFrame:
     """For every match (H home, A away, kick-off T): the ``limit`` most recent played
     matches before T in which H played at home or A played away (any league), ordered

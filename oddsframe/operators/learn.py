@@ -167,30 +167,41 @@ def anova_f(train: DataFrame, keys: list[str], features: list[str], label: str =
 
 def threshold_search(train: DataFrame, keys: list[str], score: str = "p_over_fair",
                      label: str = "label_over") -> DataFrame:
-    """Grid threshold t_k = (LO + k) / 100 maximising train accuracy of ``score >= t``;
-    ties -> lowest t.
+    """The best threshold of the default grid per group (see ``threshold_search_grids``)."""
+    grid = (config.THRESHOLD_GRID_LO, config.THRESHOLD_GRID_HI, 1, config.THRESHOLD_GRID_DEN)
+    return threshold_search_grids(train, keys, {"default": grid}, score, label).drop("grid")
+
+
+def threshold_search_grids(train: DataFrame, keys: list[str], grids: dict[str, tuple[int, int, int, int]],
+                           score: str = "p_over_fair", label: str = "label_over") -> DataFrame:
+    """Per group and grid, the threshold t_k = (lo + k * step) / den that maximises the train
+    accuracy of ``score >= t``; ties -> lowest t.
 
     No cross join and no dense grid: each row falls in one bucket kk = max{k : t_k <=
-    score} (-1 if none); per-bucket class counts are a partial aggregation. The set of
+    score} (-1 if none) of each grid; per-bucket class counts are a partial aggregation. The set of
     rows called OVER only changes when k passes an occupied bucket, so the lowest k of
     every constant stretch is 0 or (occupied bucket + 1); their accuracies come from
-    running sums in one window over at most K + 2 bucket rows per group."""
-    lo, hi, den = config.THRESHOLD_GRID_LO, config.THRESHOLD_GRID_HI, config.THRESHOLD_GRID_DEN
-    kmax = hi - lo
+    running sums in one window over at most K + 2 bucket rows per group and grid."""
+    s = F.col(score)
 
-    def t(k: Column) -> Column:
-        return (F.lit(lo) + k).cast("double") / float(den)
+    def bucket(name: str, lo: int, hi: int, step: int, den: int) -> Column:
+        def t(k: Column) -> Column:
+            return (F.lit(lo) + k * step).cast("double") / float(den)
 
-    s = F.col(score)
-    guess = (F.floor(s * den) - lo).cast("int")
-    kk = (F.when(t(guess + 1) <= s, guess + 1).when(t(guess) > s, guess - 1).otherwise(guess))
-    kk = F.when(s.isNull(), F.lit(-1)).otherwise(F.least(F.greatest(kk, F.lit(-1)), F.lit(kmax)))
-    buckets = (train.select(*keys, kk.alias("k"), F.col(label).alias("y"))
-                    .groupBy(*keys, "k")
+        guess = F.floor((s * den - lo) / step).cast("int")
+        kk = F.when(t(guess + 1) <= s, guess + 1).when(t(guess) > s, guess - 1).otherwise(guess)
+        kmax = (hi - lo) // step
+        kk = F.when(s.isNull(), F.lit(-1)).otherwise(F.least(F.greatest(kk, F.lit(-1)), F.lit(kmax)))
+        return F.struct(F.lit(name).alias("grid"), F.lit(lo).alias("_lo"), F.lit(step).alias("_step"),
+                        F.lit(den).alias("_den"), F.lit(kmax).alias("_kmax"), kk.alias("k"))
+
+    group = [*keys, "grid", "_lo", "_step", "_den", "_kmax"]
+    buckets = (train.select(*keys, F.col(label).alias("y"), F.inline(F.array(*[bucket(n, *g) for n, g in grids.items()])))
+                    .groupBy(*group, "k")
                     .agg(F.sum("y").alias("pos"), F.sum(F.lit(1) - F.col("y")).alias("neg")))
-    w_all = Window.partitionBy(*keys)
-    w_cum = Window.partitionBy(*keys).orderBy("k").rowsBetween(Window.unboundedPreceding, 0)
-    cum = buckets.select(*keys, "k", F.sum("pos").over(w_all).alias("P"), F.sum("neg").over(w_all).alias("N"),
+    w_all = Window.partitionBy(*group)
+    w_cum = w_all.orderBy("k").rowsBetween(Window.unboundedPreceding, 0)
+    cum = buckets.select(*group, "k", F.sum("pos").over(w_all).alias("P"), F.sum("neg").over(w_all).alias("N"),
                          F.sum("pos").over(w_cum).alias("pos_le"), F.sum("neg").over(w_cum).alias("neg_le"),
                          F.min("k").over(w_all).alias("k_min"))
     # candidate k + 1 after every occupied bucket; candidate 0 when no row is below the grid
@@ -199,13 +210,13 @@ def threshold_search(train: DataFrame, keys: list[str], score: str = "p_over_fai
                  F.col("neg_le").alias("neg_lt")),
         F.struct(F.when((F.col("k") == F.col("k_min")) & (F.col("k") >= 0), F.lit(0)).alias("kc"),
                  F.col("P").alias("pos_ge"), F.lit(0).cast("bigint").alias("neg_lt")))
-    acc = (cum.select(*keys, "P", "N", F.inline(cands))
-              .filter(F.col("kc").isNotNull() & (F.col("kc") <= kmax))
+    acc = (cum.select(*group, "P", "N", F.inline(cands))
+              .filter(F.col("kc").isNotNull() & (F.col("kc") <= F.col("_kmax")))
               .withColumn("correct", F.col("pos_ge") + F.col("neg_lt")))
-    best_w = Window.partitionBy(*keys).orderBy(F.col("correct").desc(), F.col("kc").asc())
+    best_w = w_all.orderBy(F.col("correct").desc(), F.col("kc").asc())
     best = acc.withColumn("_rn", F.row_number().over(best_w)).filter(F.col("_rn") == 1)
-    return best.select(*keys, t(F.col("kc")).alias("threshold"), (F.col("P") + F.col("N")).alias("n_train"),
-                       F.col("correct").alias("n_correct_train"),
+    return best.select(*keys, "grid", ((F.col("_lo") + F.col("kc") * F.col("_step")).cast("double") / F.col("_den")).alias("threshold"),
+                       (F.col("P") + F.col("N")).alias("n_train"), F.col("correct").alias("n_correct_train"),
                        div(F.col("correct"), F.col("P") + F.col("N")).alias("train_accuracy"))
 
 

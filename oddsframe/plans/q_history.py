@@ -181,6 +181,41 @@ def venue_expanding(spark, d):
     return out.select("event_id", *H.rates("hh", 1.8, stats=keep), *H.rates("aa", 1.8, stats=keep))
 
 
+def _v(alias: str, x: str, default: float) -> str:
+    return f"coalesce(CAST({alias}.{x} AS DOUBLE) / NULLIF({alias}.n, 0), {default}E0)"
+
+
+_VD, _VN = config.VENUE_DEFAULT, config.VENUE_LAST_N_DEFAULT
+_CROSS = f"((({_v('l1', 'gf', _VN)} + {_v('l0', 'ga', _VN)}) + ({_v('l0', 'gf', _VN)} + {_v('l1', 'ga', _VN)})) / 2)"
+
+
+@register("venue_expected_total", f"""SELECT m.event_id,
+  {_v('h1', 'gf', _VD)} + {_v('h1', 'ga', _VD)} AS home_venue_total, {_v('a0', 'gf', _VD)} + {_v('a0', 'ga', _VD)} AS away_venue_total,
+  over_under_cap - ({_v('h1', 'gf', _VD)} + {_v('a0', 'gf', _VD)}) AS cap_minus_venue_scored,
+  {_CROSS} AS exp_total_venue_cross, {_CROSS} - over_under_cap AS venue_cross_minus_cap
+FROM mf m LEFT JOIN h1 ON h1.event_id = m.event_id LEFT JOIN a0 ON a0.event_id = m.event_id
+LEFT JOIN l1 ON l1.event_id = m.event_id LEFT JOIN l0 ON l0.event_id = m.event_id""", TL_CTES + (
+    hist_cte("h1", "home_id", venue=1), hist_cte("a0", "away_id", venue=0),
+    hist_cte("l1", "home_id", venue=1, n=config.LAST_N_FORM), hist_cte("l0", "away_id", venue=0, n=config.LAST_N_FORM)))
+def venue_expected_total(spark, d):
+    """Totals expected from venue averages: sums over all earlier home (away) matches, and the cross
+    form over the last 10 of them, each with its own default."""
+    mf, tl = _ctx(spark, d)
+    every = H.two_sided(_base(mf), H.expanding_table(tl, H.LEAGUE_TEAM_VENUE), pfx=("h1", "a0"), venue=True,
+                        carry=["over_under_cap"])
+    last = H.two_sided(_base(mf), H.last_n_table(tl, H.LEAGUE_TEAM_VENUE, config.LAST_N_FORM), pfx=("l1", "l0"), venue=True)
+
+    def avg(p, x, default):
+        return F.coalesce(div(F.col(f"{p}_{x}"), F.col(f"{p}_n")), F.lit(default))
+    cap = F.col("over_under_cap")
+    cross = ((avg("l1", "gf", _VN) + avg("l0", "ga", _VN)) + (avg("l0", "gf", _VN) + avg("l1", "ga", _VN))) / 2
+    return every.join(last, "event_id").select(
+        "event_id", (avg("h1", "gf", _VD) + avg("h1", "ga", _VD)).alias("home_venue_total"),
+        (avg("a0", "gf", _VD) + avg("a0", "ga", _VD)).alias("away_venue_total"),
+        (cap - (avg("h1", "gf", _VD) + avg("a0", "gf", _VD))).alias("cap_minus_venue_scored"),
+        cross.alias("exp_total_venue_cross"), (cross - cap).alias("venue_cross_minus_cap"))
+
+
 @_reg("last_n_form", [hist_cte("lh", "home_id", n=config.LAST_N_FORM),
                       hist_cte("la", "away_id", n=config.LAST_N_FORM)],
       [("lh", "home_l10", None, ALL), ("la", "away_l10", None, ALL)])
@@ -335,6 +370,26 @@ def cold_start_defaults(spark, d):
     return cold_start_frame(spark, d).select("event_id", *_CS_OUT)
 
 
+_PROFILE_VALUES = ", ".join(f"('{p}', " + ", ".join(f"{x}E0" for x in v[:6]) + f", {v[6]})" for p, v in config.SIDE_PROFILES.items())
+
+
+def _profile_sql(a: str, side: str) -> list[str]:
+    ok, n = f"coalesce({a}.n, 0) >= p.min_games", f"{a}.n"
+    return [f"coalesce(CASE WHEN {ok} THEN CAST({a}.{x} AS DOUBLE) / NULLIF({by}, 0) END, p.{side}_{stat}) AS {side}_{stat}"
+            for x, by, stat in (("gf", n, "scored"), ("ga", n, "conceded"), ("over", f"{a}.over_n", "over_rate"))]
+
+
+@register("cold_start_profiles", "SELECT m.event_id, p.profile, " + ", ".join(_profile_sql("eh", "home") + _profile_sql("ea", "away"))
+          + " FROM mf m LEFT JOIN eh ON eh.event_id = m.event_id LEFT JOIN ea ON ea.event_id = m.event_id "
+            f"CROSS JOIN (VALUES {_PROFILE_VALUES}) AS p(profile, home_scored, home_conceded, home_over_rate, away_scored, "
+            "away_conceded, away_over_rate, min_games)", TL_CTES + (hist_cte("eh", "home_id"), hist_cte("ea", "away_id")))
+def cold_start_profiles(spark, d):
+    """Expanding form of every match filled by each profile whose sides have their own defaults."""
+    mf, tl = _ctx(spark, d)
+    out = H.two_sided(_base(mf), H.expanding_table(tl, H.LEAGUE_TEAM)).select("event_id", *H.rates("home"), *H.rates("away"))
+    return H.with_side_profiles(out, config.SIDE_PROFILES)
+
+
 _HS, _HC, _AS, _AC = "home_scored", "home_conceded", "away_scored", "away_conceded"
 
 

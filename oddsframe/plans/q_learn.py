@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from oddsframe import config
 from oddsframe.functions import market
-from oddsframe.functions.calendar import with_season_window
+from oddsframe.functions.calendar import all_windows, with_season_window
 from oddsframe.functions.helpers import div
 from oddsframe.operators import evaluate as EV
 from oddsframe.operators import learn as L
@@ -121,6 +121,20 @@ def season_window(spark, d):
                                                 "window_no", "window_label")
 
 
+@register("season_window_calendars", """SELECT e.event_id, k.calendar, CAST(y0 AS INT) AS season_start, k.window_no,
+  concat('S', y0, '-', y0 + 1, '-W', k.window_no) AS label_s, concat(y0, '-', y0 + 1, '_W', k.window_no) AS label_underscore,
+  concat(y0, '-', y0 + 1, ' W', k.window_no) AS label_space,
+  concat(y0 + first_offset, '-', lpad(CAST(first_month AS VARCHAR), 2, '0'), ' to ', y0 + last_offset, '-',
+         lpad(CAST(last_month AS VARCHAR), 2, '0')) AS label_months
+FROM fx_event e JOIN shapes k ON k.cal_month = month(e.start_time), LATERAL (SELECT year(e.start_time) - k.season_offset AS y0)""",
+          (("shapes", "SELECT * FROM (VALUES " + ", ".join(str(r) for r in config.calendar_shape_rows())
+            + ") AS t(calendar, cal_month, season_offset, window_no, first_month, first_offset, last_month, last_offset)"),))
+def season_window_calendars(spark, d):
+    """Season, window and label forms of every match under each documented calendar shape."""
+    ev = fixture_tables(spark, d).event.select("event_id", "start_time")
+    return all_windows(ev, spark).drop("start_time")
+
+
 @register("ou_label", "SELECT event_id, total_goals, over_under_cap, label_over FROM tf0", LEARN_CTES)
 def ou_label(spark, d):
     """OVER iff total goals > cap (total == cap is UNDER)."""
@@ -253,6 +267,22 @@ def threshold_search(spark, d):
     return L.threshold_search(sp, L.WKEYS)
 
 
+_GRID_ROWS = ", ".join(f"('{g}', {(lo + i * step)}.0E0 / {den}.0E0)" for g, (lo, hi, step, den) in config.THRESHOLD_GRIDS.items()
+                       for i in range((hi - lo) // step + 1))
+
+
+@register("threshold_grids", f"""SELECT {WK}, grid, threshold, n_train, n_correct AS n_correct_train,
+  CAST(n_correct AS DOUBLE) / n_train AS train_accuracy
+FROM (SELECT s.event_type_id, s.season_start, s.window_no, g.grid, g.threshold, count(*) AS n_train,
+        count(*) FILTER (WHERE coalesce(s.p_over_fair >= g.threshold, false) = (s.label_over = 1)) AS n_correct
+      FROM {_TRAIN_ROWS} s CROSS JOIN (VALUES {_GRID_ROWS}) AS g(grid, threshold) GROUP BY ALL)
+QUALIFY row_number() OVER (PARTITION BY {WK}, grid ORDER BY n_correct DESC, threshold ASC) = 1""", LEARN_CTES)
+def threshold_grids(spark, d):
+    """Best threshold per gated window on every documented grid, in one pass."""
+    sp = L.gated(_split(spark, d)).filter(F.col("is_train") == 1)
+    return L.threshold_search_grids(sp, L.WKEYS, config.THRESHOLD_GRIDS)
+
+
 _CANDIDATES = {"fair_over": "p_over_fair", "implied_over": "p_over", "form_over": "avg_over_rate"}
 
 

@@ -90,6 +90,8 @@ _market_query("cap_buckets", [
     ("CAST(over_under_cap > 2.75E0 AND over_under_cap <= 3.0E0 AS INT)", "cap_275_30"),
     ("CAST(over_under_cap > 3.0E0 AND over_under_cap <= 3.5E0 AS INT)", "cap_30_35"),
     ("CAST(over_under_cap > 3.5E0 AS INT)", "cap_high"),
+    ("CAST(over_under_cap > 2.5E0 AS INT)", "cap_above_25"),
+    ("CAST(over_under_cap > 2.75E0 AS INT)", "cap_above_275"),
     ("CAST(CASE WHEN over_under_cap IS NULL THEN NULL " + " ".join(
         f"WHEN over_under_cap = {k}E0 THEN {v}" for k, v in market.CAP_BIN.items())
      + f" ELSE {market.CAP_BIN_DEFAULT} END AS INT)", "cap_bin"),
@@ -99,6 +101,9 @@ _market_query("favourite_flags", [
     ("CAST(over_odd < under_odd AS INT)", "over_favoured"),
     ("CAST(home_odd < away_odd AS INT)", "home_favoured"),
     ("CAST(home_cap < 0 AS INT)", "handicap_home_favoured"),
+    (f"CAST(abs(over_odd - under_odd) < {market.MARKET_EVEN_TOL}E0 AS INT)", "market_even"),
+    (f"CAST({P_OVER} > 0.5E0 AS INT)", "market_bias_over"),
+    (f"CAST({inv('home_odd')} > {inv('away_odd')} AS INT)", "market_home_likelier"),
     (r6(f"greatest({P_OVER_FAIR}, 1.0E0 - {P_OVER_FAIR})"), "ou_favourite_strength"),
     (r6(f"greatest({P_HOME_FAIR}, {P_AWAY_FAIR})"), "x12_favourite_strength"),
 ])
@@ -114,13 +119,15 @@ _market_query("log_features", [
     (rr6(f"ln({div('over_odd', 'under_odd')} + 0.001E0)"), "log_ou_ratio"),
     (rr6("ln(over_odd)"), "log_over_odd"),
     (rr6("ln(under_odd)"), "log_under_odd"),
-    (rr6(f"ln({div(f'{P_OVER_FAIR} + 1.0E-6', f'1.0E0 - {P_OVER_FAIR} + 1.0E-6')})"), "logit_over_fair"),
+    *[(rr6(f"ln({div(f'{p} + 1.0E-6', f'1.0E0 - {p} + 1.0E-6')})"), name)
+      for name, p in (("logit_over_fair", P_OVER_FAIR), ("logit_over", P_OVER), ("logit_home", inv("home_odd")))],
 ], rounded=True)
 
 _market_query("juice", [
     (r6(f"(over_odd * {P_OVER_FAIR})"), "over_juice"),
     (r6(f"(under_odd * (1.0E0 - {P_OVER_FAIR}))"), "under_juice"),
     (r6(f"(over_odd * {P_OVER})"), "over_odd_x_implied"),
+    (r6(f"(under_odd * {P_UNDER})"), "under_odd_x_implied"),
     (r6("(over_odd - 1)"), "over_net_odd"),
     (r6("(under_odd - 1)"), "under_net_odd"),
 ])
