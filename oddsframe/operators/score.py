@@ -124,6 +124,51 @@ def score_logistic(df: DataFrame, registry: DataFrame, features: list[str],
     return j.select(*keep, "model_name", "threshold", "strict", prob.alias("probability"))
 
 
+def score_registry(rows: DataFrame, missing: float = 0.0) -> Column:
+    """Probability of OVER from a registry row beside the request: ``features`` (map), and the
+    registry's ``feature_cols``, ``mean``, ``scale``, ``coef`` and ``intercept``. A feature that the map lacks
+    or holds as null takes the value ``missing``; one without spread adds nothing."""
+    def term(s: Column) -> Column:
+        x = F.coalesce(F.try_element_at(F.col("features"), s["feature_cols"]), F.lit(missing))
+        return s["coef"] * F.coalesce(div(x - s["mean"], s["scale"]), F.lit(0.0))
+
+    terms = F.transform(F.arrays_zip("feature_cols", "mean", "scale", "coef"), term)
+    eta = F.aggregate(terms, F.col("intercept"), lambda a, b: a + b)
+    return F.lit(1.0) / (F.lit(1.0) + F.exp(-F.least(F.greatest(eta, F.lit(-35.0)), F.lit(35.0))))
+
+
+def predict(requests: DataFrame, frame: DataFrame, registry: DataFrame, policies: DataFrame,
+            routed: list[int], strict: list[int], missing: float = 0.0) -> DataFrame:
+    """One prediction record per request row (``event_id``), errors as values.
+
+    ``frame`` holds the matches (odds, season window and a ``features`` map), ``registry`` the fitted models. The
+    model is that of the match's window, else the one its league's policy names
+    (``resolve_model_windows``); a model without a threshold takes the default one. ``error`` says why a
+    request has no prediction: event not found, unsupported league, no over/under odds, or no model."""
+    order = (F.col("season_start") * 10 + F.col("window_no")).cast("int")
+    asked = requests.select("event_id").join(frame.withColumn("_found", F.lit(True)), "event_id", "left")
+    league = F.col("event_type_id")
+    why = (F.when(F.col("_found").isNull(), F.lit("event not found"))
+            .when(~F.coalesce(league.isin(routed), F.lit(False)), F.lit("unsupported league"))
+            .when(F.col("over_odd").isNull() | F.col("under_odd").isNull(), F.lit("no over/under odds")))
+    asked = asked.withColumn("o", order).withColumn("_why", why)
+    models = registry.withColumn("model_key", order).drop("season_start", "window_no").withColumnRenamed(
+        "window_label", "model_window")
+    found = resolve_model_windows(models.select("event_type_id", F.col("model_key").alias("o")), asked, policies)
+    j = found.join(models, ["event_type_id", "model_key"], "left")
+    error = F.coalesce(F.col("_why"), F.when(F.col("model_name").isNull(), F.lit("no model")))
+    j = j.withColumn("error", error).withColumn("threshold", F.coalesce("threshold", F.lit(config.DEFAULT_THRESHOLD)))
+    j = j.withColumn("p", F.when(F.col("error").isNull(), score_registry(j, missing)))
+    side = decide(F.col("p"), F.col("threshold"), F.coalesce(league.isin(strict), F.lit(False)))
+    confidence, bet = recommended_bet(F.col("p"), side)
+    ok = F.col("error").isNull()
+    return j.select("event_id", "event_type_id", "home_team", "away_team", "start_time", side.alias("prediction"),
+                    round_to(F.col("p"), config.ROUND_OUTPUT).alias("probability"),
+                    F.when(ok, F.col("threshold")).alias("threshold"), round_to(confidence, config.ROUND_OUTPUT).alias("confidence"),
+                    bet.alias("bet"), "over_odd", "under_odd", "over_under_cap", "window_label",
+                    *[F.when(ok, F.col(c)).alias(c) for c in ("model_name", "model_window", "fallback")], "features", "error")
+
+
 def decide(prob: Column, threshold: Column, strict: Column) -> Column:
     """OVER when p > t (strict predictors) or p >= t (the others)."""
     over = F.when(strict, prob > threshold).otherwise(prob >= threshold)

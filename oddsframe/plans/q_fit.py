@@ -5,12 +5,16 @@ from __future__ import annotations
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, VectorAssembler
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from oddsframe import config
+from oddsframe.functions.calendar import with_season_window
 from oddsframe.operators import evaluate as EV
 from oddsframe.operators import learn as L
+from oddsframe.operators import matches as M
+from oddsframe.operators import score as S
 from oddsframe.plans.registry import register
 from oddsframe.sources.registry import read_registry, shared_registry_path, write_registry
 from oddsframe.session import checkpoint_dir
@@ -89,11 +93,36 @@ def model_registry_scan(spark, d):
     return read_registry(spark, path)
 
 
+def request_frame(spark, t):
+    """Matches with the latest quote, season window and feature map: what a prediction reads."""
+    mf = M.match_frame(t)
+    core = mf.select("event_id", "event_type_id", "start_time", "home_team", "away_team", "over_odd", "under_odd",
+                     "over_under_cap", *L.market_columns())
+    rows = with_season_window(core, spark).join(L.history_columns(spark, M.match_core(t)), "event_id", "left")
+    pairs = [x for f in L.FEATURES for x in (F.lit(f), F.col(f))]
+    return rows.withColumn("features", F.create_map(*pairs)).drop(*L.FEATURES)
+
+
+@register("prediction_fitted")
+def prediction_fitted(spark, d):
+    """A record for every unplayed match from the fitted registry: the model of its window, else the
+    league's fallback; features and errors as values."""
+    t = fixture_tables(spark, d)
+    registry = read_registry(spark, write_registry(logistic_registry(spark, d), shared_registry_path(spark)))
+    policies = spark.createDataFrame(sorted(config.LEAGUE_FALLBACK.items()), "event_type_id int, policy string")
+    requests = t.event.filter(~M.is_played()).select("event_id")
+    return S.predict(requests, request_frame(spark, t), registry, policies,
+                     routed=[lg for lg, row in config.LEAGUES.items() if row[1]],
+                     strict=[lg for lg, row in config.LEAGUES.items() if row[3]])
+
+
 def _ml_eval(spark, d, estimator, name):
     train, test = _train_test(spark, d)
-    cols = L.FEATURES + ["event_type_id"]
-    L.assert_no_leakage(cols)
-    pipe = Pipeline(stages=[VectorAssembler(inputCols=cols, outputCol="features", handleInvalid="keep"),
+    L.assert_no_leakage(L.FEATURES)
+    # the league is a category: one column per league, never an ordered number
+    pipe = Pipeline(stages=[OneHotEncoder(inputCols=["event_type_id"], outputCols=["league"], dropLast=False,
+                                          handleInvalid="keep"),
+                            VectorAssembler(inputCols=[*L.FEATURES, "league"], outputCol="features", handleInvalid="keep"),
                             estimator])
     if train.isEmpty():  # no window passes the gate: nothing to fit, empty typed result
         pred = test.withColumn("pred_over", F.lit(None).cast("int"))
@@ -124,9 +153,10 @@ def feature_importance(spark, d):
     """Random-forest importances and mean |coefficient| of the windowed logistic models."""
     model, _ = _ml_eval(spark, d, RandomForestClassifier(labelCol="label_over", featuresCol="features",
                                                          numTrees=50, maxDepth=4, seed=42), "random_forest")
-    cols = L.FEATURES + ["event_type_id"]
     imp = model.stages[-1].featureImportances.toArray().tolist() if model is not None else []
-    rf = spark.createDataFrame([("random_forest", c, float(v)) for c, v in zip(cols, imp)],
+    own = len(L.FEATURES)
+    imp = imp[:own] + [sum(imp[own:])] if imp else []  # the league's columns count together
+    rf = spark.createDataFrame([("random_forest", c, float(v)) for c, v in zip([*L.FEATURES, "event_type_id"], imp)],
                                "model_name string, feature string, importance double")
     reg = logistic_registry(spark, d)
     lr = (reg.select(F.posexplode("coef").alias("i", "w"), "feature_cols")
@@ -140,13 +170,14 @@ def feature_importance(spark, d):
 @register("feature_sets")
 def feature_sets(spark, d):
     """odds_only / odds_plus_market / full feature sets fitted for every gated window in
-    one Newton loop (the set is part of the group key; absent features are zero
-    columns, which the L2 penalty keeps at weight 0); best set per window by train
-    accuracy at 0.5."""
+    one Newton loop (the set and the held-out fold are part of the group key; absent features are
+    zero columns, which the L2 penalty keeps at weight 0); best set per window by 5-fold
+    cross-validated accuracy at 0.5 on the train rows, so that a larger set has no head start."""
     train, _test = _train_test(spark, d)
     feats = L.FEATURES
     sw = L.stats_wide(train, L.WKEYS, feats)
-    z = L.standardized(train, sw, L.WKEYS, feats)
+    folds = L.cv_folds(train, N_FOLDS).select("event_id", "fold")
+    z = L.standardized(train.join(folds, "event_id"), sw, L.WKEYS, feats)
     sets = list(L.FEATURE_SETS.items())
     set_rows = spark.createDataFrame([(i, name) for i, (name, _f) in enumerate(sets)], "set_id int, feature_set string")
     # one copy per feature set (a generator, not a join)
@@ -155,11 +186,14 @@ def feature_sets(spark, d):
         member = [i for i, (_n, fs) in enumerate(sets) if f in fs]
         zz = zz.withColumn(f"z_{f}", F.when(F.col("set_id").isin(member), F.col(f"z_{f}")).otherwise(F.lit(0.0)))
     keys = L.WKEYS + ["set_id"]
-    coefs = L.fit_logistic_groups(spark, zz, keys, feats)
-    scored = zz.join(F.broadcast(coefs), keys).withColumn("p", _logit("coef", "intercept", feats))
+    zz = zz.checkpoint()
+    kept = zz.withColumn("cv_fold", F.explode(F.array(*[F.lit(k) for k in range(N_FOLDS)]))).filter("cv_fold <> fold")
+    coefs = L.fit_logistic_groups(spark, kept, keys + ["cv_fold"], feats, checkpoint_input=False)
+    scored = (zz.withColumnRenamed("fold", "cv_fold").join(coefs, keys + ["cv_fold"])
+                .withColumn("p", _logit("coef", "intercept", feats)))
     acc = (scored.groupBy(*keys).agg(F.avg(((F.col("p") >= 0.5).cast("int") == F.col("label_over")).cast("double"))
-                                     .alias("train_accuracy"))
+                                     .alias("cv_accuracy"))
                  .join(F.broadcast(set_rows), "set_id"))
-    w = Window.partitionBy(*L.WKEYS).orderBy(F.col("train_accuracy").desc(), F.col("set_id"))
+    w = Window.partitionBy(*L.WKEYS).orderBy(F.col("cv_accuracy").desc(), F.col("set_id"))
     return acc.withColumn("is_best", (F.row_number().over(w) == 1).cast("int")).select(
-        *L.WKEYS, "feature_set", "train_accuracy", "is_best")
+        *L.WKEYS, "feature_set", "cv_accuracy", "is_best")

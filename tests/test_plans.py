@@ -6,7 +6,7 @@ import pytest
 import __spark_entry__ as E
 
 SF = "/root/testdata/sf0.001"
-FITS = {"fit_logistic", "fit_forest", "fit_gbt", "feature_importance", "feature_sets", "model_registry_scan",
+FITS = {"fit_logistic", "prediction_fitted", "fit_forest", "fit_gbt", "feature_importance", "feature_sets", "model_registry_scan",
         "latest_quote_stream", "scan_history_csv"}
 
 
