@@ -30,7 +30,7 @@ def shared_dir(spark: SparkSession) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         import tempfile
         named = tempfile.mkdtemp(prefix="oddsframe-llm-")
-        spark.conf.set("spark.checkpoint.dir", named)
+        spark.sparkContext.setCheckpointDir(named)
     return named
 
 
