@@ -53,26 +53,44 @@ def terms_of(word: str) -> set[str]:
     return out
 
 
-class _Terms(dict):
-    """Word -> numbers of its kept terms."""
+class _Terms:
+    """The kept terms of words. Few words have any, so those that have are looked up by set operations on a
+    text's distinct words, and only words not met before are cut into pieces."""
 
     def __init__(self, number: dict[str, int]) -> None:
-        super().__init__()
         self.number = number
-
-    def __missing__(self, word: str) -> tuple[int, ...]:
-        if len(self) >= WORDS_MAX:
-            self.clear()
-        self[word] = found = tuple(self.number[t] for t in sorted(terms_of(word)) if t in self.number)
-        return found
+        self.met: set[str] = set()
+        self.hits: dict[str, tuple[int, ...]] = {}
+
+    def learn(self, words: set[str]) -> None:
+        get = self.number.get
+        for word in words - self.met:
+            n = len(word)
+            found = {get("=" + word), *[get("^" + word[:k]) for k in (4, 5, 6) if n >= k],
+                     *[get(word[i:i + 5]) for i in range(1, n - 4)]}
+            found.discard(None)
+            if found:
+                self.hits[word] = tuple(sorted(found))
+        if len(self.met) >= WORDS_MAX:
+            self.met.clear()
+            self.hits = {w: self.hits[w] for w in words & self.hits.keys()}
+        self.met |= words
+
+    def held(self, text: str) -> set[int]:
+        """Numbers of the kept terms in ``text``."""
+        words = set(_WORD.findall(text.lower()))
+        self.learn(words)
+        return set().union(*[self.hits[w] for w in words & self.hits.keys()])
 
     def counts(self, text: str) -> Counter:
+        words = Counter(_WORD.findall(text.lower()))
+        self.learn(set(words))
         out: Counter = Counter()
-        other = 0
-        for word, n in Counter(_WORD.findall(text.lower())).items():
-            found = self[word]
-            other += 0 if found else n
-            for t in found:
+        other = words.total()
+        for word in words.keys() & self.hits.keys():
+            n = words[word]
+            other -= n
+            for t in self.hits[word]:
                 out[t] += n
         if out and other:
             out[len(self.number)] = other
@@ -224,7 +242,7 @@ def _frequencies(number: dict[str, int]):
         for b in batches:
             docs += len(b)
             for text in b["text"]:
-                seen.update({t for w in set(_WORD.findall(text.lower())) for t in known[w]})
+                seen.update(known.held(text))
         yield pd.DataFrame({"term": [-1, *seen], "n": [docs, *seen.values()]})
     return run
 
