@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-OUT_DP = 6  # doubles leave every query rounded to 6 decimals
 
 
 def c(x) -> Column:

@@ -117,10 +117,7 @@ def gated(split: DataFrame, min_n: int | Column | None = None) -> DataFrame:
 
 def standardize_stats(train: DataFrame, keys: list[str], features: list[str]) -> DataFrame:
     """Per group and feature: mean and population std (the scaler of the predictors)."""
-    aggs = []
-    for f in features:
-        aggs += [F.avg(f).alias(f"{f}__mean"), F.stddev_pop(f).alias(f"{f}__std")]
-    wide = train.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_train"), *aggs)
+    wide = stats_wide(train, keys, features)
     stack = ", ".join(f"'{f}', `{f}__mean`, `{f}__std`" for f in features)
     return wide.selectExpr(*keys, "n_train", f"stack({len(features)}, {stack}) AS (feature, mean, std)")
 

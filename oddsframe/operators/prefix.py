@@ -20,21 +20,22 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def _bucket(col: Column, bucket: str | int) -> Column:
-    """Coarse bucket of the order column: a date_trunc unit for timestamps, or an integer
-    width for integral order columns (ids)."""
+def _bucket(col: Column, bucket: str | int | Column) -> Column:
+    """Coarse bucket of the order column: a date_trunc unit for timestamps, an integer
+    width for integral order columns (ids), or a column that never falls as the order column rises."""
+    if isinstance(bucket, Column):
+        return bucket
     if isinstance(bucket, int):
         return F.floor(col / bucket)
     return F.date_trunc(bucket, col)
 
 
 def time_prefix(df: DataFrame, keys: list[str], time_col: str, values: dict[str, Column],
-                bucket: str | int = "month") -> DataFrame:
+                bucket: str | int | Column = "month") -> DataFrame:
     """Returns keys, time, ``<v>_before`` (sum over strictly earlier times) and ``<v>_at``
     (sum at exactly this time) for every distinct (keys, time) of ``df``. NULL values
     count as 0, so rows carried only to make their time present contribute nothing.
-    ``time_col`` may be any orderable column; ``bucket`` is a date_trunc unit or, for
-    integral columns, an integer bucket width."""
+    ``time_col`` may be any orderable column; ``bucket`` is as in ``_bucket``."""
     names = list(values)
     per_t = (df.groupBy(*keys, time_col)
                .agg(*[F.sum(F.coalesce(v, F.lit(0))).alias(n) for n, v in values.items()])

@@ -5,9 +5,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from oddsframe import config
 from oddsframe.functions.helpers import div
+from oddsframe.operators.prefix import time_prefix
+
+ID_BUCKET = 1 << 12  # width of the buckets in which integral team ids are ranked
 
 # ---------------------------------------------------------------------------
 # Fixture registry (FIXTURES.md §3 "registry_literal"): one model row per fixture league
@@ -40,22 +44,24 @@ def literal_registry(spark: SparkSession) -> DataFrame:
 
 
 def encode_teams(events: DataFrame, seen: Column) -> DataFrame:
-    """Team id -> index over the sorted ids of teams with a ``seen`` (e.g. played) match;
-    every other team gets the extra 'keep' index (= number of seen teams). One row per
-    team: the window over the vocabulary is one small task and the result is broadcast."""
-    from pyspark.sql import Window
+    """Team id -> index over the sorted ids of teams with a ``seen`` (e.g. played) match; every other team
+    gets the extra 'keep' index (= number of seen teams). A team's index is the number of seen ids before its own:
+    ids are ranked inside buckets of neighbouring ids and the buckets' totals are added, so no task holds
+    all teams; the vocabulary is joined, and broadcast only where its measured size allows."""
     sides = F.array(F.struct(F.col("home_id").alias("team_id"), seen.cast("int").alias("seen")),
                     F.struct(F.col("away_id").alias("team_id"), seen.cast("int").alias("seen")))
-    ids = events.select(F.inline(sides)).groupBy("team_id").agg(F.max("seen").alias("seen"))
-    seen_id = F.when(F.col("seen") == 1, F.col("team_id"))
-    vocab = ids.select(
-        "team_id",
-        F.when(F.col("seen") == 1, F.dense_rank().over(Window.orderBy(F.col("seen").desc(), "team_id")) - 1)
-         .otherwise(F.count(seen_id).over(Window.partitionBy())).cast("int").alias("idx"))
+    ids = (events.select(F.inline(sides)).groupBy("team_id").agg(F.max("seen").alias("seen"))
+                 .filter(F.col("team_id").isNotNull()).withColumn("_all", F.lit(0)))
+    text = isinstance(ids.schema["team_id"].dataType, T.StringType)
+    bucket = F.substring("team_id", 1, 4) if text else F.floor(F.col("team_id") / ID_BUCKET)
+    rank = time_prefix(ids, ["_all"], "team_id", {"n": F.col("seen")}, bucket)
+    total = ids.groupBy("_all").agg(F.sum("seen").alias("total"))
+    vocab = ids.join(rank, ["_all", "team_id"]).join(total, "_all").select(
+        "team_id", F.when(F.col("seen") == 1, F.col("n_before")).otherwise(F.col("total")).cast("int").alias("idx"))
     h = vocab.select(F.col("team_id").alias("home_id"), F.col("idx").alias("home_idx"))
     a = vocab.select(F.col("team_id").alias("away_id"), F.col("idx").alias("away_idx"))
-    return (events.select("event_id", "home_id", "away_id").join(F.broadcast(h), "home_id", "left")
-                  .join(F.broadcast(a), "away_id", "left").select("event_id", "home_idx", "away_idx"))
+    return (events.select("event_id", "home_id", "away_id").join(h, "home_id", "left")
+                  .join(a, "away_id", "left").select("event_id", "home_idx", "away_idx"))
 
 
 def resolve_model_windows(models: DataFrame, requests: DataFrame, policies: DataFrame) -> DataFrame:

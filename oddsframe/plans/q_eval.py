@@ -286,8 +286,7 @@ FROM fx_event e CROSS JOIN sz LEFT JOIN vocab h ON h.team_id = e.home_id LEFT JO
            ("sz", "SELECT CAST(count(*) AS INT) AS n FROM vocab")))
 def team_encoding(spark, d):
     """Team id -> index learned on played matches (sorted ids); unseen teams get the
-    extra 'keep' index. The vocabulary has one row per team (a window over it is one
-    small task) and is broadcast into the match rows."""
+    extra 'keep' index."""
     ev = fixture_tables(spark, d).event
     return S.encode_teams(ev, M.is_played())
 

@@ -69,6 +69,25 @@ def test_unseen_team_gets_keep_index(spark):
     assert got == {1: (0, 1), 2: (1, 2), 3: (0, 3)}   # 42 never played: keep index = 3 seen teams
 
 
+def test_team_names_are_encoded_like_ids(spark):
+    ev = spark.createDataFrame([(1, "ab12x", "ab12y", True), (2, "zz", "ab12y", True), (3, "zz", "q", False), (4, None, "zz", True)],
+                               "event_id int, home_id string, away_id string, played boolean")
+    got = {r.event_id: (r.home_idx, r.away_idx) for r in encode_teams(ev, F.col("played")).collect()}
+    assert got == {1: (0, 1), 2: (2, 1), 3: (2, 3), 4: (None, 2)}
+
+
+def test_calendar_shapes_and_labels(spark):
+    from oddsframe.functions.calendar import all_windows
+    df = spark.createDataFrame([(m, dt.datetime(2025, m, 15)) for m in (1, 6, 11)], "event_id int, start_time timestamp_ntz")
+    got = {(r.event_id, r.calendar): r for r in all_windows(df, spark).collect()}
+    assert (got[1, "aug_quarters"].label_s, got[1, "aug_quarters"].label_months) == ("S2024-2025-W2", "2024-11 to 2025-01")
+    assert (got[6, "aug_long_ends"].label_underscore, got[6, "aug_long_ends"].label_months) == ("2024-2025_W3", "2025-03 to 2025-07")
+    assert got[11, "mar_three"].label_space == "2025-2026 W3"  # November stays in the season that began in March
+    assert (got[11, "calendar_year"].season_start, got[11, "calendar_year"].window_no) == (2025, 4)
+    assert (1, "calendar_year") not in got and (6, "aug_cup") not in got
+    assert got[6, "sep_short_spring"].window_no == 4
+
+
 def test_registry_gaps_follow_each_policy(spark):
     from oddsframe.operators.score import resolve_model_windows
     models = spark.createDataFrame([(1, 20001), (1, 20003), (2, 20002)], "event_type_id int, o int")
