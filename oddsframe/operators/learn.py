@@ -158,7 +158,8 @@ def anova_f(train: DataFrame, keys: list[str], features: list[str], label: str =
         F.sum(F.col("s") * F.col("s") / F.col("n")).alias("SS_cls"))
     ss_between = F.col("SS_cls") - F.col("S") * F.col("S") / F.col("N")
     ss_within = F.col("Q") - F.col("SS_cls")
-    f_stat = div(ss_between / (F.col("C") - 1), ss_within / (F.col("N") - F.col("C")))
+    # one class, or no more rows than classes: no F value
+    f_stat = div(div(ss_between, F.col("C") - 1), div(ss_within, F.col("N") - F.col("C")))
     return g.select(*keys, "feature", F.col("N").alias("n_train"), f_stat.alias("f_score"))
 
 

@@ -238,7 +238,7 @@ def _anova_sql():
 @register("select_k_best", f"""SELECT {WK}, feature, CAST(N AS BIGINT) AS n_train, {rr6('f_score')} AS f_score,
   CAST(rnk AS INT) AS rank FROM (
   SELECT *, row_number() OVER (PARTITION BY {WK} ORDER BY f_score DESC NULLS LAST, feature) AS rnk FROM (
-    SELECT *, ((SS - S * S / N) / (C - 1)) / NULLIF((Q - SS) / (N - C), 0) AS f_score FROM anova))
+    SELECT *, ((SS - S * S / N) / NULLIF(C - 1, 0)) / NULLIF((Q - SS) / NULLIF(N - C, 0), 0) AS f_score FROM anova))
 WHERE rnk <= {_K_BEST}""", LEARN_CTES + (("anova", _anova_sql()),), rounded=True)
 def select_k_best(spark, d):
     """Top-k features by one-way ANOVA F on the train rows of each gated window."""
