@@ -51,13 +51,14 @@ def encode_teams(events: DataFrame, seen: Column) -> DataFrame:
     sides = F.array(F.struct(F.col("home_id").alias("team_id"), seen.cast("int").alias("seen")),
                     F.struct(F.col("away_id").alias("team_id"), seen.cast("int").alias("seen")))
     ids = (events.select(F.inline(sides)).groupBy("team_id").agg(F.max("seen").alias("seen"))
-                 .filter(F.col("team_id").isNotNull()).withColumn("_all", F.lit(0)))
-    text = isinstance(ids.schema["team_id"].dataType, T.StringType)
-    bucket = F.substring("team_id", 1, 4) if text else F.floor(F.col("team_id") / ID_BUCKET)
-    rank = time_prefix(ids, ["_all"], "team_id", {"n": F.col("seen")}, bucket)
-    total = ids.groupBy("_all").agg(F.sum("seen").alias("total"))
-    vocab = ids.join(rank, ["_all", "team_id"]).join(total, "_all").select(
-        "team_id", F.when(F.col("seen") == 1, F.col("n_before")).otherwise(F.col("total")).cast("int").alias("idx"))
+                 .filter(F.col("team_id").isNotNull())
+                 # unseen teams come after all seen ones, so the seen ids before them are all
+                 .select("seen", F.struct((F.lit(1) - F.col("seen")).alias("unseen"), "team_id").alias("at")))
+    team = F.col("at")["team_id"]
+    text = isinstance(ids.schema["at"].dataType["team_id"].dataType, T.StringType)
+    bucket = F.struct(F.col("at")["unseen"], F.substring(team, 1, 4) if text else F.floor(team / ID_BUCKET))
+    rank = time_prefix(ids, [], "at", {"n": F.col("seen")}, bucket)
+    vocab = rank.select(team.alias("team_id"), F.col("n_before").cast("int").alias("idx"))
     h = vocab.select(F.col("team_id").alias("home_id"), F.col("idx").alias("home_idx"))
     a = vocab.select(F.col("team_id").alias("away_id"), F.col("idx").alias("away_idx"))
     return (events.select("event_id", "home_id", "away_id").join(h, "home_id", "left")
