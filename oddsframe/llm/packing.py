@@ -68,6 +68,7 @@ class _Words(dict):
         letters = [c for c in map(chr, range(256)) if c.isalpha() and c == c.lower()]
         self.bytes_of = {ord(c): "".join(w for w, _ in self.tok.pre_tokenizer.pre_tokenize_str(c)) for c in letters}
         self.letters = frozenset(letters)
+        self.special = tuple(t.content for t in self.tok.get_added_tokens_decoder().values())
         self.marks = {c: self.tok.encode(c, add_special_tokens=False).ids for c in ",.!?"}
         self.flat, self.lens, self.ends = array("I", [end_id]), array("I", [1]), bytearray([1])
 
@@ -91,14 +92,16 @@ class _Words(dict):
         return np.array(self.flat, dtype=np.uint32), lens, np.cumsum(lens) - lens, np.array(self.ends, dtype=bool)
 
 
-def _lower(text: str) -> str:
+def _lower(text: str, special: tuple[str, ...] = ()) -> str:
     """The library lower-cases each character by itself; for Latin-1 texts so does ``str.lower``.
-    Done before words are looked up, it halves the distinct words. Other texts are left to the library."""
+    Done before words are looked up, it halves the distinct words. Other texts are left to the library, and so
+    are those that hold a ``special`` string in any case: the library looks for these before it lower-cases."""
     try:
         text.encode("latin-1")
     except UnicodeEncodeError:
         return text
-    return text.lower()
+    low = text.lower()
+    return text if any(s in low or s in text for s in special) else low
 
 
 def _distinct(x: np.ndarray) -> np.ndarray:
@@ -111,7 +114,7 @@ def tokenise(texts: list[str], words: _Words) -> tuple[np.ndarray, np.ndarray, n
     which a sentence ends."""
     seen, counts = [], []
     for t in texts:
-        parts = _lower(t).replace("\n", " \n ").split(" ") if t else []
+        parts = _lower(t, words.special).replace("\n", " \n ").split(" ") if t else []
         seen.append(np.fromiter(map(words.__getitem__, parts), dtype=np.int64, count=len(parts)))
         seen.append(np.zeros(1, dtype=np.int64))
         counts.append(len(parts) + 1)

@@ -132,6 +132,15 @@ def test_packing_round_trip(docs, none):
     assert packing.pack(none, WORD, end_id=2).count() == 0
 
 
+def test_packing_special_strings_in_any_case():
+    from tokenizers import Tokenizer
+    tok = Tokenizer.from_file(WORD)
+    texts = ["A <|ENDOFTEXT|> b", "<|EndOfText|>", "x<|StartOfText|>Y Z", "<|startoftext|><|STARTOFTEXT|>", "Plain Text <| |>"]
+    ids, tokens, _ = packing.tokenise(texts, packing._Words(WORD, 2))
+    want = [tok.encode(t, add_special_tokens=False).ids + [2] for t in texts]
+    assert ids.tolist() == sum(want, []) and tokens.tolist() == list(map(len, want))
+
+
 def test_packing_cuts_are_optimal():
     rng = np.random.default_rng(2)
     for _ in range(30):
