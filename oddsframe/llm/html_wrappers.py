@@ -43,12 +43,16 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 RAW = frozenset("script style noscript template textarea title iframe xmp".split())
 DROPPED = frozenset("head script style noscript template iframe svg canvas object nav footer aside form button select "
                     "textarea dialog menu title".split())
-DROPPED_WORDS = frozenset(
+KEPT = frozenset("html body main article".split())  # never dropped for a name
+DROPPED_WORDS = frozenset(  # whole names, not parts of compounds: class 'with-sidebar' is no sidebar
     "ad ads adv advert adverts advertisement advertising banner sponsor sponsored promo promotion sidebar nav navbar "
     "navigation menu breadcrumb breadcrumbs footer comment comments reply replies disqus respond notice notices cookie "
     "cookies consent gdpr popup modal newsletter subscribe signup login share sharing social related recommended "
-    "recommendations widget toolbar pagination pager alert disclaimer complementary contentinfo search".split())
-OUTER_WORDS = frozenset("header masthead topbar".split())  # dropped unless inside the main group
+    "recommendations widget toolbar pagination pager alert disclaimer complementary contentinfo search share-buttons sharing-buttons "
+    "social-links social-share nav-menu main-navigation post-navigation site-footer site-navigation cookie-banner "
+    "cookie-notice cookie-consent comment-list comments-area comments-section comment-form related-posts "
+    "related-articles ad-banner ad-container newsletter-signup widget-area search-form".split())
+OUTER_WORDS = frozenset("header masthead topbar site-header page-header".split())  # dropped unless inside the main group
 MAIN_WORDS = frozenset("article articlebody post entry story".split())
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
           "th": {"td", "th"}, "option": {"option"}, "tbody": {"thead", "tbody", "tr", "td", "th"}}
@@ -61,12 +65,14 @@ _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
 
 class Group:
-    """A start tag up to its end: ``sig`` names it, ``kids`` are groups and texts ``(text, in a link)``."""
+    """A start tag up to its end: ``sig`` names it, ``names`` are its whole names and ``words`` their parts, ``kids``
+    are groups and texts ``(text, in a link)``."""
 
-    __slots__ = ("tag", "sig", "words", "kids")
+    __slots__ = ("tag", "sig", "names", "words", "kids")
 
     def __init__(self, tag: str, attrs: str) -> None:
         named = [(k.lower(), a or b or c) for k, a, b, c in _ATTR.findall(attrs)] if attrs else []
+        self.names = frozenset(n.lower() for _, v in named for n in v.split())
         self.words = frozenset(w.lower() for _, v in named for w in _WORDS.findall(v))
         self.tag, self.kids = tag, []
         self.sig = tag + "".join("." + w for w in sorted(self.words))
@@ -125,8 +131,9 @@ def _close_implied(stack: list[Group], name: str) -> None:
                 break
 
 
-def dropped(g: Group) -> bool:
-    return g.tag in DROPPED or not g.words.isdisjoint(DROPPED_WORDS)
+def dropped(g: Group) -> int:
+    """2: dropped for its tag; 1: for its name, unless the main group is inside; 0: stays."""
+    return 2 if g.tag in DROPPED else 0 if g.tag in KEPT or g.names.isdisjoint(DROPPED_WORDS) else 1
 
 
 # A wrapper item is a dict. Group: s (signature), d (dropped), k (items). Repeated run of groups: g (items). Text: t (its
@@ -274,7 +281,7 @@ def _text(g: Group, out: list[str]) -> None:
 
 
 def _outer(g: Group) -> bool:
-    return dropped(g) or g.tag == "header" or not g.words.isdisjoint(OUTER_WORDS)
+    return bool(dropped(g)) or g.tag == "header" or g.tag not in KEPT and not g.names.isdisjoint(OUTER_WORDS)
 
 
 def _found(g: Group, path: list[str]) -> list[Group]:

@@ -282,6 +282,14 @@ def test_html_main_text(spark):
     assert html_wrappers.main_text(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+def test_names_never_drop_the_main_group():
+    text = "Long text of the page that must stay."
+    for body in (f"<body class='right-sidebar'><article class='post comments-open'><p>{text}</p></article></body>",
+                 f"<body class='search'><p>{text}</p></body>", f"<body><main id='search'><p>{text}</p></main></body>",
+                 f"<body class='fixed topbar'><div class='content with-sidebar'><p>{text}</p></div></body>"):
+        assert html_wrappers.extract(body, None) == text
+
+
 def test_wrapper_expression():
     one = html_wrappers.fold(html_wrappers.parse("<ul><li>a<li>b</ul><p>same</p>"))
     two = html_wrappers.fold(html_wrappers.parse("<ul><li>a</ul><h2>t</h2><p>same</p>"))
