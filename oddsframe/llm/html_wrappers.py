@@ -9,11 +9,11 @@ belong to the text around them. A wrapper is such a stream in which
 
 Every task aligns its pages of a host one after the other and emits one wrapper per host; these are aligned
 per host. So a host with a third of all pages sends one row per task. The host's wrapper decides where
-the main text is: the article or main group, else the group into which most slot text, links
-not counted, leads. Pages are then read through their host's wrapper (broadcast behind a check of
-the number of hosts, joined beyond it): the text of that group without menus, page headers, footers, sidebars,
-notices, adverts, forms, scripts, styles and reader comments. A page that its host's wrapper does
-not fit is its own wrapper.
+the main text is: all article, main or post groups, else all groups with text that differs between pages, links
+not counted. Pages are then read through their host's wrapper (broadcast behind a check of
+the number of hosts, joined beyond it): the text of those groups without menus, page headers, footers, sidebars,
+notices, adverts, forms, scripts, styles and reader comments. Names mean this as whole names, and never for html, body,
+main, article or a group with the main group inside. A page with little of its text there is its own wrapper.
 
 Null html is an empty text; pages with a null or odd url share the host ''; null page_ids and repeated rows give a
 row each; extra columns are dropped; broken, cut off or very long html is read as far as it goes; an empty
@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 
 from oddsframe.llm.common import materialise
 
+SMALL = 0.25  # a host's path with less than this share of a page's text does not fit the page
 BROADCAST_HOSTS = 200_000  # hosts (a short path each) whose wrappers may be broadcast
 
 # The elements and names of HTML that the rules speak of.
@@ -136,7 +137,7 @@ def dropped(g: Group) -> int:
     return 2 if g.tag in DROPPED else 0 if g.tag in KEPT or g.names.isdisjoint(DROPPED_WORDS) else 1
 
 
-# A wrapper item is a dict. Group: s (signature), d (dropped), k (items). Repeated run of groups: g (items). Text: t (its
+# A wrapper item is a dict. Group: s (signature), d (dropped), h (dropped outside main groups), k (items). Repeated run of groups: g (items). Text: t (its
 # checksum, or None for a slot), n (characters outside links), p (texts seen). All: o (optional), r (repeated).
 
 def fold(g: Group) -> list[dict]:
@@ -144,7 +145,7 @@ def fold(g: Group) -> list[dict]:
     items: list[dict] = []
     for kid in g.kids:
         if isinstance(kid, Group):
-            items.append({"s": kid.sig, "d": dropped(kid), "k": [] if kid.tag in RAW else fold(kid), "o": 0, "r": 0})
+            items.append({"s": kid.sig, "d": dropped(kid), "h": int(_outer(kid)), "k": [] if kid.tag in RAW else fold(kid), "o": 0, "r": 0})
         elif text := " ".join(kid[0].split()):
             n = 0 if kid[1] else len(text)
             if items and "t" in items[-1]:
@@ -166,7 +167,7 @@ def _merge(a: dict, b: dict) -> dict:
         return out | {"t": a["t"] if a["t"] == b["t"] else None, "n": a["n"] + b["n"], "p": a["p"] + b["p"]}
     if "g" in a:
         return out | {"g": [_merge(x, y) for x, y in zip(a["g"], b["g"])]}
-    return out | {"s": a["s"], "d": a["d"], "k": align(a["k"], b["k"])}
+    return out | {"s": a["s"], "d": a["d"], "h": a["h"], "k": align(a["k"], b["k"])}
 
 
 def _repeats(items: list[dict]) -> list[dict]:
@@ -226,12 +227,23 @@ def _mass(item: dict) -> int:
     """Characters of text that may be main text: outside links and dropped groups; texts that never
     differ over several pages count a tenth."""
     if "t" in item:
-        return item["n"] if item["t"] is None or item["p"] < 3 else item["n"] // 10
+        return item["n"] if not _constant(item) else item["n"] // 10
     if "g" in item:
         return sum(map(_mass, item["g"]))
     return 0 if item["d"] else sum(map(_mass, item["k"]))
 
 
+def _constant(item: dict) -> bool:
+    return item["t"] is not None and item["p"] >= 3
+
+
+def _own(item: dict) -> int:
+    """Characters of text that no rule of the wrapper calls boilerplate: not dropped, no link, not constant."""
+    if "t" in item:
+        return 0 if _constant(item) else item["n"]
+    return sum(map(_own, item["g"])) if "g" in item else 0 if item["d"] else sum(map(_own, item["k"]))
+
+
 def _flat(items: list[dict]) -> Iterator[dict]:
     for x in items:
         if "g" in x:
@@ -240,33 +252,58 @@ def _flat(items: list[dict]) -> Iterator[dict]:
             yield x
 
 
-def main_path(items: list[dict]) -> list[str]:
-    """Signatures from the root to the main group; empty: the whole page."""
-    marked: list[tuple[int, int, list[str]]] = []
+def _loose(items: list[dict]) -> int:
+    """Characters of own text that stand in no group."""
+    return sum(_loose(x["g"]) if "g" in x else _own(x) if "t" in x else 0 for x in items)
+
 
-    def look(items: list[dict], path: list[str]) -> None:
+def main_paths(items: list[dict]) -> list[list[str]]:
+    """Signatures from the root to each main group, in one list per group; empty: the whole page. A group inside one that is
+    dropped for its name is main only if it holds more than all the rest of the page."""
+    marked: list[tuple[int, int, list[str], bool]] = []
+
+    def look(items: list[dict], path: list[str], hidden: bool) -> None:
         for x in _flat(items):
-            if x["d"]:
+            if x["d"] == 2:
                 continue
-            here = path + [x["s"]]
+            here, below = path + [x["s"]], hidden or x["d"] == 1
             tag, *words = x["s"].split(".")
             rank = 2 if tag == "article" else 1 if tag == "main" or not MAIN_WORDS.isdisjoint(words) else 0
-            if rank and _mass(x):
-                marked.append((rank, _mass(x), here))
-            look(x["k"], here)
-
-    look(items, [])
-    if marked:
-        top = max(r for r, _, _ in marked)
-        return max(((n, -len(p), p) for r, n, p in marked if r == top), key=lambda x: x[:2])[2]
+            if rank and (n := _mass(x)):
+                marked.append((rank, n, here, below))
+            look(x["k"], here, below)
+
+    look(items, [], False)
+    total = sum(map(_mass, items))
+    clear = [x for x in marked if not x[3]] or [x for x in marked if x[1] > total]
+    top = max((x[0] for x in clear), default=0)
+    if clear and sum(n for r, n, _, _ in clear if r == top) >= SMALL * total:
+        found: list[list[str]] = []
+        for path in sorted((p for r, _, p, _ in clear if r == top), key=len):
+            if not any(path[:len(p)] == p for p in found):
+                found.append(path)
+        return found
     path: list[str] = []
     while True:
-        total = sum(map(_mass, items))
-        group = max((x for x in _flat(items) if not x["d"]), key=_mass, default=None)
-        if group is None or not total or _mass(group) < 0.6 * total or group["s"].split(".")[0] in ("p", "li", "td"):
-            return path
-        path.append(group["s"])
-        items = group["k"]
+        blocks = {}
+        for x in _flat(items):
+            if not x["d"] and not x["h"] and _own(x):
+                blocks[x["s"]] = x
+        loose = _loose(items)
+        if not blocks:
+            return [path] if path else []
+        if len(blocks) == 1 and not loose:
+            (sig, group), = blocks.items()
+            if sum(x["s"] == sig for x in _flat(items)) == 1 and sig.split(".")[0] not in ("p", "li", "td"):
+                path, items = path + [sig], group["k"]
+                continue
+        whole = sum(map(_mass, items)) == loose + sum(_own(x) for x in _flat(items) if not x["h"])
+        return ([path] if path else []) if loose or whole else [path + [sig] for sig in blocks]
+
+
+def main_path(items: list[dict]) -> list[str]:
+    """The first of the main groups' paths; empty: the whole page."""
+    return next(iter(main_paths(items)), [])
 
 
 def _text(g: Group, out: list[str]) -> None:
@@ -284,24 +321,42 @@ def _outer(g: Group) -> bool:
     return bool(dropped(g)) or g.tag == "header" or g.tag not in KEPT and not g.names.isdisjoint(OUTER_WORDS)
 
 
-def _found(g: Group, path: list[str]) -> list[Group]:
-    here = [g]
-    for sig in path:
-        here = [k for x in here for k in x.kids if isinstance(k, Group) and k.sig == sig]
-    return here
+def _found(g: Group, paths: list[list[str]]) -> list[Group]:
+    """The groups at the paths, in the order of the page."""
+    out: list[Group] = []
+
+    def walk(g: Group, left: list[list[str]]) -> None:
+        for k in g.kids:
+            if isinstance(k, Group) and (on := [p[1:] for p in left if p[0] == k.sig]):
+                if [] in on:
+                    out.append(k)
+                else:
+                    walk(k, on)
+
+    walk(g, [p for p in paths if p])
+    return out
+
+
+def _chars(groups: list[Group]) -> int:
+    """Characters of the groups' text outside links and groups that may be dropped."""
+    n = 0
+    for g in groups:
+        n += sum(len(k[0].strip()) for k in g.kids if not isinstance(k, Group) and not k[1])
+        n += _chars([k for k in g.kids if isinstance(k, Group) and not _outer(k)])
+    return n
 
 
-def extract(page: str, path: list[str] | None) -> str:
-    """The main text of a page, its main group at ``path`` (None or not there: found by itself)."""
+def extract(page: str, paths: list[list[str]] | None) -> str:
+    """The main text of a page, its main groups at ``paths``. Where none is there, or the page has most of its text
+    elsewhere, it is found by the page's own wrapper."""
     root = parse(page)
-    groups = _found(root, path) if path else []
-    if not groups:
-        own = main_path(fold(root))
-        groups = _found(root, own) if own else [root]
+    groups = _found(root, paths) if paths else []
+    if not groups or _chars(groups) < SMALL * _chars([root]):
+        groups = _found(root, main_paths(fold(root))) or [root]
     out: list[str] = []
     for g in groups:
-        if g is root:
-            g = _without(root, _outer)
+        if g.tag in ("", "html", "body"):
+            g = _without(g, _outer)
         _text(g, out)
         out.append("\n")
     return " ".join("".join(out).split())
@@ -340,12 +395,12 @@ def _per_host(rows: pd.DataFrame) -> pd.DataFrame:
     for w in sorted(rows["wrapper"]):
         own = json.loads(w)
         whole = own if whole is None else align(whole, own)
-    return pd.DataFrame({"host": [rows["host"].iloc[0]], "path": [json.dumps(main_path(whole or []))],
+    return pd.DataFrame({"host": [rows["host"].iloc[0]], "path": [json.dumps(main_paths(whole or []))],
                          "expression": [expression(whole or [])]}, dtype=object)
 
 
 def wrappers(pages: DataFrame) -> DataFrame:
-    """``(host, path, expression)``: where the main text of a host is, and its wrapper."""
+    """``(host, path, expression)``: the paths of a host's main groups, and its wrapper."""
     p = pages.select(host_of(F.col("url").cast("string")).alias("host"), F.col("html").cast("string").alias("html"))
     return (p.mapInPandas(_per_task, "host string, wrapper string").groupBy("host")
             .applyInPandas(_per_host, "host string, path string, expression string"))

@@ -286,10 +286,36 @@ def test_names_never_drop_the_main_group():
     text = "Long text of the page that must stay."
     for body in (f"<body class='right-sidebar'><article class='post comments-open'><p>{text}</p></article></body>",
                  f"<body class='search'><p>{text}</p></body>", f"<body><main id='search'><p>{text}</p></main></body>",
-                 f"<body class='fixed topbar'><div class='content with-sidebar'><p>{text}</p></div></body>"):
+                 f"<body class='fixed topbar'><div class='content with-sidebar'><p>{text}</p></div></body>",
+                 f"<body><div id='widget'><article><p>{text}</p></article></div></body>",
+                 f"<body><div><p>{text}</p></div><div class='sidebar'>side</div><div id='comments'><article>me</article></div></body>"):
         assert html_wrappers.extract(body, None) == text
 
 
+def _host(*pages):
+    whole = None
+    for p in pages:
+        own = html_wrappers.fold(html_wrappers.parse(p))
+        whole = own if whole is None else html_wrappers.align(whole, own)
+    paths = html_wrappers.main_paths(whole)
+    return [html_wrappers.extract(p, paths) for p in pages]
+
+
+def test_wrapper_keeps_all_blocks_of_text():
+    said = [f"{w} one {w}" for w in ("red", "green", "blue", "grey")]
+    same = "<header>Site</header><div class='claim'>The same on all pages of this host</div>"
+    split = [f"<body>{same}<div class='intro'>{w} intro text</div><div class='text'><p>{w}</p><p>rest {w}</p></div></body>" for w in said]
+    assert _host(*split) == [f"{w} intro text {w} rest {w}" for w in said]
+    marked = [f"<body><article class='lead'>{w} lead</article><article class='more'>{w} rest of it</article></body>" for w in said]
+    assert _host(*marked) == [f"{w} lead {w} rest of it" for w in said]
+    other = "<body><article></article><div>All of the text stands in another group.</div></body>"
+    short = "<body><article>Hm</article><div>All of the text stands in another group.</div></body>"
+    full = [f"<body><article>{w} and so on and on and on and on and on and on</article></body>" for w in said]
+    got = _host(*full, other, short)
+    assert got[4:] == ["All of the text stands in another group.", "Hm All of the text stands in another group."]
+    assert got[:4] == [f"{w} and so on and on and on and on and on and on" for w in said]
+
+
 def test_wrapper_expression():
     one = html_wrappers.fold(html_wrappers.parse("<ul><li>a<li>b</ul><p>same</p>"))
     two = html_wrappers.fold(html_wrappers.parse("<ul><li>a</ul><h2>t</h2><p>same</p>"))
