@@ -150,6 +150,18 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
         run, "doc_id long, fp long")
 
 
+def _row_fingerprints(rows: DataFrame, shingle: int) -> DataFrame:
+    """``(doc_id, row, hash, fp)`` of rows numbered by ``_simhash_row``; ``hash`` is the text's."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            fp = np.array([simhash(t, shingle) for t in b["text"]], dtype=np.uint64).view(np.int64)
+            yield b[["doc_id", "row", "hash"]].assign(fp=fp)
+
+    text = text_col()
+    return rows.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("_simhash_row").alias("row"), F.xxhash64(text).alias("hash"),
+                       text.alias("text")).mapInPandas(run, "doc_id long, row long, hash long, fp long")
+
+
 def _shard_keys() -> F.Column:
     """The 16 shard keys of a fingerprint, as an array of longs."""
     fp, keys = F.col("fp"), []
@@ -180,13 +192,18 @@ def links(nodes: DataFrame, max_bits: int = MAX_BITS, tree_size: int = TREE_SIZE
             .mapInPandas(_search(max_bits), "u long, v long").distinct())
 
 
+def _placed(fps: DataFrame, least: F.Column, max_bits: int) -> DataFrame:
+    """``(fp, least, root)`` per distinct fingerprint: an aggregate of its rows, and its group."""
+    nodes = materialise(fps.groupBy("fp").agg(least.alias("least")), "simhash-nodes")
+    roots = connected_components(links(nodes, max_bits)).withColumnRenamed("node", "fp")
+    return nodes.join(roots, "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+
+
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
     """``(doc_id, fingerprint, component_id)`` per row: 16 hex digits, and the smallest doc_id
     reachable over links of at most ``max_bits`` bits."""
     fps = materialise(fingerprints(docs, shingle), "simhash")
-    nodes = materialise(fps.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-nodes")
-    roots = connected_components(links(nodes, max_bits)).withColumnRenamed("node", "fp")
-    placed = nodes.join(roots, "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    placed = _placed(fps, F.min("doc_id"), max_bits)
     comp = placed.groupBy("root").agg(F.min("least").alias("component_id"))
     named = placed.select("fp", "root").join(comp, "root").select("fp", "component_id")
     return fps.join(named, "fp").select(
@@ -194,11 +211,12 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX
 
 
 def representatives(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """The rows of ``docs`` that stay: one per component, that of the smallest doc_id (repeated
-    rows of this id: one). Rows without a doc_id cannot be named by a component and stay."""
-    keep = (near_duplicates(docs, shingle, max_bits).filter("doc_id = component_id")
-            .select(F.col("doc_id").alias("_kept_doc_id")).distinct())
-    with_id = (docs.filter(F.col("doc_id").isNotNull())
-               .join(keep, F.col("doc_id").cast("long") == F.col("_kept_doc_id"), "left_semi")
-               .dropDuplicates(["doc_id"]))
-    return with_id.unionByName(docs.filter(F.col("doc_id").isNull()))
+    """The rows of ``docs`` that stay: exactly one per group of linked fingerprints, the row of the smallest
+    doc_id (null ids last), among these of the smallest text hash. Rows are numbered in a shared table, so
+    rows with a null or repeated id are rows of their own."""
+    rows = materialise(docs.withColumn("_simhash_row", F.monotonically_increasing_id()), "simhash-rows")
+    fps = materialise(_row_fingerprints(rows, shingle), "simhash")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "hash", "row"))
+    keep = (_placed(fps, first, max_bits).groupBy("root").agg(F.min("least").alias("least"))
+            .select(F.col("least.row").alias("_kept_row")))
+    return rows.join(keep, F.col("_simhash_row") == F.col("_kept_row"), "left_semi").select(*docs.columns)

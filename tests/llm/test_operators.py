@@ -91,6 +91,18 @@ def test_simhash_against_pairs(spark, docs, none):
         {r.component_id for r in simhash_bktree.near_duplicates(docs).collect() if r.doc_id is not None})
 
 
+def test_representatives_of_null_and_repeated_ids(spark):
+    a, b = ("one clean text about rivers and hills", "quite another text on ships and the sea")
+    rows = ([(None, a)] * 5 + [(None, b)] * 4 + [(9, b)]  # b has a named row, a has none
+            + [(5, "first of two texts that share an id"), (5, "second text of that very same id here"),
+               (9, "second text of that very same id here"), (None, None), (7, "")])
+    df = spark.createDataFrame([(i, t, n) for n, (i, t) in enumerate(rows)], "doc_id long, text string, n int").repartition(3)
+    kept = simhash_bktree.representatives(df)
+    assert kept.columns == df.columns
+    assert sorted((r.doc_id or -1, r.text or "") for r in kept.collect()) == sorted(
+        [(-1, a), (9, b), (5, rows[10][1]), (5, rows[11][1]), (7, "")])
+
+
 def test_simhash_split_trees_keep_all_links(spark):
     center = 0x0123456789ABCDEF
     fps = sorted({center ^ (1 << a) ^ (1 << b) for a in range(64) for b in range(a)})[:900]
