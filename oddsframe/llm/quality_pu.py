@@ -1,15 +1,16 @@
 """Quality from positive and unlabelled texts: non-negative unbiased risk.
 
-Trusted positives are labelled rows of quality 1; unlabelled text is a sample of all documents whatever
-their labels. Rows labelled 0 are never used as such. Texts become dense features: shares of character-class
+Trusted positives are a bounded sample (``SAMPLE``) of labelled ids of quality 1, of equal weight however many rows
+an id has; unlabelled text is all documents whatever their labels. Rows labelled 0 are never used as such. Texts become dense features: shares of character-class
 trigrams (letters, capitals, digits, marks, blanks, line ends, others), and repetition measures of words and
 lines. A first logistic model of positives against unlabelled text gives the class prior: the least ratio, over
 score thresholds, of the unlabelled to the positive share above it. The final model minimises
 
     prior * E_P[loss(+)] + max(0, E_U[loss(-)] - prior * E_P[loss(-)])
 
-by gradient steps that, while the second term is negative, undo it instead. Both samples are bounded
-(``SAMPLE``); features are computed where the texts are and only they reach the driver.
+by Newton steps; the risk without max() is convex, and a step that would make the second term negative is halved until
+it is not, and is the last. Features are computed once, where the texts are, into a shared table. Every step, the moments
+and the prior's score histogram are sums over all its rows, added up on the executors; only these sums reach the driver.
 
 Null and empty texts have zero features and are scored as such; null doc_ids are scored like others; repeated
 rows give a row each; extra columns are dropped; null labels are skipped; without trusted positives every
@@ -24,14 +25,16 @@ from operator import eq
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from oddsframe.llm.common import text_col
+from oddsframe.llm.common import materialise, text_col
 from oddsframe.llm.toxicity_knn import sampled_labels
 
-SAMPLE = 8_000  # rows of each kind, at most or nearly
-STEPS, RATE, RIDGE = 400, 0.05, 1e-3
+SAMPLE = 8_000  # trusted labelled ids, at most or nearly
+STEPS, HALVINGS, TOLERANCE, RIDGE = 20, 8, 1e-5, 1e-3
+LEAST, BINS = 0.2, 20_000  # share of positives above a threshold of the prior; score bins
 CLASSES = 7
 SLAB = 1 << 20  # characters whose classes are held at once
 
@@ -82,63 +85,134 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-z.clip(-50, 50)))
 
 
-def _descend(p: np.ndarray, u: np.ndarray, prior: float | None) -> np.ndarray:
-    """Adam on the non-negative risk, or, without a prior, on positives against unlabelled rows."""
-    w, m, v = (np.zeros(p.shape[1]) for _ in range(3))
-    for step in range(1, STEPS + 1):
-        sp, su = _sigmoid(p @ w), _sigmoid(u @ w)
-        if prior is None:
-            g = -p.T @ (1 - sp) / len(p) + u.T @ su / len(u)
-        else:
-            gu, gn = u.T @ su / len(u), p.T @ sp / len(p)
-            unbiased = np.logaddexp(0, u @ w).mean() - prior * np.logaddexp(0, p @ w).mean()
-            g = (-prior * p.T @ (1 - sp) / len(p) + gu - prior * gn) if unbiased >= 0 else -(gu - prior * gn)
-        g = g + RIDGE * np.append(w[:-1], 0)
-        m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
-        w = w - RATE * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.999 ** step)) + 1e-8)
-    return w
+def _least_ratio(a: np.ndarray, b: np.ndarray, n_p: float, n_u: float) -> float:
+    """The least of b / a, the shares of unlabelled and positive rows above thresholds, each with two
+    standard errors added."""
+    err = 2 * np.sqrt(b * (1 - b) / n_u + a * (1 - a) / n_p)
+    return float(np.clip(np.min((b + err) / a), 0.05, 0.99))
 
 
-def class_prior(p: np.ndarray, u: np.ndarray, least: float = 0.2) -> float:
+def class_prior(p: np.ndarray, u: np.ndarray, least: float = LEAST) -> float:
     """Share of positives in unlabelled rows from scores of both: the least upper bound
     ``P_U(s >= t) / P_P(s >= t)`` over thresholds that keep the share ``least`` of positives, each with two
     standard errors added."""
     t = np.quantile(p, np.linspace(0, 1 - least, 200))
     a = 1 - np.searchsorted(np.sort(p), t, side="left") / len(p)
     b = 1 - np.searchsorted(np.sort(u), t, side="left") / len(u)
-    err = 2 * np.sqrt(b * (1 - b) / len(u) + a * (1 - a) / len(p))
-    return float(np.clip(np.min((b + err) / a), 0.05, 0.99))
+    return _least_ratio(a, b, len(p), len(u))
 
 
-def learn(p: np.ndarray, u: np.ndarray) -> Model:
-    both = np.concatenate((p, u)).astype(np.float64)
-    mean, scale = both.mean(axis=0), both.std(axis=0) + 1e-3
-    p, u = (np.column_stack((((x - mean) / scale).clip(-8, 8), np.ones(len(x)))) for x in (p, u))
-    first = _descend(p, u, None)
-    prior = class_prior(p @ first, u @ first)
-    return Model(mean, scale, _descend(p, u, prior), prior)
+def histogram_prior(p: np.ndarray, u: np.ndarray, least: float = LEAST) -> float:
+    """``class_prior`` from how many rows of both lie in each of the same score bins."""
+    a, b = (np.cumsum(x[::-1])[::-1] / x.sum() for x in (p, u))
+    at = np.unique(np.maximum(np.searchsorted(-a, -(1 - np.linspace(0, 1 - least, 200)), side="right") - 1, 0))
+    return _least_ratio(a[at], b[at], p.sum(), u.sum())
 
 
 def _featured(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for b in batches:
-        yield pd.DataFrame({"kind": b["kind"], "x": [features(t).tobytes() for t in b["text"]]})
+        yield pd.DataFrame({"p": b["p"], "x": [features(t).tobytes() for t in b["text"]]})
+
+
+def _summed(rows: DataFrame, partial) -> list[np.ndarray]:
+    """Sums over all rows of the arrays that ``partial(x, p)`` gives for blocks of rows (features, weights as
+    trusted positives). Each task adds up its own; vectors are then added by their number on the executors, so
+    the driver receives one sum whatever the number of tasks."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: list[np.ndarray] = []
+        for b in batches:
+            p = b.column("p").to_numpy(zero_copy_only=False)
+            if len(p):
+                x = np.frombuffer(b"".join(b.column("x").to_pylist()), dtype=np.float32).reshape(len(p), -1)
+                part = partial(x.astype(np.float64), p)
+                total = [m + n for m, n in zip(total, part)] if total else part
+        if total:
+            yield pa.RecordBatch.from_arrays([pa.array(range(len(total)), pa.int32()),
+                                              pa.array([t.tobytes() for t in total], pa.binary())], names=["i", "v"])
+
+    def add(part: pd.DataFrame) -> pd.DataFrame:
+        v = np.sum([np.frombuffer(x) for x in sorted(map(bytes, part["v"]))], axis=0)
+        return pd.DataFrame({"i": part["i"].iloc[:1].astype("int32"), "v": [v.tobytes()]})
+
+    got = rows.mapInArrow(run, "i int, v binary").groupBy("i").applyInPandas(add, "i int, v binary").collect()
+    return [np.frombuffer(bytes(r["v"])) for r in sorted(got, key=lambda r: r["i"])]
+
+
+def _moments(x: np.ndarray, p: np.ndarray) -> list[np.ndarray]:
+    return [x.sum(axis=0), (x * x).sum(axis=0), p @ x, p @ (x * x), np.array([float(len(p)), p.sum()])]
+
+
+def _standard(x: np.ndarray, mean: np.ndarray, scale: np.ndarray) -> np.ndarray:
+    return np.column_stack((((x - mean) / scale).clip(-8, 8), np.ones(len(x))))
+
+
+def _minimise(rows: DataFrame, mean: np.ndarray, scale: np.ndarray, n_u: float, n_p: float, prior: float | None) -> np.ndarray:
+    """Newton steps on the risk over all rows or, without a prior, on positives against unlabelled rows. Both
+    are convex; a step that makes the risk rise, or the non-negative term negative, is halved."""
+    share_p = 1.0 if prior is None else 0.0  # positives bend only the first of both
+
+    def at(w: np.ndarray):
+        def partial(x: np.ndarray, p: np.ndarray) -> list[np.ndarray]:
+            x = _standard(x, mean, scale)
+            z = x @ w
+            s, up, down = _sigmoid(z), np.logaddexp(0, z), np.logaddexp(0, -z)
+            h = (x * (s * (1 - s) * (1 / n_u + share_p * p / n_p))[:, None]).T @ x
+            return [*h, s @ x, (p * s) @ x, p @ x, np.array([up.sum(), p @ up, p @ down])]
+
+        got = _summed(rows, partial)
+        h, (su, sp, one, loss) = np.array(got[:len(w)]), got[len(w):]
+        lu, lp, lm = loss[0] / n_u, loss[1] / n_p, loss[2] / n_p
+        ridge = RIDGE * np.append(w[:-1], 0)
+        if prior is None:
+            risk, g, term = lm + lu, su / n_u - (one - sp) / n_p, 0.0
+        else:  # loss(+) - loss(-) is -z
+            term = lu - prior * lp
+            risk, g = prior * lm + term, su / n_u - prior * one / n_p
+        return risk + ridge @ w / 2, g + ridge, h + np.diag(np.append(np.full(len(w) - 1, RIDGE), 1e-9)), term
+
+    w = np.zeros(len(mean) + 1)
+    risk, g, h, term = at(w)
+    for _ in range(STEPS):
+        move, held = np.linalg.solve(h, g), False
+        gain = float(g @ move)
+        for halved in range(HALVINGS):
+            new = w - move / 2 ** halved
+            found = at(new)
+            if found[0] <= risk and found[3] >= 0:
+                break
+            held |= found[3] < 0
+        else:
+            return w
+        w, (risk, g, h, term) = new, found
+        if held or gain < TOLERANCE:
+            break
+    return w
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model | None:
     """Learn from ``labels`` (doc_id, quality), which the caller has cut to the rows that may be learned from."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_col().alias("text"))
-    trusted = sampled_labels(labels.filter(F.col("quality") == 1), "quality", sample)
-    n = docs.count()
-    grain = 1_000_000
-    share = min(grain, int(grain * sample / max(1, n)) + 1)
-    taken = F.pmod(F.xxhash64(F.coalesce("doc_id", F.lit(-1)), F.lit(17)), F.lit(grain)) < share
-    rows = (texts.join(F.broadcast(trusted.select("doc_id")), "doc_id", "left_semi").select("text", F.lit(1).alias("kind"))
-            .unionByName(texts.filter(taken).select("text", F.lit(0).alias("kind"))))
-    # the text's bytes as a key of order make the fit the same in every run
-    got = rows.mapInPandas(_featured, "kind int, x binary").collect()
-    p, u = (np.array([np.frombuffer(x, dtype=np.float32) for x in sorted(bytes(r["x"]) for r in got if r["kind"] == k)])
-            for k in (1, 0))
-    return learn(p, u) if len(p) and len(u) else None
+    trusted = sampled_labels(labels.filter(F.col("quality") == 1), "quality", sample).select("doc_id")
+    # the rows of a repeated id share the weight of one trusted row
+    times = (texts.select("doc_id").join(F.broadcast(trusted), "doc_id").groupBy("doc_id")
+             .agg((1 / F.count(F.lit(1))).alias("p")))
+    rows = materialise(texts.join(F.broadcast(times), "doc_id", "left").select("text", F.coalesce("p", F.lit(0.0)).alias("p"))
+                       .mapInPandas(_featured, "p double, x binary"), "quality-features")
+    sums = _summed(rows, _moments)
+    if not sums or not sums[4][1]:
+        return None
+    n_u, n_p = sums[4]
+    mean = (sums[0] / n_u + sums[2] / n_p) / 2
+    scale = np.sqrt(np.maximum((sums[1] / n_u + sums[3] / n_p) / 2 - mean ** 2, 0)) + 1e-3
+    first = _minimise(rows, mean, scale, n_u, n_p, None)
+
+    def bins(x: np.ndarray, p: np.ndarray) -> list[np.ndarray]:
+        z = (_standard(x, mean, scale) @ first).clip(-50, 50)
+        at = np.minimum(((z + 50) * (BINS / 100)).astype(np.int64), BINS - 1)
+        return [np.bincount(at, p, BINS), np.bincount(at, minlength=BINS).astype(np.float64)]
+
+    prior = histogram_prior(*_summed(rows, bins))
+    return Model(mean, scale, _minimise(rows, mean, scale, n_u, n_p, prior), prior)
 
 
 def score(docs: DataFrame, model: Model | None, text: str = "text") -> DataFrame:

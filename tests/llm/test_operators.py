@@ -389,6 +389,34 @@ def test_classifiers(spark):
     assert quality_pu.score(docs.limit(0), quality_pu.fit(docs.limit(0), labels)).count() == 0
 
 
+def test_quality_reads_all_unlabelled_rows(spark):
+    docs, labels = _corpus(spark)
+    train = labels.filter("doc_id % 7 <> 0")
+    rows = docs.select("doc_id", "text")
+    # rows without an id all count, and a trusted id's rows weigh as one
+    nameless = spark.createDataFrame([(None, "zz 99 ## !! " * 9)], "doc_id long, text string").crossJoin(spark.range(300)).drop("id")
+    plain, more = quality_pu.fit(rows, train, 50), quality_pu.fit(rows.unionByName(nameless), train, 50)
+    n, m = rows.count(), rows.count() + 300
+    mark = quality_pu.features("zz 99 ## !! " * 9)
+    sums = [quality_pu.features(r.text or "").astype(float) for r in rows.collect()]
+    share = lambda mean, size, total: 2 * mean - total / size
+    positives = share(plain.mean, n, np.sum(sums, axis=0))
+    assert np.allclose(share(more.mean, m, np.sum(sums, axis=0) + 300 * mark.astype(float)), positives, atol=1e-6)
+    assert more.prior < plain.prior
+    one = train.filter("quality = 1").first().doc_id
+    again = rows.filter(F.col("doc_id") == one).crossJoin(spark.range(200)).drop("id")
+    twice = quality_pu.fit(rows.unionByName(again), train, 50)
+    x = np.sum(sums, axis=0) + 200 * quality_pu.features(rows.filter(F.col("doc_id") == one).first().text or "").astype(float)
+    assert np.allclose(share(twice.mean, n + 200, x), positives, atol=1e-6)
+
+
+def test_histogram_prior_is_near_the_exact_one():
+    rng = np.random.default_rng(3)
+    p, u = rng.normal(2, 1, 3000), np.concatenate((rng.normal(2, 1, 2000), rng.normal(-2, 1, 3000)))
+    bins = lambda z: np.histogram(z, 20_000, (-50, 50))[0].astype(float)
+    assert abs(quality_pu.histogram_prior(bins(p), bins(u)) - quality_pu.class_prior(p, u)) < 0.005
+
+
 def test_class_prior():
     rng = np.random.default_rng(1)
     p, n = rng.normal(2, 1, 8000), rng.normal(-2, 1, 8000)
