@@ -8,8 +8,8 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from oddsframe.llm import (html_wrappers, minhash, packing, quality_pu, sentencepiece_sa, simhash_bktree, token_counts, topk_impact,
-                           toxicity_knn, warc)
+from oddsframe.llm import (html_wrappers, minhash, packing, quality_pu, sentencepiece_sa, sharding_ring, simhash_bktree, token_counts,
+                           topk_impact, toxicity_knn, warc)
 from oddsframe.llm.common import read_table, ship_package, tokenizer_file
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -138,3 +138,57 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of all pages."""
     return html_wrappers.main_text(read_table(spark, sf_dir, "pages", "page_id", "url", "html"))
+
+
+# A walk over the ring's arcs, one step per arc and shard; checksums byte by byte.
+OP11_SQL = """
+WITH RECURSIVE t AS (
+  SELECT list_transform(range(256), lambda b: list_reduce(range(8), lambda c, i:
+           CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, CAST(b AS BIGINT))) AS tab),
+d AS (
+  SELECT doc_id, CAST(strlen(coalesce(text, '')) + 1 AS BIGINT) AS size, hex(encode(coalesce(text, ''))) AS hx,
+         CAST('0x' || substr(md5(coalesce('id:' || CAST(doc_id AS VARCHAR), 'null')), 1, 15) AS BIGINT) AS place
+  FROM documents),
+c AS (
+  SELECT doc_id, size, place, 4294967295 - list_reduce(
+           list_transform(regexp_extract_all(hx, '..'), lambda h: CAST('0x' || h AS BIGINT)),
+           lambda acc, v: xor(acc >> 8, tab[CAST(xor(acc & 255, v) AS INTEGER) + 1]), CAST(4294967295 AS BIGINT)) AS text_crc32
+  FROM d, t),
+ring AS (
+  SELECT row_number() OVER (ORDER BY point, shard) - 1 AS arc, point, shard
+  FROM (SELECT i % 16 AS shard, CAST('0x' || substr(md5('node:' || (i % 16) || ':' || (i // 16)), 1, 15) AS BIGINT) AS point
+        FROM range(16 * 128) r(i))),
+r AS (
+  SELECT c.*, coalesce(ring.arc, 0) AS arc FROM c ASOF LEFT JOIN ring ON c.place <= ring.point),
+n AS (
+  SELECT *, row_number() OVER (PARTITION BY arc ORDER BY place, doc_id NULLS FIRST, text_crc32, size) - 1 AS at FROM r),
+arcs AS (
+  SELECT ring.arc, shard, count(n.arc) AS rows FROM ring LEFT JOIN n ON n.arc = ring.arc GROUP BY ALL),
+one AS (
+  SELECT list(shard ORDER BY arc) AS shards, list(rows ORDER BY arc) AS counts, sum(rows) AS total FROM arcs),
+walk AS (
+  SELECT -1 AS arc, 0 AS shard, CAST(0 AS BIGINT) AS upto, CAST(0 AS BIGINT) AS add_, CAST(0 AS BIGINT) AS done,
+         list_transform(range(16), lambda s: CAST(total // 16 + CASE WHEN s < total % 16 THEN 1 ELSE 0 END AS BIGINT)) AS room,
+         list_transform(range(16), lambda s: CAST(0 AS BIGINT)) AS load, 0 AS next_arc
+  FROM one
+  UNION ALL
+  SELECT arc, shard, done + take, load - done, CASE WHEN done + take < rows THEN done + take ELSE 0 END,
+         list_transform(room, lambda x, i: CASE WHEN i = shard + 1 THEN x - take ELSE x END),
+         list_transform(loads, lambda x, i: CASE WHEN i = shard + 1 THEN x + take ELSE x END),
+         CASE WHEN done + take < rows THEN arc ELSE arc + 1 END
+  FROM (
+    SELECT *, least(rows - done, room[shard + 1]) AS take, loads[shard + 1] AS load
+    FROM (
+      SELECT w.next_arc AS arc, w.done, w.room, w.load AS loads, o.counts[w.next_arc + 1] AS rows,
+             CAST(CASE WHEN o.counts[w.next_arc + 1] = 0 OR w.room[o.shards[w.next_arc + 1] + 1] > 0 THEN o.shards[w.next_arc + 1]
+                  ELSE list_filter(list_concat(o.shards[w.next_arc + 1:], o.shards), lambda s: w.room[s + 1] > 0)[1] END AS INTEGER) AS shard
+      FROM walk w, one o WHERE w.next_arc < len(o.shards)) q) z)
+SELECT n.doc_id, n.size, n.text_crc32, 'rows' AS law, w.shard, n.at + w.add_ AS slot, CAST(NULL AS INTEGER) AS grown_shard
+FROM n ASOF JOIN walk w ON n.arc = w.arc AND n.at < w.upto
+"""
+
+
+@query("op11_sharding_ring", OP11_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 16 shards of a ring with loads bounded to row counts at most one apart."""
+    return sharding_ring.assign(read_table(spark, sf_dir, "documents", "doc_id", "text"), shards=16, law="rows", slack=0.0)
