@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from oddsframe.llm import (html_wrappers, minhash, packing, quality_pu, sentencepiece_sa, sharding_ring, simhash_bktree, token_counts,
+from oddsframe.llm import (hard_negatives, html_wrappers, minhash, packing, quality_pu, sentencepiece_sa, sharding_ring, simhash_bktree, token_counts,
                            topk_impact, toxicity_knn, warc)
 from oddsframe.llm.common import read_table, ship_package, tokenizer_file
 
@@ -192,3 +192,33 @@ FROM n ASOF JOIN walk w ON n.arc = w.arc AND n.at < w.upto
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 16 shards of a ring with loads bounded to row counts at most one apart."""
     return sharding_ring.assign(read_table(spark, sf_dir, "documents", "doc_id", "text"), shards=16, law="rows", slack=0.0)
+
+
+OP12_SQL = """
+WITH x AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda e: CAST(floor(256 * CAST(e AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda e: e IS NULL OR NOT isfinite(e))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same,
+         CAST(list_sum(list_transform(range(len(a.v)), lambda i: a.v[i + 1] * c.v[i + 1])) AS BIGINT) AS score
+  FROM x a JOIN x c ON c.vec_id <> a.vec_id AND a.vec_id % 50 = 0 AND len(a.v) = len(c.v)),
+p AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+n AS (
+  SELECT p.*, s.vec_id AS negative_id, s.score AS negative_score,
+         row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.vec_id) AS rank
+  FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same
+    AND 50 * p.positive_score <= 100 * s.score AND 100 * s.score <= 95 * p.positive_score)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 3"""
+
+
+@query("op12_hard_negatives", OP12_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three hard negatives for each of the five positives of every 50th vector."""
+    rows = read_table(spark, sf_dir, "embeddings", "vec_id", "label", "embedding")
+    rows = rows.withColumn("label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+    return hard_negatives.mine(rows, F.col("vec_id") % 50 == 0, positives=5, negatives=3, low=50, high=95)
