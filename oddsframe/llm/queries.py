@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from oddsframe.llm import (hard_negatives, html_wrappers, minhash, packing, quality_pu, sentencepiece_sa, sharding_ring, simhash_bktree, token_counts,
-                           topk_impact, toxicity_knn, warc)
+                           topk_impact, toxicity_knn, warc, whitening)
 from oddsframe.llm.common import read_table, ship_package, tokenizer_file
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -222,3 +222,9 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = read_table(spark, sf_dir, "embeddings", "vec_id", "label", "embedding")
     rows = rows.withColumn("label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
     return hard_negatives.mine(rows, F.col("vec_id") % 50 == 0, positives=5, negatives=3, low=50, high=95)
+
+
+@query("op13_whitening")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All vectors projected on the 8 first components of their covariance, scaled to unit variance."""
+    return whitening.whiten(read_table(spark, sf_dir, "embeddings", "vec_id", "embedding"), components=8)
