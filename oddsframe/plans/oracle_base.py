@@ -6,6 +6,9 @@ latest quote per event with the same deterministic tie-break as the Spark operat
 
 from __future__ import annotations
 
+import re
+from collections import Counter
+
 from oddsframe import config
 
 VIEWS = {
@@ -79,10 +82,21 @@ LEFT JOIN lq_hcp h ON e.event_id = h.event_id""",
 }
 
 
+def _names(text: str, known: dict[str, str]) -> list[str]:
+    return [w for w in re.findall(r"[A-Za-z_][A-Za-z_0-9]*", text) if w in known]
+
+
 def sql(body: str, *ctes: tuple[str, str]) -> str:
-    """WITH <fixture views>, <derived>, <ctes> <body>; a CTE named like a derived one replaces it."""
-    given = dict(ctes)
-    parts = [f"{k} AS ({v})" for k, v in VIEWS.items()]
-    parts += [f"{k} AS ({v})" for k, v in ((k, given.get(k, v)) for k, v in DERIVED.items())]
-    parts += [f"{k} AS ({v})" for k, v in ctes if k not in DERIVED]
-    return "WITH " + ",\n".join(parts) + "\n" + body
+    """WITH <the CTEs that the body reaches> <body>; a CTE named like a fixture or derived one replaces it. One that
+    is used more than once is materialised, so that no input is scanned again for each use."""
+    known = {**VIEWS, **DERIVED, **dict(ctes)}
+    order = [*VIEWS, *DERIVED, *(k for k, _ in ctes if k not in DERIVED and k not in VIEWS)]
+    reached, todo = set(), [body]
+    while todo:
+        for name in _names(todo.pop(), known):
+            if name not in reached:
+                reached.add(name)
+                todo.append(known[name])
+    uses = Counter(w for text in [body, *(known[k] for k in reached)] for w in _names(text, known))
+    parts = [f"{k} AS {'MATERIALIZED ' if uses[k] > 1 else ''}({known[k]})" for k in order if k in reached]
+    return ("WITH " + ",\n".join(parts) + "\n" if parts else "") + body

@@ -26,6 +26,7 @@ def register(name: str, body: str | None = None, ctes: tuple[tuple[str, str], ..
             df = fn(spark, sf_dir)
             return round_doubles(df) if rounded else df
         run.__name__ = fn.__name__
+        run.__module__ = fn.__module__
         run.__doc__ = fn.__doc__
         QUERIES[name] = run
         if body is not None:
