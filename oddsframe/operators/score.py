@@ -145,13 +145,13 @@ def score_registry(rows: DataFrame, missing: float = 0.0) -> Column:
 
 
 def predict(requests: DataFrame, frame: DataFrame, registry: DataFrame, policies: DataFrame,
-            routed: list[int], strict: list[int], missing: float = 0.0) -> DataFrame:
+            routed: list[int], strict: list[int], missing: float = 0.0, probability: Column | None = None) -> DataFrame:
     """One prediction record per request row (``event_id``), errors as values.
 
     ``frame`` holds the matches (odds, season window and a ``features`` map), ``registry`` the fitted models. The
     model is that of the match's window, else the one its league's policy names
     (``resolve_model_windows``); a model without a threshold takes the default one. ``error`` says why a
-    request has no prediction: event not found, unsupported league, no over/under odds, or no model."""
+    request has no prediction (``probability``: the score of a registry of another shape): event not found, unsupported league, no over/under odds, or no model."""
     order = (F.col("season_start") * 10 + F.col("window_no")).cast("int")
     asked = requests.select("event_id").join(frame.withColumn("_found", F.lit(True)), "event_id", "left")
     league = F.col("event_type_id")
@@ -165,7 +165,8 @@ def predict(requests: DataFrame, frame: DataFrame, registry: DataFrame, policies
     j = found.join(models, ["event_type_id", "model_key"], "left")
     error = F.coalesce(F.col("_why"), F.when(F.col("model_name").isNull(), F.lit("no model")))
     j = j.withColumn("error", error).withColumn("threshold", F.coalesce("threshold", F.lit(config.DEFAULT_THRESHOLD)))
-    j = j.withColumn("p", F.when(F.col("error").isNull(), score_registry(j, missing)))
+    p = score_registry(j, missing) if probability is None else probability
+    j = j.withColumn("p", F.when(F.col("error").isNull(), p))
     side = decide(F.col("p"), F.col("threshold"), F.coalesce(league.isin(strict), F.lit(False)))
     confidence, bet = recommended_bet(F.col("p"), side)
     ok = F.col("error").isNull()

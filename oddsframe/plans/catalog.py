@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from oddsframe.plans import q_core, q_eval, q_features, q_fit, q_history, q_learn, q_market  # noqa: F401
+from oddsframe.plans import q_core, q_eval, q_features, q_fit, q_history, q_learn, q_market, q_models  # noqa: F401
 from oddsframe.plans import registry
 from oddsframe.plans.registry import ORACLES  # noqa: F401
 from oddsframe.session import configure

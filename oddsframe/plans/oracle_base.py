@@ -98,5 +98,6 @@ def sql(body: str, *ctes: tuple[str, str]) -> str:
                 reached.add(name)
                 todo.append(known[name])
     uses = Counter(w for text in [body, *(known[k] for k in reached)] for w in _names(text, known))
-    parts = [f"{k} AS {'MATERIALIZED ' if uses[k] > 1 else ''}({known[k]})" for k in order if k in reached]
-    return ("WITH " + ",\n".join(parts) + "\n" if parts else "") + body
+    recursive = {k for k in reached if k in _names(known[k], known)}
+    parts = [f"{k} AS {'MATERIALIZED ' if uses[k] > 1 and k not in recursive else ''}({known[k]})" for k in order if k in reached]
+    return ("WITH " + ("RECURSIVE " if recursive else "") + ",\n".join(parts) + "\n" if parts else "") + body

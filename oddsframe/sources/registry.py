@@ -27,14 +27,26 @@ REGISTRY_SCHEMA = T.StructType([
     T.StructField("trained_n", T.LongType()),
 ])
 
+_TREE = T.StructType([T.StructField("feature", T.ArrayType(T.IntegerType())), T.StructField("threshold", T.ArrayType(T.DoubleType())),
+                      T.StructField("value", T.ArrayType(T.DoubleType()))])
+# one row per window for a model of any family: linear ones fill coef and intercept, tree ones trees (boosted ones base and rate too)
+MODEL_SCHEMA = T.StructType([
+    *REGISTRY_SCHEMA.fields,
+    T.StructField("parameters", T.StringType()),
+    T.StructField("cv_accuracy", T.DoubleType()),
+    T.StructField("trees", T.ArrayType(_TREE)),
+    T.StructField("base", T.DoubleType()),
+    T.StructField("rate", T.DoubleType()),
+])
+
 
-def write_registry(df: DataFrame, path: str) -> str:
-    df.select(*[f.name for f in REGISTRY_SCHEMA.fields]).write.mode("overwrite").parquet(path)
+def write_registry(df: DataFrame, path: str, schema: T.StructType = REGISTRY_SCHEMA) -> str:
+    df.select(*[f.name for f in schema.fields]).write.mode("overwrite").parquet(path)
     return path
 
 
-def read_registry(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(REGISTRY_SCHEMA).parquet(path)
+def read_registry(spark: SparkSession, path: str, schema: T.StructType = REGISTRY_SCHEMA) -> DataFrame:
+    return spark.read.schema(schema).parquet(path)
 
 
 def shared_registry_path(spark: SparkSession) -> str:
