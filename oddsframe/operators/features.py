@@ -24,7 +24,7 @@ from oddsframe.operators import history as H
 from oddsframe.operators import matches as M
 from oddsframe.operators.learn import assert_no_leakage
 from oddsframe.operators.score import encode_teams
-from oddsframe.session import checkpoint_dir
+from oddsframe.session import stored
 
 NAME = re.compile(r"(\$?)([A-Za-z_][A-Za-z_0-9]*)")
 LOCAL = re.compile(r"\$([A-Za-z_][A-Za-z_0-9.]*)")
@@ -117,8 +117,7 @@ def feature_frame(spark: SparkSession, frame: DataFrame, vectors: list[Vector],
     """``frame`` (a match frame) with all market features and the history columns that ``vectors`` reach.
 
     ``seen`` says from which matches team codes are learnt (played ones unless given)."""
-    checkpoint_dir(spark)
-    m = frame.checkpoint()
+    m = frame.transform(stored, "features")
     need = history_needed(vectors)
     base = m.select("event_id", "event_type_id", "start_time", "home_id", "away_id")
     out = m.select("*", *[c for group in market.GROUPS.values() for c in group()])

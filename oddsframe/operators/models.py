@@ -23,7 +23,7 @@ from oddsframe.operators import features as FT
 from oddsframe.operators import learn as L
 from oddsframe.operators import matches as M
 from oddsframe.operators import trees as T
-from oddsframe.session import checkpoint_dir
+from oddsframe.session import stored
 from oddsframe.sources.tables import Tables
 
 KEYS = L.WKEYS
@@ -40,13 +40,12 @@ REGISTRY = ("feature_cols array<string>, mean array<double>, scale array<double>
 def vector_rows(spark: SparkSession, t: Tables, vectors: list[FT.Vector], of_league: dict[int, str]) -> DataFrame:
     """Gated, split rows with ``x`` (the league's vector, missing values 0) and ``y``; quotes and history from
     before the kick-off only."""
-    checkpoint_dir(spark)
     used = [v for v in vectors if v.name in of_league.values()]
     frame = FT.feature_frame(spark, M.match_frame(t, quote_policy="asof"), used)
     x = FT.assemble(frame, used, {league: (name,) for league, name in of_league.items()}).select(
         "event_id", F.transform("values", lambda v: F.coalesce(v, F.lit(0.0))).alias("x"))
     split = L.gated(L.chrono_split(L.train_frame(spark, t)))
-    return split.join(x, "event_id").withColumn("y", F.col("label_over")).checkpoint()
+    return split.join(x, "event_id").withColumn("y", F.col("label_over")).transform(stored, "models")
 
 
 def k_best(train: DataFrame, keys: list[str], k: int = K_BEST) -> DataFrame:
@@ -148,7 +147,7 @@ def fit_logistic_arrays(rows: DataFrame, keys: list[str], candidates: list[tuple
     grid = F.array(*[F.struct(F.lit(i).alias("candidate"), F.lit(f).alias("fold"), F.lit(c).alias("c")) for i, (f, c) in enumerate(candidates)])
     state = (rows.groupBy(*keys).agg(F.max(F.size("z")).alias("d")).select(*keys, "d", F.inline(grid))
              .select(*keys, "candidate", "fold", "c", F.array_repeat(F.lit(0.0), F.col("d") + 1).alias("beta"), F.lit(0.0).alias("n"),
-                     F.lit(False).alias("failed"), F.lit(float("inf")).alias("step")).checkpoint())
+                     F.lit(False).alias("failed"), F.lit(float("inf")).alias("step")).transform(stored, "models"))
     closed = None
     for _ in range(max_iter):
         asked = state.groupBy(*keys).agg(F.collect_list(F.struct("candidate", "fold", "beta")).alias("candidates"))
@@ -159,7 +158,7 @@ def fit_logistic_arrays(rows: DataFrame, keys: list[str], candidates: list[tuple
                   .agg(F.transform(F.sort_array(F.collect_list(F.struct("at", "v"))), lambda s: s["v"]).alias("sums")))
         moved = (state.drop("n", "step").join(summed, [*keys, "candidate"]).select(*keys, "candidate", "fold", "c", "sums", "beta", "failed")
                  .mapInPandas(_newton(L.INTERCEPT_RIDGE), f"{key_schema}, candidate int, fold int, c double, beta array<double>, n double, "
-                                                          "failed boolean, step double").checkpoint())
+                                                          "failed boolean, step double").transform(stored, "models"))
         still = (F.col("step") >= tol) & ~F.col("failed")
         finished = moved.filter(~still)
         closed = finished if closed is None else closed.unionByName(finished)
@@ -190,8 +189,8 @@ def _held_statistics(trees: int, seed: int):
 
 def fit_forests(rows: DataFrame, keys: list[str], folds: int = FOLDS, trees: int = 8, depth: int = 3, seed: int = 0) -> DataFrame:
     """``(*keys, fold, trees)``: a forest on all rows (fold -1) and one without each fold, grown together."""
-    cut = T.edges(rows, keys).checkpoint()
-    binned = T.with_bins(rows, cut, keys).select(*keys, "event_id", "y", "fold", "bins").checkpoint()
+    cut = T.edges(rows, keys).transform(stored, "models")
+    binned = T.with_bins(rows, cut, keys).select(*keys, "event_id", "y", "fold", "bins").transform(stored, "models")
     nodes = T.grow(binned, keys, trees * (folds + 1), depth, _held_statistics(trees, seed), min_rows=2, share=T.root_share, seed=seed)
     grown = T.assemble(nodes, cut, keys, depth)
     parts = F.array(*[F.struct(F.lit(f - 1).alias("fold"), F.slice("trees", f * trees + 1, trees).alias("trees")) for f in range(folds + 1)])
@@ -209,9 +208,9 @@ def candidates(spark: SparkSession, train: DataFrame, keys: list[str] = KEYS) ->
     """Fitted models of every family, fold -1 (all train rows) to ``FOLDS`` - 1 (that fold held out). ``train``: keys, event_id,
     ``x``, ``z``, ``y``, ``fold``."""
     grid = [(f, c) for c in C_GRID for f in range(-1, FOLDS)]
-    return {"logistic": fit_logistic_arrays(train, keys, grid).checkpoint(),
-            "forest": fit_forests(train, keys, FOLDS, **FOREST).checkpoint(),
-            "boosted": fit_boosted(spark, train, keys, FOLDS, **BOOST).checkpoint()}
+    return {"logistic": fit_logistic_arrays(train, keys, grid).transform(stored, "models"),
+            "forest": fit_forests(train, keys, FOLDS, **FOREST).transform(stored, "models"),
+            "boosted": fit_boosted(spark, train, keys, FOLDS, **BOOST).transform(stored, "models")}
 
 
 def _probability(family: str) -> Column:
@@ -285,11 +284,11 @@ def features_of(row_features: Column, names: Column, missing: float = 0.0) -> Co
 def prepared(spark: SparkSession, rows: DataFrame, keys: list[str] = KEYS, k: int = K_BEST) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Train rows ready to fit (chosen features, standardised, folds), the chosen features, and the scaler."""
     train = rows.filter("is_train = 1")
-    chosen = k_best(train, keys, k).checkpoint()
+    chosen = k_best(train, keys, k).transform(stored, "models")
     kept = keep_chosen(train.select(*keys, "event_id", "start_time", "label_over", "x", "y"), chosen, keys)
-    scale = scaler(kept, keys).checkpoint()
+    scale = scaler(kept, keys).transform(stored, "models")
     folds = L.cv_folds(train, FOLDS).select("event_id", "fold")
-    ready = standardised(kept, scale, keys).join(folds, "event_id").select(*keys, "event_id", "x", "z", "y", "fold").checkpoint()
+    ready = standardised(kept, scale, keys).join(folds, "event_id").select(*keys, "event_id", "x", "z", "y", "fold").transform(stored, "models")
     return ready, chosen, scale
 
 
@@ -302,9 +301,9 @@ def fit(spark: SparkSession, rows: DataFrame, names: DataFrame, keys: list[str]
     """``(registry, cv table)`` of every gated window. ``names``: league -> ``feature_names`` in the vector's order."""
     ready, chosen, scale = prepared(spark, rows, keys, k)
     models = candidates(spark, ready, keys)
-    table = best_candidate(cv_table(ready, models, keys), keys).checkpoint()
+    table = best_candidate(cv_table(ready, models, keys), keys).transform(stored, "models")
     cols = (chosen.join(names, keys[0]).select(*keys, F.transform("chosen", lambda i: F.get(F.col("feature_names"), i)).alias("feature_cols")))
-    reg = registry(models, table, cols, scale, keys).checkpoint()
+    reg = registry(models, table, cols, scale, keys).transform(stored, "models")
     labels = rows.select(*keys, "window_label").distinct()
     n = ready.groupBy(*keys).agg(F.count(F.lit(1)).alias("trained_n"))
     reg = reg.join(threshold_table(ready, reg, keys), keys).join(labels, keys).join(n, keys)

@@ -21,7 +21,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from oddsframe.session import checkpoint_dir
+from oddsframe.session import stored
 
 BINS = 32                # at most BINS - 1 edges of a feature
 ACCURACY = 10000         # of the quantiles: exact for groups of up to that many rows
@@ -88,7 +88,6 @@ def grow(rows: DataFrame, keys: list[str], trees: int, depth: int, stat: Callabl
 
     ``rows``: keys, event_id, bins and what ``stat`` reads. ``share`` gives, from the number of features, how many a
     node may choose from (all unless given). A node with fewer than 2 * ``min_rows`` rows or without gain is a leaf."""
-    checkpoint_dir(rows.sparkSession)
     many = 1 << (depth + 1)
     state = rows.withColumn("node", F.array_repeat(F.lit(0), trees))
     done: DataFrame | None = None
@@ -118,7 +117,7 @@ def grow(rows: DataFrame, keys: list[str], trees: int, depth: int, stat: Callabl
                      .agg(F.max("split").alias("s"), *[F.max(c).alias(c) for c in ("g", "h", "n")])
                      .select(*at, F.coalesce(-F.col("s.f"), F.lit(-1)).alias("feature"), F.coalesce(-F.col("s.b"), F.lit(0)).alias("bin"),
                              "g", "h", "n"))
-        found = found.withColumn("value", F.col("g").cast("double") / (F.col("h").cast("double") + ridge)).drop("g", "h").checkpoint()
+        found = found.withColumn("value", F.col("g").cast("double") / (F.col("h").cast("double") + ridge)).drop("g", "h").transform(stored, "trees")
         done = found if done is None else done.union(found)
         if level < depth:
             # the splits of a group are at most trees * 2^level entries, whatever its rows
@@ -126,7 +125,7 @@ def grow(rows: DataFrame, keys: list[str], trees: int, depth: int, stat: Callabl
                 (F.col("tree") * many + F.col("node")).alias("key"), F.struct("feature", "bin").alias("value")))).alias("splits"))
             step = F.transform("node", lambda n, i: F.when(n < 0, n).otherwise(
                 _child(F.try_element_at("splits", i * many + n), n)))
-            state = state.join(splits, keys, "left").withColumn("node", step).drop("splits").checkpoint()
+            state = state.join(splits, keys, "left").withColumn("node", step).drop("splits").transform(stored, "trees")
     return done
 
 
@@ -185,8 +184,8 @@ def root_share(features: Column) -> Column:
 
 def fit_forest_groups(rows: DataFrame, keys: list[str], trees: int = 20, depth: int = 4, min_rows: int = 2, seed: int = 0) -> DataFrame:
     """``(*keys, trees)``: one random forest for every group."""
-    cut = edges(rows, keys).checkpoint()
-    binned = with_bins(rows, cut, keys).select(*keys, "event_id", "y", "bins").checkpoint()
+    cut = edges(rows, keys).transform(stored, "trees")
+    binned = with_bins(rows, cut, keys).select(*keys, "event_id", "y", "bins").transform(stored, "trees")
     nodes = grow(binned, keys, trees, depth, class_statistics(seed), min_rows=min_rows, share=root_share, seed=seed)
     return assemble(nodes, cut, keys, depth)
 
@@ -198,12 +197,11 @@ def fit_boosted_groups(spark: SparkSession, rows: DataFrame, keys: list[str], st
     Returns ``(*keys, trees, base, rate)`` and the losses ``(*keys, stage, loss)`` (stage 0: before any tree). Each stage grows one
     tree on the gradients at the rows' margins, which are kept beside the rows in the shared folder. A group whose loss falls by
     less than ``tol`` of itself is closed: it gets no further stage."""
-    checkpoint_dir(spark)
-    cut = edges(rows, keys).checkpoint()
+    cut = edges(rows, keys).transform(stored, "trees")
     share = F.least(F.greatest(F.avg(F.col("y").cast("double")), F.lit(1e-3)), F.lit(1 - 1e-3))
-    base = rows.groupBy(*keys).agg(F.log(share / (1 - share)).alias("base")).checkpoint()
+    base = rows.groupBy(*keys).agg(F.log(share / (1 - share)).alias("base")).transform(stored, "trees")
     state = (with_bins(rows, cut, keys).join(base, keys)
-             .select(*keys, "event_id", "y", "x", "bins", F.col("base").alias("margin")).checkpoint())
+             .select(*keys, "event_id", "y", "x", "bins", F.col("base").alias("margin")).transform(stored, "trees"))
 
     def loss(df: DataFrame, stage: int) -> DataFrame:
         # ln(1 + e^m) - y m, without overflow
@@ -211,15 +209,15 @@ def fit_boosted_groups(spark: SparkSession, rows: DataFrame, keys: list[str], st
         one = F.greatest(m, F.lit(0.0)) + F.log1p(F.exp(-F.abs(m))) - F.col("y") * m
         return df.groupBy(*keys).agg((F.sum(F.round(one * UNIT).cast("long")) / F.count(F.lit(1)) / UNIT).alias("loss")).withColumn("stage", F.lit(stage))
 
-    losses = loss(state, 0).checkpoint()
+    losses = loss(state, 0).transform(stored, "trees")
     every, latest, parts = losses, losses, []
     for stage in range(1, stages + 1):
-        model = assemble(grow(state, keys, 1, depth, gradient_statistics, ridge=ridge * UNIT, min_rows=min_rows), cut, keys, depth).checkpoint()
+        model = assemble(grow(state, keys, 1, depth, gradient_statistics, ridge=ridge * UNIT, min_rows=min_rows), cut, keys, depth).transform(stored, "trees")
         moved = state.join(model, keys).withColumn("margin", F.col("margin") + rate * total(leaf_values(F.col("trees"), F.col("x")))).drop("trees")
-        moved = moved.checkpoint()
+        moved = moved.transform(stored, "trees")
         now = loss(moved, stage)
         better = (now.join(latest.select(*keys, F.col("loss").alias("before")), keys)
-                  .filter(F.col("before") - F.col("loss") > tol * F.col("before")).drop("before").checkpoint())
+                  .filter(F.col("before") - F.col("loss") > tol * F.col("before")).drop("before").transform(stored, "trees"))
         parts.append(model.join(better.select(*keys), keys, "left_semi").select(*keys, F.lit(stage).alias("stage"), F.get("trees", F.lit(0)).alias("tree")))
         every, latest = every.unionByName(better), better
         if stage < stages:

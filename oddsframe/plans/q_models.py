@@ -18,7 +18,7 @@ from oddsframe.plans.q_features import RESOLVED
 from oddsframe.plans.q_learn import GATE, LEARN_CTES, WK
 from oddsframe.plans.registry import register
 from oddsframe.plans.sqlx import P_OVER_FAIR, rr6
-from oddsframe.session import checkpoint_dir
+from oddsframe.session import stored
 from oddsframe.sources.registry import MODEL_SCHEMA, read_registry, shared_registry_path, write_registry
 from oddsframe.sources.tables import fixture_tables
 from oddsframe.vectors import LEAGUE_VECTORS
@@ -155,10 +155,9 @@ FROM tree_all LEFT JOIN split_all USING ({_AT}, node) GROUP BY {_AT}, node""", _
 def window_tree(spark, d):
     """A decision tree of two levels for every gated window over three market features: its nodes."""
     train = L.gated(L.chrono_split(L.train_frame(spark, fixture_tables(spark, d)))).filter("is_train = 1")
-    checkpoint_dir(spark)
     rows = train.select(*KEYS, "event_id", F.col("label_over").alias("y"),
-                        F.array("p_over_fair", "over_under_cap", "over_odd").alias("x")).checkpoint()
-    cut = T.edges(rows, KEYS).checkpoint()
+                        F.array("p_over_fair", "over_under_cap", "over_odd").alias("x")).transform(stored, "models")
+    cut = T.edges(rows, KEYS).transform(stored, "models")
     nodes = T.grow(T.with_bins(rows, cut, KEYS), KEYS, 1, 2, T.class_statistics(bagged=False), min_rows=5)
     limit = F.get(F.get("edges", F.col("feature")), F.col("bin"))
     return nodes.join(cut, KEYS).select(*KEYS, "node", "feature",

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import os
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every oddsframe job expects. Time zone is pinned so that timestamp
 # literals and date parts mean the same thing on every executor; AQE re-plans
@@ -69,6 +70,15 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     return sc.getCheckpointDir() or named
 
 
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written once as a table into a folder of this application under the shared checkpoint folder, and read back: a
+    lost executor costs a re-read, and the plan so far is cut. (``checkpoint()`` computes its rows twice.)"""
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/oddsframe-{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def env_int(name: str, default: int) -> int:
     try:
         return int(os.environ.get(name, default))
