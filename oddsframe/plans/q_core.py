@@ -182,6 +182,30 @@ def latest_quote_stream(spark, d):
     return run(spark, d)
 
 
+@register("latest_quote_keyed", "SELECT * FROM lq_ou")
+def latest_quote_keyed(spark, d):
+    """Latest O/U quote from a stream with one state row per match (update mode) and compacted updates."""
+    from oddsframe.streaming.latest_quote import latest_quote_keyed as run
+    return run(spark, d)
+
+
+@register("league_pruned_frame", f"""SELECT event_id, event_type_id, start_time, home_id, away_id, over_odd, over_under_cap, under_odd
+FROM mf WHERE event_type_id IN (SELECT event_type_id FROM fx_event_type WHERE name < 'ASIA')""")
+def league_pruned_frame(spark, d):
+    """Matches and latest quotes of some leagues from a layout in folders by league and year: the leagues come from a
+    filtered dimension, and only their folders are read."""
+    import uuid
+
+    from oddsframe.session import checkpoint_dir
+    from oddsframe.sources.tables import load_partitioned, save_partitioned
+    t = fixture_tables(spark, d)
+    root = f"{checkpoint_dir(spark)}/by-league-{uuid.uuid4().hex}"
+    save_partitioned(t, root)
+    wanted = spark.read.parquet(f"{root}/fb_event_type.parquet").filter("name < 'ASIA'")
+    return M.match_core(load_partitioned(spark, root, wanted)).select(
+        "event_id", "event_type_id", "start_time", "home_id", "away_id", "over_odd", "over_under_cap", "under_odd")
+
+
 @register("scan_history_csv", f"""SELECT event_id, start_time, home_id, away_id, home_ft_score, away_ft_score,
   over_under_cap FROM mf WHERE {PLAYED}""")
 def scan_history_csv(spark, d):

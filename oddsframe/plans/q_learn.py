@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from oddsframe import config
 from oddsframe.functions import market
-from oddsframe.functions.calendar import all_windows, with_season_window
+from oddsframe.functions.calendar import all_windows, played_windows, trimmed_windows, with_played_window, with_season_window
 from oddsframe.functions.helpers import div
 from oddsframe.operators import evaluate as EV
 from oddsframe.operators import learn as L
@@ -135,6 +135,48 @@ def season_window_calendars(spark, d):
     return all_windows(ev, spark).drop("start_time")
 
 
+TRIMMED = ("sep_short_spring", "calendar_year")
+_HOST = "event_type_id, home_id"
+_SPAN = """concat(min(mi) // 12, '-', lpad(CAST(min(mi) % 12 + 1 AS VARCHAR), 2, '0'), ' to ', max(mi) // 12, '-',
+         lpad(CAST(max(mi) % 12 + 1 AS VARCHAR), 2, '0'))"""
+_MONTHS = ("months", f"""SELECT {_HOST}, CAST(year(start_time) * 12 + month(start_time) - 1 AS INT) AS mi, count(*) AS n
+FROM fx_event GROUP BY ALL""")
+_PLAYED = (_MONTHS, ("played", f"""SELECT *, sum(fresh) OVER (PARTITION BY {_HOST}, y ORDER BY mi) AS no
+FROM (SELECT *, CASE WHEN mi - lag(mi) OVER (PARTITION BY {_HOST}, y ORDER BY mi) <= 1 THEN 0 ELSE 1 END AS fresh
+      FROM (SELECT *, (mi - 8) // 12 AS y FROM months))"""))
+
+
+@register("played_windows", f"""SELECT {_HOST}, 'months played' AS rule, CAST(y AS INT) AS season_start, CAST(no AS INT) AS window_no,
+  {_SPAN} AS window_label, CAST(sum(n) AS BIGINT) AS n_matches FROM played GROUP BY {_HOST}, y, no
+UNION ALL
+SELECT {_HOST}, k.calendar, CAST(mi // 12 - k.season_offset AS INT), CAST(k.window_no AS INT), {_SPAN}, CAST(sum(n) AS BIGINT)
+FROM months JOIN shapes k ON k.cal_month = mi % 12 + 1 GROUP BY {_HOST}, k.calendar, mi // 12 - k.season_offset, k.window_no""",
+          (*_PLAYED, ("shapes", "SELECT * FROM (VALUES " + ", ".join(
+              f"('{c}', {m}, {off}, {no})" for c in TRIMMED for m, off, no, _f, _l in config.calendar_months(c))
+              + ") AS t(calendar, cal_month, season_offset, window_no)")))
+def played_windows_query(spark, d):
+    """Windows drawn from the data, by league and host: runs of months played in a season from September, and two calendar shapes
+    cut to the months played."""
+    ev = fixture_tables(spark, d).event.select("event_id", "event_type_id", "home_id", "start_time")
+    keys = ["event_type_id", "home_id"]
+    parts = [played_windows(ev, keys).withColumn("rule", F.lit("months played"))]
+    parts += [trimmed_windows(ev, keys, c).withColumn("rule", F.lit(c)) for c in TRIMMED]
+    out = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return out.select(*keys, "rule", "season_start", "window_no", "window_label", "n_matches")
+
+
+@register("played_window_of_match", f"""SELECT e.event_id, CAST(p.y AS INT) AS season_start, CAST(p.no AS INT) AS window_no, s.window_label
+FROM fx_event e JOIN played p ON p.event_type_id = e.event_type_id AND p.home_id = e.home_id
+  AND p.mi = year(e.start_time) * 12 + month(e.start_time) - 1
+JOIN (SELECT {_HOST}, y, no, {_SPAN} AS window_label FROM played GROUP BY {_HOST}, y, no) s
+  ON s.event_type_id = p.event_type_id AND s.home_id = p.home_id AND s.y = p.y AND s.no = p.no""", _PLAYED)
+def played_window_of_match(spark, d):
+    """Every match with the window of months played that it falls in."""
+    ev = fixture_tables(spark, d).event.select("event_id", "event_type_id", "home_id", "start_time")
+    keys = ["event_type_id", "home_id"]
+    return with_played_window(ev, played_windows(ev, keys), keys).select("event_id", "season_start", "window_no", "window_label")
+
+
 @register("ou_label", "SELECT event_id, total_goals, over_under_cap, label_over FROM tf0", LEARN_CTES)
 def ou_label(spark, d):
     """OVER iff total goals > cap (total == cap is UNDER)."""

@@ -247,6 +247,7 @@ def read_history_csv(spark: SparkSession, path: str,
     return df.withColumn("start_time", parse_iso_ntz("start_time"))
 
 
+PARTITION_FILES = 4   # files of a league and year
 _TABLE_NAMES = {"event": "fb_event", "team": "fb_team", "event_type": "fb_event_type",
                 "ou": "fb_over_under_odd", "win": "fb_win_odd", "hcp": "fb_handicap_odd"}
 
@@ -262,3 +263,37 @@ def save_bucketed(spark: SparkSession, t: Tables, database: str, root: str, n_bu
         if attr not in ("team", "event_type"):
             w = w.bucketBy(n_buckets, "event_id").sortBy("event_id")
         w.saveAsTable(f"{database}.{name}")
+
+
+def save_partitioned(t: Tables, root: str) -> None:
+    """Store the canonical tables at ``root`` with matches and quotes in folders by league and kick-off year, so that a
+    league filter, written or learnt from a joined dimension at run time, reads that league's files only. Quotes take both from
+    their match (quotes of no match are left out); rows are sorted by match inside a file."""
+    place = t.event.select("event_id", "event_type_id", F.year("start_time").alias("kick_off_year"))
+    for attr, name in _TABLE_NAMES.items():
+        df = getattr(t, attr)
+        if attr in ("team", "event_type"):
+            df.write.mode("overwrite").parquet(f"{root}/{name}.parquet")
+            continue
+        df = df.withColumn("kick_off_year", F.year("start_time")) if attr == "event" else df.join(place, "event_id")
+        # a few files per folder: a salt by match spreads a league that holds a third of all rows
+        salt = F.pmod(F.xxhash64("event_id"), F.lit(PARTITION_FILES))
+        (df.repartition("event_type_id", "kick_off_year", salt).sortWithinPartitions("event_type_id", "kick_off_year", "event_id")
+         .write.mode("overwrite").partitionBy("event_type_id", "kick_off_year").parquet(f"{root}/{name}.parquet"))
+
+
+def load_partitioned(spark: SparkSession, root: str, leagues: DataFrame | list[int] | None = None) -> Tables:
+    """Tables of ``save_partitioned``, of all leagues or of some. A list of leagues prunes the folders when the plan is
+    made; a DataFrame with ``event_type_id`` prunes them when it has run."""
+    def read(name: str) -> DataFrame:
+        df = spark.read.parquet(f"{root}/{name}.parquet")
+        if leagues is None or "kick_off_year" not in df.columns:
+            return df.drop("kick_off_year")
+        if isinstance(leagues, list):
+            return df.filter(F.col("event_type_id").isin(leagues)).drop("kick_off_year")
+        return df.join(leagues.select("event_type_id").distinct(), "event_type_id", "left_semi").drop("kick_off_year")
+
+    def conform(name: str) -> DataFrame:
+        return _conform_source(read(name), name)
+    return Tables(conform("fb_event"), conform("fb_team"), conform("fb_event_type"),
+                  conform("fb_over_under_odd"), conform("fb_win_odd"), conform("fb_handicap_odd"))

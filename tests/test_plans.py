@@ -7,7 +7,8 @@ import __spark_entry__ as E
 
 SF = "/root/testdata/sf0.001"
 FITS = {"fit_logistic", "prediction_fitted", "fit_forest", "fit_gbt", "feature_importance", "feature_sets", "model_registry_scan",
-        "latest_quote_stream", "scan_history_csv"}
+        "latest_quote_stream", "scan_history_csv", "latest_quote_keyed", "select_k_20", "forest_windows", "boosting_losses", "model_choice",
+        "window_models", "prediction_models", "window_tree"}
 
 
 def _plan(df):
