@@ -115,6 +115,23 @@ def gated(split: DataFrame, min_n: int | Column | None = None) -> DataFrame:
     return split.filter(F.col("n_window") >= (window_min() if min_n is None else min_n))
 
 
+def league_sizes(t: Tables) -> DataFrame:
+    """``(event_type_id, n_league)``: completed matches of a league with an O/U quote from before the kick-off."""
+    return (M.match_asof(t).filter(M.is_played() & F.col("over_odd").isNotNull())
+            .groupBy("event_type_id").agg(F.count(F.lit(1)).alias("n_league")))
+
+
+def training_status(tf: DataFrame, leagues: DataFrame) -> DataFrame:
+    """One row per season window: its size, its league's, and whether it is trained on (``trained``, ``window too small`` or
+    ``league too small``). Nothing that a gate stops goes missing."""
+    n, n_league = F.col("n_window"), F.coalesce("n_league", F.lit(0).cast("long"))
+    status = (F.when(n_league < config.LEAGUE_MIN_MATCHES, F.lit("league too small")).when(n < window_min(), F.lit("window too small"))
+              .otherwise(F.lit("trained")))
+    windows = tf.groupBy(*WKEYS, "window_label").agg(F.count(F.lit(1)).alias("n_window"))
+    return windows.join(leagues, "event_type_id", "left").select(
+        *WKEYS, "window_label", "n_window", n_league.alias("n_league"), window_min().cast("int").alias("min_window"), status.alias("status"))
+
+
 def standardize_stats(train: DataFrame, keys: list[str], features: list[str]) -> DataFrame:
     """Per group and feature: mean and population std (the scaler of the predictors)."""
     wide = stats_wide(train, keys, features)

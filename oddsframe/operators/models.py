@@ -18,6 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from oddsframe import config
 from oddsframe.functions.helpers import div
 from oddsframe.operators import features as FT
 from oddsframe.operators import learn as L
@@ -38,13 +39,14 @@ REGISTRY = ("feature_cols array<string>, mean array<double>, scale array<double>
 
 
 def vector_rows(spark: SparkSession, t: Tables, vectors: list[FT.Vector], of_league: dict[int, str]) -> DataFrame:
-    """Gated, split rows with ``x`` (the league's vector, missing values 0) and ``y``; quotes and history from
+    """Split rows of the windows and leagues that pass their gates, with ``x`` (the league's vector, missing values 0) and ``y``; quotes and history from
     before the kick-off only."""
     used = [v for v in vectors if v.name in of_league.values()]
     frame = FT.feature_frame(spark, M.match_frame(t, quote_policy="asof"), used)
     x = FT.assemble(frame, used, {league: (name,) for league, name in of_league.items()}).select(
         "event_id", F.transform("values", lambda v: F.coalesce(v, F.lit(0.0))).alias("x"))
-    split = L.gated(L.chrono_split(L.train_frame(spark, t)))
+    large = L.league_sizes(t).filter(F.col("n_league") >= config.LEAGUE_MIN_MATCHES)
+    split = L.gated(L.chrono_split(L.train_frame(spark, t))).join(large, "event_type_id", "left_semi")
     return split.join(x, "event_id").withColumn("y", F.col("label_over")).transform(stored, "models")
 
 

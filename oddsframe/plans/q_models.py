@@ -44,6 +44,16 @@ def _scores(test, model_name):
     return EV.window_score(EV.settle(pred), KEYS).withColumn("model_name", model_name)
 
 
+@register("training_status", f"""SELECT w.*, CAST(coalesce(c.n_completed, 0) AS BIGINT) AS n_league, CAST({GATE} AS INT) AS min_window,
+  CASE WHEN coalesce(c.n_completed, 0) < {config.LEAGUE_MIN_MATCHES} THEN 'league too small' WHEN n_window < {GATE} THEN 'window too small'
+       ELSE 'trained' END AS status
+FROM (SELECT {WK}, window_label, count(*) AS n_window FROM tf GROUP BY ALL) w LEFT JOIN completed c USING (event_type_id)""", LEARN_CTES)
+def training_status(spark, d):
+    """Every season window with its size, its league's, and why it is trained on or not."""
+    t = fixture_tables(spark, d)
+    return L.training_status(L.train_frame(spark, t), L.league_sizes(t))
+
+
 @register("select_k_20")
 def select_k_20(spark, d):
     """The 20 features of highest ANOVA F of every gated window, from the league's whole vector, on train rows."""
@@ -83,15 +93,19 @@ def model_choice(spark, d):
 
 @register("window_models")
 def window_models(spark, d):
-    """The model chosen for every gated window: family, parameters, its 20 features, and its test accuracy and return."""
+    """Every season window: the model chosen for it (family, parameters, its 20 features), its test accuracy and return, or why
+    there is none."""
+    t = fixture_tables(spark, d)
+    status = L.training_status(L.train_frame(spark, t), L.league_sizes(t)).select(*KEYS, "window_label", "n_window", "status")
     rows, reg, _table = _fitted(spark, d)
     names = _names(spark)
     test = rows.filter("is_train = 0").join(names, "event_type_id").join(reg.drop("window_label"), KEYS)
     mapped = F.map_from_arrays("feature_names", "x")
     scored = test.withColumn("probability", MD.score(MD.features_of(mapped, F.col("feature_cols"))))
-    return (_scores(scored, F.lit("chosen")).drop("model_name")
-            .join(reg.select(*KEYS, "window_label", "model_name", "parameters", "cv_accuracy", "threshold", "trained_n",
-                             F.array_join("feature_cols", ",").alias("features"), F.size("feature_cols").alias("n_features")), KEYS))
+    found = (_scores(scored, F.lit("chosen")).drop("model_name")
+             .join(reg.select(*KEYS, "model_name", "parameters", "cv_accuracy", "threshold", "trained_n",
+                             F.array_join("feature_cols", ",").alias("features"), F.size("feature_cols").alias("n_features")), KEYS, "right"))
+    return status.join(found, KEYS, "left")
 
 
 @register("prediction_models")
