@@ -18,7 +18,7 @@ from oddsframe.functions.helpers import div
 from oddsframe.operators import history as H
 from oddsframe.operators import matches as M
 from oddsframe.operators.prefix import positions
-from oddsframe.session import checkpoint_dir
+from oddsframe.session import checkpoint_dir, stored
 from oddsframe.sources.tables import Tables
 
 WKEYS = ["event_type_id", "season_start", "window_no"]
@@ -72,7 +72,8 @@ def history_columns(spark: SparkSession, mf: DataFrame) -> DataFrame:
 def train_frame(spark: SparkSession, t: Tables, with_history: bool = False) -> DataFrame:
     """Played matches with an O/U quote from before the kick-off and a season window: label +
     features. Later quotes are never seen, nor are they in the caps of the history."""
-    mf = M.match_asof(t)
+    # written once: positions and folds read the matches many times over
+    mf = stored(M.match_asof(t), "asof-matches")
     base = (mf.filter(M.is_played() & F.col("over_odd").isNotNull())
               .select("event_id", "event_type_id", "start_time", "home_ft_score", "away_ft_score",
                       "over_odd", "under_odd", "over_under_cap", *market_columns(),
@@ -156,7 +157,8 @@ def stats_wide(train: DataFrame, keys: list[str], features: list[str]) -> DataFr
 def cv_folds(split: DataFrame, k: int = 5) -> DataFrame:
     """Stratified fold: position within (window, label) by (start_time, event_id), mod k."""
     keys = WKEYS + ["label_over"]
-    pos = positions(split, keys, "start_time", ["event_id"], {"_one": F.lit(1)}, split_instant=INSTANT_BUCKET)
+    rows = stored(split.select(*keys, "start_time", "event_id"), "fold-rows")
+    pos = positions(rows, keys, "start_time", ["event_id"], {"_one": F.lit(1)}, split_instant=INSTANT_BUCKET)
     return pos.select(*keys, "event_id", ((F.col("pos") - 1) % k).cast("int").alias("fold"))
 
 
