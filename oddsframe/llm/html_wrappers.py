@@ -22,6 +22,7 @@ table gives an empty result.
 
 from __future__ import annotations
 
+import bisect
 import html as html_lib
 import json
 import re
@@ -57,6 +58,9 @@ OUTER_WORDS = frozenset("header masthead topbar site-header page-header".split()
 MAIN_WORDS = frozenset("article articlebody post entry story".split())
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
           "th": {"td", "th"}, "option": {"option"}, "tbody": {"thead", "tbody", "tr", "td", "th"}}
+DEEP = 200       # levels of groups that are kept; deeper ones become blocks of the group at that level
+CELLS = 250_000  # comparisons of two levels above which they are aligned in time near their length
+LOOK = 64        # items that an alignment of long levels skips at once
 SCOPES = frozenset("ul ol dl table select article section div main body html".split())
 
 _TAG = re.compile(r"<!--(?:.*?-->|.*\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>", re.S)
@@ -67,18 +71,30 @@ _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
 class Group:
     """A start tag up to its end: ``sig`` names it, ``names`` are its whole names and ``words`` their parts, ``kids``
-    are groups and texts ``(text, in a link)``."""
+    are groups and texts ``(text, in a link)``; ``deep``: 1 if below ``DEEP`` levels, 2 if in a dropped group there."""
 
-    __slots__ = ("tag", "sig", "names", "words", "kids")
+    __slots__ = ("tag", "sig", "names", "words", "kids", "deep")
 
     def __init__(self, tag: str, attrs: str) -> None:
         named = [(k.lower(), a or b or c) for k, a, b, c in _ATTR.findall(attrs)] if attrs else []
         self.names = frozenset(n.lower() for _, v in named for n in v.split())
         self.words = frozenset(w.lower() for _, v in named for w in _WORDS.findall(v))
-        self.tag, self.kids = tag, []
+        self.tag, self.kids, self.deep = tag, [], 0
         self.sig = tag + "".join("." + w for w in sorted(self.words))
 
 
+def _nest(stack: list[Group], new: Group) -> None:
+    """Open a group. Below ``DEEP`` levels its contents become blocks of the group at that level, so that no page nests
+    without end; one that is dropped stays a group of its own there, and what it holds is dropped with it."""
+    if len(stack) > DEEP and (stack[-1].deep == 2 or not dropped(new)):
+        stack[-1].kids.append(("\n", False))
+        new.kids, new.deep = stack[-1].kids, max(stack[-1].deep, 1)
+    else:
+        new.deep = 2 if len(stack) > DEEP else 0
+        stack[-1].kids.append(new)
+    stack.append(new)
+
+
 def parse(page: str) -> Group:
     """The groups of a page."""
     root = Group("", "")
@@ -99,6 +115,8 @@ def parse(page: str) -> Group:
         elif m[1]:
             for i in range(len(stack) - 1, 0, -1):
                 if stack[i].tag == name:
+                    if stack[i].deep:
+                        stack[i - 1].kids.append(("\n", False))
                     del stack[i:]
                     links = 0
                     break
@@ -109,12 +127,14 @@ def parse(page: str) -> Group:
         else:
             _close_implied(stack, name)
             new = Group(name, m[3])
-            stack[-1].kids.append(new)
             if name in RAW:
+                stack[-1].kids.append(new)
                 end = re.compile(f"</{re.escape(name)}[^>]*>", re.I).search(page, at)
                 at = end.end() if end else len(page)
             elif not m[3].endswith("/") or name in ("div", "p"):
-                stack.append(new)
+                _nest(stack, new)
+            else:
+                stack[-1].kids.append(new)
 
 
 def _close_implied(stack: list[Group], name: str) -> None:
@@ -194,6 +214,8 @@ def align(a: list[dict], b: list[dict]) -> list[dict]:
     ka, kb = [_key(x) for x in a], [_key(x) for x in b]
     if ka == kb:
         return [_merge(x, y) for x, y in zip(a, b)]
+    if len(a) * len(b) > CELLS:
+        return _repeats(_align_long(a, b, ka, kb))
     best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
     for i in range(len(a) - 1, -1, -1):
         for j in range(len(b) - 1, -1, -1):
@@ -212,6 +234,29 @@ def align(a: list[dict], b: list[dict]) -> list[dict]:
     return _repeats(out)
 
 
+def _align_long(a: list[dict], b: list[dict], ka: list[str], kb: list[str]) -> list[dict]:
+    """``align`` of long streams in time near their length: equal ends are merged; between them each item of ``b`` takes the first
+    item of its key in ``a`` that is not yet passed, unless that skips more items than are left beside it."""
+    n, m = len(a), len(b)
+    head = next((i for i in range(min(n, m)) if ka[i] != kb[i]), min(n, m))
+    tail = next((i for i in range(min(n, m) - head) if ka[n - 1 - i] != kb[m - 1 - i]), min(n, m) - head)
+    places: dict[str, list[int]] = {}
+    for i in range(head, n - tail):
+        places.setdefault(ka[i], []).append(i)
+    out, at = [_merge(x, y) for x, y in zip(a[:head], b[:head])], head
+    for j in range(head, m - tail):
+        here = places.get(kb[j], ())
+        k = bisect.bisect_left(here, at)
+        if k < len(here) and here[k] - at <= LOOK:
+            out += [x | {"o": 1} for x in a[at:here[k]]]
+            out.append(_merge(a[here[k]], b[j]))
+            at = here[k] + 1
+        else:
+            out.append(b[j] | {"o": 1})
+    out += [x | {"o": 1} for x in a[at:n - tail]]
+    return out + [_merge(x, y) for x, y in zip(a[n - tail:], b[m - tail:])]
+
+
 def expression(items: list[dict]) -> str:
     """The wrapper as a regular expression over tokens: #text slots, ( )? optional, ( )+ repeated."""
     out = []
