@@ -6,7 +6,7 @@ the others are revisits without the payload that name it. Only digests held more
 back, broadcast behind a check of their number and shuffled beyond it, so the html itself stays
 where it was read. The text writer ends every line with CRLF CRLF, which is how a record ends.
 
-Reading. Tasks scan whole archive files (bounded by ``records_per_file`` when written here) for the
+Reading. Tasks scan whole archive files (bounded in records and bytes when written here) for the
 record magic and emit every candidate with the offset of its successor. The magic may stand inside
 a payload, so candidates are grouped per file and pointers are jumped from the file's start
 (distances 1, 2, 4, ...): only what the chain reaches is a record.
@@ -36,7 +36,8 @@ CRLF = "\r\n"
 RECORD_END = "\r\n\r\n"
 DATE = "2025-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-RECORDS_PER_FILE = 4096
+RECORDS_PER_FILE, FILE_BYTES = 4096, 1 << 26
+HEADER_BYTES = 1024  # about what a record adds to its payload
 BROADCAST_ROWS = 200_000  # repeated digests (28 bytes each) that may be broadcast
 
 
@@ -64,9 +65,27 @@ def plan_records(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
                          F.when(~own, F.col("first_id")).alias("refers_to"))
 
 
-def write_archives(pages: DataFrame, path: str, min_bytes: int = 0, records_per_file: int = RECORDS_PER_FILE) -> None:
-    """Write a WARC record per page below ``path``."""
+def _size_class(records_per_file: int, file_bytes: int) -> tuple[F.Column, list[int]]:
+    """Class of a record by its size, and how many records of each class a file may hold: as many as fit in ``file_bytes``, a
+    sixteenth per class, in the last class one of any size."""
+    per_file = [records_per_file]
+    while per_file[-1] > 1:
+        per_file.append(max(1, per_file[-1] // 16))
+    size = F.col("n_bytes") + HEADER_BYTES
+    out = F.lit(len(per_file) - 1)
+    for k in range(len(per_file) - 2, -1, -1):
+        out = F.when(size <= file_bytes // per_file[k], F.lit(k)).otherwise(out)
+    return out, per_file
+
+
+def write_archives(pages: DataFrame, path: str, min_bytes: int = 0, records_per_file: int = RECORDS_PER_FILE,
+                   file_bytes: int = FILE_BYTES) -> None:
+    """Write a WARC record per page below ``path``. A file holds at most ``records_per_file`` records and about ``file_bytes``
+    bytes, or a single record that is larger: records are written by size class, with fewer records a file the larger they are."""
     p = plan_records(pages, min_bytes)
+    size_class, per_file = _size_class(records_per_file, file_bytes)
+    present = [r[0] for r in pages.select(F.coalesce(F.octet_length(F.col("html").cast("string")), F.lit(0)).cast("long").alias("n_bytes"))
+               .groupBy(size_class.alias("c")).count().collect()] or [0]
     revisit = F.col("refers_to").isNotNull()
     header = lambda name, value: F.concat(F.lit(f"{name}: "), value, F.lit(CRLF))
     page = lambda c: F.concat(F.lit("<urn:page:"), F.coalesce(F.col(c).cast("string"), F.lit("")), F.lit(">"))
@@ -86,8 +105,9 @@ def write_archives(pages: DataFrame, path: str, min_bytes: int = 0, records_per_
         header("Content-Type", F.lit("application/http; msgtype=response")),
         header("Content-Length", F.octet_length(block).cast("string")),
         F.lit(CRLF), block)
-    (p.select(record.alias("value")).write.option("lineSep", RECORD_END)
-     .option("maxRecordsPerFile", records_per_file).text(path))
+    for k in sorted(present):   # few classes, mostly one
+        (p.filter(size_class == k).select(record.alias("value")).write.option("lineSep", RECORD_END)
+         .option("maxRecordsPerFile", per_file[k]).text(f"{path}/size{k}"))
 
 
 _FIELD = re.compile(rb"([A-Za-z-]+):[ \t]*([^\r\n]*)\r\n")
