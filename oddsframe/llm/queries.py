@@ -97,9 +97,9 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op6_minhash")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """MinHash fingerprints of all documents, their edited texts and their next documents."""
+    """MinHash fingerprints of all documents, their edited texts and their next documents; classes of near copies."""
     return minhash.edited_fingerprints(read_table(spark, sf_dir, "documents", "doc_id", "text")).select(
-        "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next")
+        "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next", "class_id")
 
 
 @query("op7_sentencepiece")
