@@ -301,8 +301,9 @@ def classes(texts: DataFrame, signed: DataFrame, shingle: int = SHINGLE, similar
     pairs = nodes.select("node", F.explode(F.array(*names)).alias("key"))
     shared = pairs.groupBy("key").agg(F.min("node").alias("pivot"), F.max("node").alias("last"), F.count(F.lit(1)).alias("n"))
     held = materialise(pairs.join(shared.filter("pivot < last").select("key", "pivot"), "key"), "minhash-held")
-    mine = materialise(texts.join(held.select("node").distinct(), "node", "left_semi").groupBy("node").agg(F.min("text").alias("text")),
-                       "minhash-candidates")
+    # a written table has a measured size: while it is small, Spark broadcasts it and texts outside groups are not shuffled
+    wanted = materialise(held.select("node").distinct(), "minhash-wanted")
+    mine = materialise(texts.join(wanted, "node", "left_semi").groupBy("node").agg(F.min("text").alias("text")), "minhash-candidates")
     links = held.filter("node <> pivot").select("pivot", "node").distinct()
     subs = links.groupBy("pivot").agg(_cut(F.count(F.lit(1)), MET).alias("subs"))
     met = links.join(subs, "pivot").select(F.col("pivot").alias("key"), F.lit(0).alias("part"), F.pmod(F.xxhash64("node"), F.col("subs")).cast("int").alias("sub"),
