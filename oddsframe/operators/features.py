@@ -5,8 +5,10 @@ market features and history columns. ``resolve`` follows the names down to colum
 a set of vectors needs; ``feature_frame`` builds each of these once, however many vectors and features use it, and joins them to
 the matches; ``assemble`` evaluates the vectors of each match's league in their order.
 
-The matches are written to the shared checkpoint folder once: every history table starts from there. History tables are
-keyed by team and kick-off and joined on these, so a team with a third of all matches is no hot key.
+The matches are written to the shared checkpoint folder once: every history table starts from there, and its statistics per match
+are written too, as are the joined columns. So no plan holds more than one history table, and the driver plans, replans and keeps
+metrics of a few stages at a time. History tables are keyed by team and kick-off and joined on these, so a team with a third of all
+matches is no hot key.
 """
 
 from __future__ import annotations
@@ -117,42 +119,47 @@ def feature_frame(spark: SparkSession, frame: DataFrame, vectors: list[Vector],
     """``frame`` (a match frame) with all market features and the history columns that ``vectors`` reach.
 
     ``seen`` says from which matches team codes are learnt (played ones unless given)."""
-    m = frame.transform(stored, "features")
+    return feature_columns(spark, frame.transform(stored, "features"), vectors, seen)
+
+
+def feature_columns(spark: SparkSession, m: DataFrame, vectors: list[Vector], seen: Column | None = None) -> DataFrame:
+    """``feature_frame`` of a match frame that is written already."""
     need = history_needed(vectors)
     base = m.select("event_id", "event_type_id", "start_time", "home_id", "away_id")
-    out = m.select("*", *[c for group in market.GROUPS.values() for c in group()])
-    long, flipped = M.team_long(m), M.team_long(m, with_flipped_venues=True)
+    out = m
     for kind, n in dict.fromkeys(TABLES[t] for t in TABLES if t in need):
         mine = {t for t in need if TABLES[t] == (kind, n)}
         stats = set().union(*(need[t] for t in mine))
         if kind == "team":
             name = mine.copy().pop()
+            long = M.team_long(m)
             table = H.expanding_table(long, H.LEAGUE_TEAM) if n is None else H.last_n_table(long, H.LEAGUE_TEAM, n)
             side = _with_rates(H.two_sided(base, table, pfx=(f"home_{name}", f"away_{name}")), [f"home_{name}", f"away_{name}"], stats)
         elif kind == "venue":
+            flipped = M.team_long(m, with_flipped_venues=True)
             table = (H.expanding_table(flipped, H.LEAGUE_TEAM_VENUE) if n is None
                      else H.last_n_table(flipped, H.LEAGUE_TEAM_VENUE, n))
             looked = _both(H.lookup_sides(base, table, _venue_sides(mine, n)), mine, n)
             side = _with_rates(looked, [f"{s}_{t}" for s in ("home", "away") for t in sorted(mine)], stats)
         elif kind == "joint":
-            joint = H.joint_recent(long, m)
+            joint = H.joint_recent(M.team_long(m), m)
             side = joint.select("event_id", *[div(F.col(f"_{s[0]}{v}"), F.col(f"{s}_n")).alias(f"{s}_joint_{stat}")
                                               for s in ("home", "away") for v, stat in (("gf", "scored"), ("ga", "conceded"))])
         else:
             codes = encode_teams(m, M.is_played() if seen is None else seen)
             side = codes.select("event_id", F.col("home_idx").alias("home_team_code"), F.col("away_idx").alias("away_team_code"))
-        out = out.join(side, "event_id", "left")
-    return out
+        out = out.join(side.transform(stored, "history"), "event_id", "left")
+    # market features are sums and quotients of the row's own columns: they are computed where they are read and never shuffled
+    known = out if out is m else out.transform(stored, "features")
+    return known.select("*", *[c for group in market.GROUPS.values() for c in group()])
 
 
-def values(vector: Vector) -> list[Column]:
+def values(vector: Vector) -> Column:
     """The vector's features as doubles, in order; infinite and undefined values count as missing."""
-    cols = []
-    for e in vector.expressions:
-        x = F.expr(e).cast("double")
-        x = F.when(F.isnan(x) | F.abs(x).eqNullSafe(F.lit(float("inf"))), F.lit(None)).otherwise(x)
-        cols.append(x if vector.fill is None else F.coalesce(x, F.lit(vector.fill)))
-    return cols
+    cells = F.array(*[F.expr(e).cast("double") for e in vector.expressions])
+    # one check over the array: a check per feature would hold the text of each feature several times
+    finite = lambda x: F.when(F.abs(x) < F.lit(float("inf")), x)
+    return F.transform(cells, finite if vector.fill is None else lambda x: F.coalesce(finite(x), F.lit(vector.fill)))
 
 
 def assemble(frame: DataFrame, vectors: list[Vector], of_league: dict[int, tuple[str, ...]]) -> DataFrame:
@@ -161,5 +168,5 @@ def assemble(frame: DataFrame, vectors: list[Vector], of_league: dict[int, tuple
     rows = F.lit(None)
     for league, names in sorted(of_league.items()):
         rows = F.when(F.col("event_type_id") == league, F.array(*[
-            F.struct(F.lit(n).alias("vector"), F.array(*values(by_name[n])).alias("values")) for n in names])).otherwise(rows)
+            F.struct(F.lit(n).alias("vector"), values(by_name[n]).alias("values")) for n in names])).otherwise(rows)
     return frame.select("event_id", F.inline(rows))

@@ -107,3 +107,21 @@ def test_vectors_by_hand(spark):
         assert _close(w["norm_over_prob"], FILL["nwsl"] if oo is None else (1 / oo) / (1 / oo + 1 / uo))
         u = got[r[0], "u21"]
         assert _close(u["odds_ratio"], (oo or 1.8) / (uo or 1.8)) and _close(u["cap_norm"], ((cap or 2.75) - 2.5) / 1.5)
+
+
+def test_driver_plans_no_more_than_one_history_table_at_a_time(spark):
+    """The joined columns are written: what is assembled from them has no join or shuffle left, and a feature's text is in it once."""
+    by = {v.name: v for v in RESOLVED}
+    frame = FT.feature_frame(spark, spark.createDataFrame(_matches(), FRAME), RESOLVED)
+    rows = FT.assemble(frame, RESOLVED, {1: ("turkey", "mexico")})
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "Aggregate" not in plan and "Window" not in plan
+    cells = FT.values(by["vietnam"])
+    assert str(cells).count("over_under_cap") == sum(e.count("over_under_cap") for e in by["vietnam"].expressions)
+
+
+def test_values_without_a_number_are_missing(spark):
+    odd = FT.resolve("odd", "a = cast('inf' as double)\nb = -cast('inf' as double)\nc = cast('nan' as double)\nd = cast(null as double)\ne = 1")
+    filled = FT.Vector("filled", odd.features, odd.expressions, 0.5)
+    got = spark.range(1).select(FT.values(odd).alias("a"), FT.values(filled).alias("b")).first()
+    assert list(got.a) == [None, None, None, None, 1.0] and list(got.b) == [0.5, 0.5, 0.5, 0.5, 1.0]
