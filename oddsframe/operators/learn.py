@@ -69,11 +69,12 @@ def history_columns(spark: SparkSession, mf: DataFrame) -> DataFrame:
                      ((F.col("home_over_rate") + F.col("away_over_rate")) / 2).alias("avg_over_rate"))
 
 
-def train_frame(spark: SparkSession, t: Tables, with_history: bool = False) -> DataFrame:
+def train_frame(spark: SparkSession, t: Tables, with_history: bool = False, matches: DataFrame | None = None) -> DataFrame:
     """Played matches with an O/U quote from before the kick-off and a season window: label +
-    features. Later quotes are never seen, nor are they in the caps of the history."""
+    features. Later quotes are never seen, nor are they in the caps of the history.
+    ``matches``: a written frame with such quotes, if there is one."""
     # written once: positions and folds read the matches many times over
-    mf = stored(M.match_asof(t), "asof-matches")
+    mf = stored(M.match_asof(t), "asof-matches") if matches is None else matches
     base = (mf.filter(M.is_played() & F.col("over_odd").isNotNull())
               .select("event_id", "event_type_id", "start_time", "home_ft_score", "away_ft_score",
                       "over_odd", "under_odd", "over_under_cap", *market_columns(),
@@ -116,9 +117,10 @@ def gated(split: DataFrame, min_n: int | Column | None = None) -> DataFrame:
     return split.filter(F.col("n_window") >= (window_min() if min_n is None else min_n))
 
 
-def league_sizes(t: Tables) -> DataFrame:
-    """``(event_type_id, n_league)``: completed matches of a league with an O/U quote from before the kick-off."""
-    return (M.match_asof(t).filter(M.is_played() & F.col("over_odd").isNotNull())
+def league_sizes(t: Tables, matches: DataFrame | None = None) -> DataFrame:
+    """``(event_type_id, n_league)``: completed matches of a league with an O/U quote from before the kick-off (``matches``: a
+    written frame with such quotes, if there is one)."""
+    return ((M.match_asof(t) if matches is None else matches).filter(M.is_played() & F.col("over_odd").isNotNull())
             .groupBy("event_type_id").agg(F.count(F.lit(1)).alias("n_league")))
 
 

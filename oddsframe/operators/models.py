@@ -42,11 +42,12 @@ def vector_rows(spark: SparkSession, t: Tables, vectors: list[FT.Vector], of_lea
     """Split rows of the windows and leagues that pass their gates, with ``x`` (the league's vector, missing values 0) and ``y``; quotes and history from
     before the kick-off only."""
     used = [v for v in vectors if v.name in of_league.values()]
-    frame = FT.feature_frame(spark, M.match_frame(t, quote_policy="asof"), used)
-    x = FT.assemble(frame, used, {league: (name,) for league, name in of_league.items()}).select(
-        "event_id", F.transform("values", lambda v: F.coalesce(v, F.lit(0.0))).alias("x"))
-    large = L.league_sizes(t).filter(F.col("n_league") >= config.LEAGUE_MIN_MATCHES)
-    split = L.gated(L.chrono_split(L.train_frame(spark, t))).join(large, "event_type_id", "left_semi")
+    # the matches are written once, for the vectors, the split and the league gate
+    m = M.match_frame(t, quote_policy="asof").transform(stored, "asof-matches")
+    x = FT.assemble(FT.feature_columns(spark, m, used), used, {league: (name,) for league, name in of_league.items()}).select(
+        "event_id", F.transform("values", lambda v: F.coalesce(v, F.lit(0.0))).alias("x")).transform(stored, "vectors")
+    large = L.league_sizes(t, m).filter(F.col("n_league") >= config.LEAGUE_MIN_MATCHES)
+    split = L.gated(L.chrono_split(L.train_frame(spark, t, matches=m))).join(large, "event_type_id", "left_semi")
     return split.join(x, "event_id").withColumn("y", F.col("label_over")).transform(stored, "models")
 
 

@@ -139,3 +139,18 @@ def test_test_rows_are_never_read(spark, fitted):
     same = lambda rows: sorted((r.event_id, r.fold, r.y, r.x, [round(v, 9) for v in r.z]) for r in rows)
     assert same(ready.collect()) == same(fitted["ready"])
     assert sorted((r.event_type_id, r.chosen) for r in chosen.collect()) == sorted((r.event_type_id, r.chosen) for r in fitted["chosen"])
+
+
+def test_given_matches_are_not_read_again(spark):
+    """The split and the league gate of vector rows start from the written matches; both give what the tables give."""
+    from oddsframe.operators import learn as L
+    from oddsframe.operators import matches as M
+    from oddsframe.session import stored
+    from oddsframe.sources.tables import fixture_tables
+    t = fixture_tables(spark, "/root/testdata/sf0.001")
+    m = M.match_frame(t, quote_policy="asof").transform(stored, "test")
+    frame = L.train_frame(spark, t, matches=m)
+    plan = frame._jdf.queryExecution().optimizedPlan().toString()
+    assert "l_orderkey" not in plan and "Aggregate" not in plan
+    assert sorted(map(tuple, frame.collect())) == sorted(map(tuple, L.train_frame(spark, t).collect()))
+    assert sorted(map(tuple, L.league_sizes(t, m).collect())) == sorted(map(tuple, L.league_sizes(t).collect()))
