@@ -10,6 +10,9 @@ scores. Integer scores are taken only of rows whose interval meets a window that
 2. negatives: rows of other labels whose interval meets the score window of one of the anchor's positives.
 
 Nothing is dropped without this proof, whatever the references are; they only decide how many rows are scored.
+Rows of a shard are held in cells of one label, a nearest reference and near angles to it. A cell's interval holds those of all its
+rows, so a whole cell is met or left out at once, and the anchors that meet it are scored against it in one product. Where a score
+may pass 2^53, rows are bounded one by one and scored as Python integers instead.
 Anchors are met in blocks of ``ANCHOR_ROWS`` by shards of about ``SHARD_ROWS`` rows dealt by row number, so a label that
 holds a third of all rows is split like any other. The best of every shard are merged per anchor (and positive).
 
@@ -35,6 +38,7 @@ from oddsframe.llm.integer_scores import EXACT, as_long, as_text, largest, produ
 SHARD_ROWS, ANCHOR_ROWS = 16384, 512
 REFERENCES, SAMPLE = 16, 1024   # reference directions of a length, and rows from which they are chosen
 SLACK = 1e-6                    # radians: arccos loses half the digits near 0 and pi
+CELL_ROWS = 128                 # rows that are bounded together
 FIRST = 64                      # rows scored at once when positives are looked for
 
 
@@ -133,6 +137,79 @@ class Shard:
         return found
 
 
+class Cells:
+    """Rows of one shard in cells of one label and near angles, each with the interval of its rows' norms and angles."""
+
+    def __init__(self, rows: pd.DataFrame) -> None:
+        held, labels = np.stack(rows["angles"].to_list()).astype(np.float64), rows["label"].to_numpy().astype(str)
+        near = held.argmin(axis=1) if held.shape[1] else np.zeros(len(rows), dtype=np.int64)
+        angle = held[np.arange(len(rows)), near] if held.shape[1] else np.zeros(len(rows))
+        order = np.lexsort((angle, near, labels))
+        held, labels = held[order], labels[order]
+        self.ids, self.x = rows["vec_id"].to_numpy()[order], np.stack(rows["x"].to_list()).astype(np.float64)[order]
+        self.size = float(np.abs(self.x).max())
+        norms = rows["norm"].to_numpy()[order]
+        edge = np.flatnonzero(np.r_[True, labels[1:] != labels[:-1], True])
+        self.starts = np.concatenate([np.arange(a, b, CELL_ROWS) for a, b in zip(edge[:-1], edge[1:])])
+        self.ends = np.r_[self.starts[1:], len(labels)]
+        self.labels = labels[self.starts]
+        self.held = np.minimum.reduceat(held, self.starts, axis=0), np.maximum.reduceat(held, self.starts, axis=0)
+        self.norms = np.minimum.reduceat(norms, self.starts), np.maximum.reduceat(norms, self.starts)
+
+    def exact(self, q: np.ndarray) -> bool:
+        """Whether every product and sum with the rows of ``q`` is exact in doubles."""
+        return self.x.shape[1] * self.size * float(np.abs(q).max()) < EXACT and self.x.shape[1] * max(self.size, float(np.abs(q).max())) ** 2 < EXACT
+
+    def bounds(self, norm: np.ndarray, angle: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Least and greatest score that a row of a cell can have with an anchor, (anchors, cells)."""
+        small, large = (n[None] * norm[:, None] for n in self.norms)
+        if not angle.shape[1]:
+            return -large - large * 1e-9 - 1.0, large + large * 1e-9 + 1.0
+        least, most = np.zeros(large.shape), np.full(large.shape, math.pi)
+        for r in range(angle.shape[1]):
+            a, lo, hi = angle[:, r, None], self.held[0][None, :, r], self.held[1][None, :, r]
+            least = np.maximum(least, np.maximum(lo - a, a - hi) - 2 * SLACK)
+            most = np.minimum(most, np.minimum(hi + a, 2 * math.pi - lo - a) + 2 * SLACK)
+        near, far, room = np.cos(least), np.cos(np.minimum(most, math.pi)), large * 1e-9 + 1.0
+        return np.minimum(far * small, far * large) - room, np.maximum(near * small, near * large) + room
+
+    def best(self, q: np.ndarray, own: np.ndarray, allowed: np.ndarray, low: np.ndarray, high: np.ndarray, least: np.ndarray,
+             most: np.ndarray, k: int) -> tuple[np.ndarray, ...]:
+        """``(anchor, window, id, score)`` of the best k rows of every anchor and window, best first. A cell is left out once its
+        interval meets no window, or lies under the k-th best score of each."""
+        floor = np.where(least <= most, least, np.inf)
+        at, win, ids, scores = (np.zeros(0, dtype=t) for t in (np.int64, np.int64, self.ids.dtype, np.float64))
+        for c in np.argsort(-high.max(axis=0), kind="stable"):
+            meets = np.flatnonzero(allowed[:, c] & ((high[:, c, None] >= floor) & (low[:, c, None] <= most)).any(axis=1))
+            if not len(meets):
+                continue
+            here = slice(self.starts[c], self.ends[c])
+            s = q[meets] @ self.x[here].T
+            i, r = np.nonzero((s >= floor[meets].min(axis=1)[:, None]) & (s <= most[meets].max(axis=1)[:, None])
+                              & (self.ids[here][None] != own[meets][:, None]))
+            found, a, one = s[i, r], meets[i], self.ids[here][r]
+            i, j = np.nonzero((found[:, None] >= floor[a]) & (found[:, None] <= most[a]))
+            if not len(i):
+                continue
+            at, win = np.r_[at, a[i]], np.r_[win, j]
+            ids, scores = np.r_[ids, one[i]], np.r_[scores, found[i]]
+            order = np.lexsort((ids, -scores, win, at))
+            at, win, ids, scores = at[order], win[order], ids[order], scores[order]
+            first = np.flatnonzero(np.r_[True, (at[1:] != at[:-1]) | (win[1:] != win[:-1])])
+            rank = np.arange(len(at)) - np.repeat(first, np.diff(np.r_[first, len(at)]))
+            full = rank == k - 1
+            floor[at[full], win[full]] = scores[full]
+            at, win, ids, scores = (v[rank < k] for v in (at, win, ids, scores))
+        return at, win, ids, scores
+
+
+def _cells(rows: pd.DataFrame, anchors: pd.DataFrame):
+    """The shard in cells and the anchors' vectors, or nothing where a score may not be exact in doubles."""
+    q = np.stack(anchors["x"].to_list()).astype(np.float64)
+    cells = Cells(rows)
+    return (cells, q, *cells.bounds(anchors["norm"].to_numpy(), np.stack(anchors["angles"].to_list()).astype(np.float64))) if cells.exact(q) else None
+
+
 def _windows(scores, low: int, high: int) -> list[tuple[int, int]]:
     """Whole scores s with low * p <= 100 * s <= high * p, for each positive score p."""
     return [(-((-low * int(p)) // 100), (high * int(p)) // 100) for p in scores]
@@ -141,7 +218,14 @@ def _windows(scores, low: int, high: int) -> list[tuple[int, int]]:
 def _positives(k: int):
     def run(rows: pd.DataFrame, anchors: pd.DataFrame) -> pd.DataFrame:
         out = []
-        if len(rows) and len(anchors):
+        met = _cells(rows, anchors) if len(rows) and len(anchors) else None
+        if met:
+            cells, q, low, high = met
+            mine = anchors["label"].to_numpy().astype(str)[:, None] == cells.labels[None]
+            every = np.full((len(q), 1), np.inf)
+            at, _, ids, scores = cells.best(q, anchors["vec_id"].to_numpy(), mine, low, high, -every, every, k)
+            out = [(key, int(i), as_text(s)) for key, i, s in zip(anchors["anchor_key"].to_numpy()[at], ids, scores)]
+        elif len(rows) and len(anchors):
             shard = Shard(rows)
             for a in anchors.itertuples(index=False):
                 out += [(a.anchor_key, i, as_text(s)) for i, s in shard.positives(a, k)]
@@ -152,7 +236,18 @@ def _positives(k: int):
 def _negatives(k: int, low: int, high: int):
     def run(rows: pd.DataFrame, anchors: pd.DataFrame) -> pd.DataFrame:
         out = []
-        if len(rows) and len(anchors):
+        met = _cells(rows, anchors) if len(rows) and len(anchors) else None
+        if met:
+            cells, q, lowest, highest = met
+            other = anchors["label"].to_numpy().astype(str)[:, None] != cells.labels[None]
+            windows = [_windows([p["score"] for p in a], low, high) for a in anchors["positives"]]
+            least, most = np.full((len(q), max(map(len, windows))), np.inf), np.full((len(q), max(map(len, windows))), -np.inf)
+            for n, of_anchor in enumerate(windows):
+                for j, (a, b) in enumerate(of_anchor):
+                    least[n, j], most[n, j] = a, b
+            at, win, ids, scores = cells.best(q, anchors["vec_id"].to_numpy(), other, lowest, highest, least, most, k)
+            out = [(key, int(n), int(i), as_text(s)) for key, n, i, s in zip(anchors["anchor_key"].to_numpy()[at], win, ids, scores)]
+        elif len(rows) and len(anchors):
             shard = Shard(rows)
             for a in anchors.itertuples(index=False):
                 found = shard.negatives(a, _windows([p["score"] for p in a.positives], low, high), k)

@@ -265,3 +265,34 @@ def test_whitening_edges(spark):
     by = {(r.vec_id, r.component): r for r in two}
     assert by[1, 1].n == 2 and by[3, 1].n == 3 and abs(abs(by[1, 1].whitened) - 1) < 1e-12 and by[1, 2].whitened is None
     assert by[5, 1].deviation is None and len(two) == 4 + 9
+
+
+def test_cells_give_what_single_rows_give():
+    """Cells of rows (scores in one product) against rows bounded one by one, with ties, repeated rows and all labels."""
+    import numpy as np
+    import pandas as pd
+
+    from oddsframe.llm import hard_negatives as HN
+    rng = np.random.default_rng(5)
+    x = np.floor(rng.normal(size=(900, 6)) * 3 + np.repeat(rng.normal(size=(9, 6)) * 6, 100, axis=0))
+    x[7] = 0
+    x[50:60] = x[40]
+    refs = HN.references(x.tolist(), 5)[6]
+    rows = pd.DataFrame({"vec_id": np.r_[np.arange(899), 5], "label": rng.integers(0, 3, 900).astype(str), "x": list(x),
+                         "norm": np.linalg.norm(x, axis=1), "angles": list(HN.angles(x, refs))})
+    anchors = rows.iloc[::30].assign(anchor_key=np.arange(30))
+    shard, old = HN.Shard(rows), HN.CELL_ROWS
+    HN.CELL_ROWS = 16
+    try:
+        got = HN._positives(4)(rows, anchors)
+        want = [(a.anchor_key, i, str(s)) for a in anchors.itertuples() for i, s in shard.positives(a, 4)]
+        assert list(got.itertuples(index=False, name=None)) == want
+        anchors["positives"] = [[{"score": s} for k, _, s in want if k == key] for key in anchors["anchor_key"]]
+        got = HN._negatives(3, 50, 95)(rows, anchors)
+        want = [(a.anchor_key, n, i, str(s)) for a in anchors.itertuples()
+                for n, hits in enumerate(shard.negatives(a, HN._windows([p["score"] for p in a.positives], 50, 95), 3)) for i, s in hits]
+        assert want and list(got.itertuples(index=False, name=None)) == want
+    finally:
+        HN.CELL_ROWS = old
+    cells = HN.Cells(rows)
+    assert all(len(set(rows.label[rows.vec_id.isin(cells.ids[a:b])])) >= 1 and b - a <= old for a, b in zip(cells.starts, cells.ends))
