@@ -250,7 +250,7 @@ INTERCEPT_RIDGE = 1e-6   # tiny ridge on the intercept (a one-class group would
 def fit_logistic_groups(spark: SparkSession, data: DataFrame, keys: list[str], features: list[str],
                         label: str = "label_over", c_reg: float = 1.0, max_iter: int = 25,
                         tol: float = 1e-9, checkpoint_input: bool = True,
-                        c_col: str | None = None) -> DataFrame:
+                        c_col: str | None = None, grid: Column | None = None, held_out: tuple[str, str] | None = None) -> DataFrame:
     """L2-regularised logistic regression (intercept unpenalised, penalty |w|^2 / 2C) for
     every group at once, on already standardised columns ``z_<feature>``.
 
@@ -263,12 +263,26 @@ def fit_logistic_groups(spark: SparkSession, data: DataFrame, keys: list[str], f
     with the iterations. ``c_col`` names a group-key column holding each group's C, so
     a whole C grid is fitted in the same loop.
 
+    ``grid`` is an array of structs whose fields are further keys: every row takes part in the group of each entry, but
+    for those whose ``held_out`` fold (row column, grid field) is the row's own. Rows are kept once, not once per entry: the
+    first step spreads them inside its tasks, later ones as they meet the coefficients of all entries of their group.
+    These (a row per group and entry) are broadcast, so no step shuffles rows, only each task's sums.
+
     ``converged`` is False for a group whose system had no finite solution, or whose last
     step was not under ``tol``."""
     assert_no_leakage(features)
     d = len(features)
+    own_keys = list(keys)   # keys that a row itself holds
     key_types = {f.name: f.dataType.simpleString() for f in data.schema.fields}
-    rows = data.select(*keys, *[F.col(f"z_{f}").alias(f"x{i + 1}") for i, f in enumerate(features)],
+    spread = lambda df: df
+    if grid is not None:
+        fields = data.select(F.inline(grid)).schema.fields
+        key_types |= {f.name: f.dataType.simpleString() for f in fields}
+        keys = own_keys + [f.name for f in fields]
+    fold = [] if held_out is None else [held_out[0]]
+    if held_out is not None:
+        spread = lambda df: df.filter(F.col(held_out[0]) != F.col(held_out[1]))
+    rows = data.select(*own_keys, *fold, *[F.col(f"z_{f}").alias(f"x{i + 1}") for i, f in enumerate(features)],
                        F.col(label).cast("double").alias("y"))
     if checkpoint_input:
         checkpoint_dir(spark)
@@ -323,12 +337,15 @@ def fit_logistic_groups(spark: SparkSession, data: DataFrame, keys: list[str], f
     for it in range(max_iter):
         iters = it + 1
         if it == 0:
-            scored = rows.select("*", F.lit(0.5).alias("p"), F.lit(False).alias("failed"),
+            every = rows if grid is None else spread(rows.select("*", F.inline(grid)))
+            scored = every.select("*", F.lit(0.5).alias("p"), F.lit(False).alias("failed"),
                                  *[F.lit(0.0).alias(b) for b in betas])
         else:
             eta = sum((F.col(b) * x for b, x in zip(betas, xs)), F.lit(0.0))
             eta = F.least(F.greatest(eta, F.lit(-ETA_CLIP)), F.lit(ETA_CLIP))  # no exp overflow
-            scored = rows.join(coefs.drop("n", "step"), keys, "inner").withColumn(
+            known = coefs.drop("n", "step")
+            met = rows.join(known, keys, "inner") if grid is None else spread(rows.join(F.broadcast(known), own_keys, "inner"))
+            scored = met.withColumn(
                 "p", F.lit(1.0) / (F.lit(1.0) + F.exp(-eta)))
         coefs = newton_sums(scored).mapInPandas(solve, solved_schema).checkpoint()
         if coefs.filter(F.col("step") >= tol).isEmpty():

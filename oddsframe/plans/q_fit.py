@@ -53,9 +53,8 @@ def logistic_registry(spark, d, features=L.FEATURES, name="logistic_l2"):
     # fold -1 = all train rows: the final model of every C is fitted in the same loop
     grid = F.array(*[F.struct(F.lit(c).alias("c_reg"), F.lit(f).alias("cv_fold"))
                      for c in C_GRID for f in range(-1, N_FOLDS)])
-    rep = (z.select("*", F.inline(grid)).filter(F.col("cv_fold") != F.col("fold")))
-    cv_keys = L.WKEYS + ["c_reg", "cv_fold"]
-    all_coefs = L.fit_logistic_groups(spark, rep, cv_keys, features, c_col="c_reg", checkpoint_input=False)
+    all_coefs = L.fit_logistic_groups(spark, z, L.WKEYS, features, c_col="c_reg", checkpoint_input=False, grid=grid,
+                                      held_out=("fold", "cv_fold"))
     cv_coefs = all_coefs.filter(F.col("cv_fold") >= 0)
     held = z.join(F.broadcast(cv_coefs.withColumnRenamed("cv_fold", "fold")), L.WKEYS + ["fold"])
     correct = ((_logit("coef", "intercept", features) >= 0.5).cast("int") == F.col("label_over")).cast("double")
@@ -187,8 +186,8 @@ def feature_sets(spark, d):
         zz = zz.withColumn(f"z_{f}", F.when(F.col("set_id").isin(member), F.col(f"z_{f}")).otherwise(F.lit(0.0)))
     keys = L.WKEYS + ["set_id"]
     zz = zz.checkpoint()
-    kept = zz.withColumn("cv_fold", F.explode(F.array(*[F.lit(k) for k in range(N_FOLDS)]))).filter("cv_fold <> fold")
-    coefs = L.fit_logistic_groups(spark, kept, keys + ["cv_fold"], feats, checkpoint_input=False)
+    grid = F.array(*[F.struct(F.lit(k).alias("cv_fold")) for k in range(N_FOLDS)])
+    coefs = L.fit_logistic_groups(spark, zz, keys, feats, checkpoint_input=False, grid=grid, held_out=("fold", "cv_fold"))
     scored = (zz.withColumnRenamed("fold", "cv_fold").join(coefs, keys + ["cv_fold"])
                 .withColumn("p", _logit("coef", "intercept", feats)))
     acc = (scored.groupBy(*keys).agg(F.avg(((F.col("p") >= 0.5).cast("int") == F.col("label_over")).cast("double"))

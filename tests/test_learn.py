@@ -99,3 +99,19 @@ def test_one_class_group_stays_finite(spark):
     got = {r.g: r for r in L.fit_logistic_groups(spark, df, ["g"], ["a", "b"]).collect()}
     assert np.isfinite(got[1].intercept) and got[1].intercept > 5
     assert all(np.isfinite(c) for r in got.values() for c in r.coef)
+
+
+def test_grid_of_held_out_folds_equals_copied_rows(spark):
+    """One fit per (C, held-out fold) on rows kept once is the fit on a copy of the rows for each; no step shuffles rows."""
+    rng = np.random.default_rng(3)
+    rows = [(int(i % 2), int(i % 3), float(a), float(b), int(a + rng.normal() > 0)) for i, (a, b) in enumerate(rng.normal(size=(240, 2)))]
+    df = spark.createDataFrame(rows, "g int, fold int, z_a double, z_b double, label_over int")
+    grid = F.array(*[F.struct(F.lit(c).alias("c_reg"), F.lit(f).alias("cv_fold")) for c in (0.1, 1.0) for f in (-1, 0, 1, 2)])
+    copies = df.select("*", F.inline(grid)).filter("cv_fold <> fold")
+    keys = ["g", "c_reg", "cv_fold"]
+    want = {tuple(r[k] for k in keys): r for r in L.fit_logistic_groups(spark, copies, keys, ["a", "b"], c_col="c_reg").collect()}
+    got = L.fit_logistic_groups(spark, df, ["g"], ["a", "b"], c_col="c_reg", grid=grid, held_out=("fold", "cv_fold")).collect()
+    assert len(got) == len(want) == 16
+    for r in got:
+        w = want[tuple(r[k] for k in keys)]
+        assert r.converged and r.trained_n == w.trained_n and np.allclose([r.intercept, *r.coef], [w.intercept, *w.coef], atol=1e-9)
