@@ -14,12 +14,13 @@ from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from oddsframe import config
 from oddsframe.functions.helpers import div
+from oddsframe.operators import blocks as B
 from oddsframe.operators import features as FT
 from oddsframe.operators import learn as L
 from oddsframe.operators import matches as M
@@ -32,7 +33,6 @@ K_BEST, FOLDS = 20, 5
 C_GRID = (0.01, 0.1, 1.0, 10.0)
 FOREST = {"trees": 8, "depth": 3}
 BOOST = {"stages": 6, "depth": 2, "rate": 0.3}
-HELD = 4096                      # groups whose partial sums a task holds before it passes them on
 ETA = 35.0
 REGISTRY = ("feature_cols array<string>, mean array<double>, scale array<double>, coef array<double>, intercept double, "
             f"trees array<{T.TREE}>, base double, rate double")
@@ -93,75 +93,79 @@ def standardised(rows: DataFrame, scale: DataFrame, keys: list[str]) -> DataFram
 # Logistic regression on arrays: every candidate of a group in one pass
 # ---------------------------------------------------------------------------
 
+_CANDIDATE = {"candidate": pa.int32(), "fold": pa.int32(), "c": pa.float64(), "beta": pa.list_(pa.float64()), "n": pa.float64(), "failed": pa.bool_(),
+              "step": pa.float64()}
+CANDIDATE = "candidate int, fold int, c double, beta array<double>, n double, failed boolean, step double"
+
+
 def _sums(keys: list[str]):
-    """Per group and candidate: gradient and upper half of the Hessian, packed in one array."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: dict[tuple, np.ndarray] = {}
-        for pdf in batches:
-            for key, part in pdf.groupby(keys, sort=False):
-                x = np.column_stack([np.ones(len(part)), np.stack(part["z"].to_list())])
-                y, fold = part["y"].to_numpy(dtype=float), part["fold"].to_numpy()
-                upper = np.triu_indices(x.shape[1])
-                for c in part["candidates"].iloc[0]:
-                    w = fold != c["fold"]
-                    p = 1 / (1 + np.exp(-np.clip(x @ np.asarray(c["beta"], dtype=float), -ETA, ETA)))
-                    sums = np.concatenate([[w.sum()], x.T @ (w * (p - y)), ((x.T * (w * p * (1 - p))) @ x)[upper]])
-                    at = (*key, int(c["candidate"]))
-                    held[at] = held[at] + sums if at in held else sums
-            if len(held) > HELD:
-                yield pd.DataFrame([(*k, v) for k, v in held.items()], columns=[*keys, "candidate", "sums"])
-                held = {}
-        yield pd.DataFrame([(*k, v) for k, v in held.items()], columns=[*keys, "candidate", "sums"])
+    """Per group and candidate: number of rows, gradient and upper half of the Hessian, packed in one array."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for key, group in B.by_group(batches, keys):
+            asked, held = None, []
+            for block in group:
+                if asked is None:
+                    asked = block.value("candidates")
+                    betas = [np.asarray(c["beta"], dtype=float) for c in asked]
+                    held = [0.0] * len(asked)
+                x = np.concatenate([np.ones((1, block.value("n"))), block.matrix("z")])
+                y, fold = block.array("y").astype(float), block.array("fold")
+                upper = np.triu_indices(len(x))
+                part = {f: (x, y) if f == T.ALL else (np.ascontiguousarray(x[:, fold != f]), y[fold != f]) for f in {c["fold"] for c in asked}}
+                for i, c in enumerate(asked):
+                    xs, ys = part[c["fold"]]
+                    p = 1 / (1 + np.exp(-np.clip(betas[i] @ xs, -ETA, ETA)))
+                    held[i] = held[i] + np.concatenate([[len(ys)], xs @ (p - ys), ((xs * (p * (1 - p))) @ xs.T)[upper]])
+            types = block.types(keys) | {k: _CANDIDATE[k] for k in ("candidate", "fold", "c", "beta")} | {"sums": pa.list_(pa.float64())}
+            yield B.batch_of(types, [(*key, c["candidate"], c["fold"], c["c"], c["beta"], v.tolist()) for c, v in zip(asked, held)])
     return run
 
 
-def _newton(ridge: float):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            out = []
-            for sums, c, beta, failed in zip(pdf["sums"], pdf["c"], pdf["beta"], pdf["failed"]):
-                beta, sums = np.asarray(beta, dtype=float), np.asarray(sums, dtype=float)
-                m = len(beta)
-                hess = np.zeros((m, m))
-                hess[np.triu_indices(m)] = sums[1 + m:]
-                hess = hess + np.triu(hess, 1).T
-                pen = np.full(m, 1.0 / c)
-                pen[0] = ridge
-                try:
-                    step = np.linalg.solve(hess + np.diag(pen), sums[1:1 + m] + pen * beta)
-                except np.linalg.LinAlgError:
-                    step = np.full(m, np.nan)
-                bad = not np.isfinite(step).all()
-                out.append((beta if bad else beta - step, float(sums[0]), bool(failed or bad), 0.0 if bad else float(np.abs(step).max())))
-            new = pdf.drop(columns=["sums", "beta", "failed"]).reset_index(drop=True)
-            yield new.join(pd.DataFrame(out, columns=["beta", "n", "failed", "step"]))
+def _newton(keys: list[str], ridge: float):
+    """The step of a candidate from the sums of all tasks."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out, types = [], None
+        for key, group in B.by_group(batches, [*keys, "candidate"]):
+            sums = 0.0
+            for row in group:
+                sums = sums + np.asarray(row.value("sums"))
+            types = types or row.types(keys) | _CANDIDATE
+            beta, c = np.asarray(row.value("beta")), row.value("c")
+            m = len(beta)
+            hess = np.zeros((m, m))
+            hess[np.triu_indices(m)] = sums[1 + m:]
+            hess = hess + np.triu(hess, 1).T
+            pen = np.full(m, 1.0 / c)
+            pen[0] = ridge
+            try:
+                step = np.linalg.solve(hess + np.diag(pen), sums[1:1 + m] + pen * beta)
+            except np.linalg.LinAlgError:
+                step = np.full(m, np.nan)
+            bad = not np.isfinite(step).all()
+            out.append((*key, row.value("fold"), c, (beta if bad else beta - step).tolist(), float(sums[0]), bad, 0.0 if bad else float(np.abs(step).max())))
+        if out:
+            yield B.batch_of(types, out)
     return run
 
 
-def fit_logistic_arrays(rows: DataFrame, keys: list[str], candidates: list[tuple[int, float]], max_iter: int = 20, tol: float = 1e-8) -> DataFrame:
+def fit_logistic_arrays(blocks: DataFrame, keys: list[str], candidates: list[tuple[int, float]], max_iter: int = 20, tol: float = 1e-8) -> DataFrame:
     """``(*keys, candidate, fold, c, beta, n, failed, step)``: L2-regularised logistic regression (intercept free) of every group and
-    candidate (held-out fold or -1, C). ``rows``: keys, ``z``, ``y``, ``fold``.
+    candidate (held-out fold or -1, C). ``blocks``: of rows with ``z``, ``y``, ``fold``.
 
-    A Newton step reads each row once for all candidates of its group: tasks sum the packed Hessians of the groups they meet, the
-    sums are added entry by entry, and the small systems are solved where the sums are. Candidates whose step is under
+    A Newton step reads each block once for all candidates of its group: tasks sum the packed Hessians of the groups they meet, the
+    sums of all tasks are added and the small systems solved where they meet. Candidates whose step is under
     ``tol`` are not read again; only whether one is open reaches the driver."""
-    types = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
-    key_schema = ", ".join(f"{k} {types[k]}" for k in keys)
+    key_schema = B.key_schema(blocks, keys)
     grid = F.array(*[F.struct(F.lit(i).alias("candidate"), F.lit(f).alias("fold"), F.lit(c).alias("c")) for i, (f, c) in enumerate(candidates)])
-    state = (rows.groupBy(*keys).agg(F.max(F.size("z")).alias("d")).select(*keys, "d", F.inline(grid))
-             .select(*keys, "candidate", "fold", "c", F.array_repeat(F.lit(0.0), F.col("d") + 1).alias("beta"), F.lit(0.0).alias("n"),
-                     F.lit(False).alias("failed"), F.lit(float("inf")).alias("step")).transform(stored, "models"))
+    state = (blocks.groupBy(*keys).agg(F.max("d").alias("d")).select(*keys, "d", F.inline(grid))
+             .select(*keys, "candidate", "fold", "c", F.array_repeat(F.lit(0.0), F.col("d") + 1).alias("beta")).transform(stored, "models"))
     closed = None
     for _ in range(max_iter):
-        asked = state.groupBy(*keys).agg(F.collect_list(F.struct("candidate", "fold", "beta")).alias("candidates"))
-        partial = (rows.select(*keys, "z", "y", "fold").join(asked, keys)
-                   .mapInPandas(_sums(keys), f"{key_schema}, candidate int, sums array<double>"))
-        summed = (partial.select(*keys, "candidate", F.posexplode("sums").alias("at", "v")).groupBy(*keys, "candidate", "at")
-                  .agg(F.sum("v").alias("v")).groupBy(*keys, "candidate")
-                  .agg(F.transform(F.sort_array(F.collect_list(F.struct("at", "v"))), lambda s: s["v"]).alias("sums")))
-        moved = (state.drop("n", "step").join(summed, [*keys, "candidate"]).select(*keys, "candidate", "fold", "c", "sums", "beta", "failed")
-                 .mapInPandas(_newton(L.INTERCEPT_RIDGE), f"{key_schema}, candidate int, fold int, c double, beta array<double>, n double, "
-                                                          "failed boolean, step double").transform(stored, "models"))
+        # a row per group, its candidates: broadcast
+        asked = state.groupBy(*keys).agg(F.collect_list(F.struct("candidate", "fold", "c", "beta")).alias("candidates"))
+        partial = (blocks.select(*keys, "n", "d", "y", "fold", "z").join(F.broadcast(asked), keys)
+                   .mapInArrow(_sums(keys), f"{key_schema}, candidate int, fold int, c double, beta array<double>, sums array<double>"))
+        moved = B.brought_together(partial, [*keys, "candidate"]).mapInArrow(_newton(keys, L.INTERCEPT_RIDGE), f"{key_schema}, {CANDIDATE}").transform(stored, "models")
         still = (F.col("step") >= tol) & ~F.col("failed")
         finished = moved.filter(~still)
         closed = finished if closed is None else closed.unionByName(finished)
@@ -183,37 +187,60 @@ def linear_probability(beta: Column, z: Column) -> Column:
 def _held_statistics(trees: int, seed: int):
     """Class statistics of ``trees`` trees per held-out fold (-1: none), without a copy of the rows: a row has no weight in the
     trees that hold its fold out."""
-    def stat(i: Column) -> list[Column]:
-        fold = (F.floor(i / trees) - 1).cast("int")
-        w = F.when(F.col("fold") == fold, F.lit(0)).otherwise(T.bootstrap_weight(i % trees, seed=seed)).cast("long")
-        return [(w * F.col("y")).cast("long").alias("g"), w.alias("h")]
+    def stat(block: B.Block):
+        y, fold, event = block.array("y").astype(np.int64), block.array("fold"), block.array("event_id")
+        drawn = [T.weights(event, t, seed) for t in range(trees)]
+
+        def of(i: int):
+            w = np.where(fold == i // trees - 1, 0, drawn[i % trees])
+            return w * y, w
+        return of
     return stat
 
 
-def fit_forests(rows: DataFrame, keys: list[str], folds: int = FOLDS, trees: int = 8, depth: int = 3, seed: int = 0) -> DataFrame:
-    """``(*keys, fold, trees)``: a forest on all rows (fold -1) and one without each fold, grown together."""
-    cut = T.edges(rows, keys).transform(stored, "models")
-    binned = T.with_bins(rows, cut, keys).select(*keys, "event_id", "y", "fold", "bins").transform(stored, "models")
-    nodes = T.grow(binned, keys, trees * (folds + 1), depth, _held_statistics(trees, seed), min_rows=2, share=T.root_share, seed=seed)
-    grown = T.assemble(nodes, cut, keys, depth)
-    parts = F.array(*[F.struct(F.lit(f - 1).alias("fold"), F.slice("trees", f * trees + 1, trees).alias("trees")) for f in range(folds + 1)])
-    return grown.select(*keys, F.inline(parts))
+def fit_forests(packed: DataFrame, keys: list[str], folds: int = FOLDS, trees: int = 8, depth: int = 3, seed: int = 0) -> DataFrame:
+    """``(*keys, fold, trees)``: a forest on all rows (fold -1) and one without each fold, grown together. ``packed``: blocks of rows with
+    ``event_id``, ``x``, ``y``, ``fold``."""
+    cut = T.edges_of(packed, keys).transform(stored, "models")
+    blocks = T.binned(packed, cut, keys, ["event_id", "y", "fold"])
+    nodes = T.grow_blocks(blocks, keys, trees * (folds + 1), depth, _held_statistics(trees, seed), min_rows=2, share=T.root_share, seed=seed)
+    # the fold is a part of the key from here on: a tree without rows is missing in its own fold only
+    named = nodes.withColumn("fold", (F.floor(F.col("tree") / trees) - 1).cast("int"))
+    every = cut.drop("fit").withColumn("fold", F.explode(F.sequence(F.lit(-1), F.lit(folds - 1))))
+    return T.assemble(named, every, [*keys, "fold"], depth)
 
 
-def fit_boosted(spark: SparkSession, rows: DataFrame, keys: list[str], folds: int = FOLDS, **how) -> DataFrame:
+def fit_boosted(packed: DataFrame, keys: list[str], folds: int = FOLDS, stages: int = 10, depth: int = 2, rate: float = 0.3, ridge: float = 1.0,
+                min_rows: int = 2, tol: float = 1e-3) -> DataFrame:
     """``(*keys, fold, trees, base, rate)``: boosting on all rows (fold -1) and without each fold; the fold is a
-    part of the group key, since every fold moves its rows' margins by itself."""
-    copies = rows.withColumn("cv", F.explode(F.sequence(F.lit(-1), F.lit(folds - 1)))).filter("cv <> fold").drop("fold").withColumnRenamed("cv", "fold")
-    return T.fit_boosted_groups(spark, copies, [*keys, "fold"], **how)[0]
+    part of the group key, since every fold has its own edges and margins. Only the rows' bins are there once per fold."""
+    fits = list(range(-1, folds))
+    cut = T.edges_of(packed, keys, folds=True, fits=fits).transform(stored, "models")
+    blocks = T.binned(packed, cut, keys, ["y", "fold"], fits).drop("fold").withColumnRenamed("fit", "fold")
+    base = packed.mapInArrow(_class_counts(keys), f"{B.key_schema(packed, keys)}, fold int, y long, n long")
+    share = F.sum("y").cast("double") / F.sum("n").cast("double")
+    base = (base.select(*keys, F.col("fold").alias("own"), "y", "n", F.explode(F.lit(fits)).alias("fold")).filter("own <> fold")
+            .groupBy(*keys, "fold").agg(T.log_odds(share).alias("base")).transform(stored, "models"))
+    return T.boost_blocks(blocks, base, cut.withColumnRenamed("fit", "fold"), [*keys, "fold"], stages, depth, rate, ridge, min_rows, tol)[0]
+
+
+def _class_counts(keys: list[str]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in B.each(batches, keys):
+            y, fold = block.array("y"), block.array("fold")
+            types = block.types(keys) | {"fold": pa.int32(), "y": pa.int64(), "n": pa.int64()}
+            yield B.batch_of(types, [(*block.key, int(f), int(y[fold == f].sum()), int((fold == f).sum())) for f in np.unique(fold)])
+    return run
 
 
 def candidates(spark: SparkSession, train: DataFrame, keys: list[str] = KEYS) -> dict[str, DataFrame]:
     """Fitted models of every family, fold -1 (all train rows) to ``FOLDS`` - 1 (that fold held out). ``train``: keys, event_id,
     ``x``, ``z``, ``y``, ``fold``."""
     grid = [(f, c) for c in C_GRID for f in range(-1, FOLDS)]
-    return {"logistic": fit_logistic_arrays(train, keys, grid).transform(stored, "models"),
-            "forest": fit_forests(train, keys, FOLDS, **FOREST).transform(stored, "models"),
-            "boosted": fit_boosted(spark, train, keys, FOLDS, **BOOST).transform(stored, "models")}
+    packed = B.pack(train, keys, ["event_id", "y", "fold"], ["x", "z"])
+    return {"logistic": fit_logistic_arrays(packed, keys, grid).transform(stored, "models"),
+            "forest": fit_forests(packed, keys, FOLDS, **FOREST).transform(stored, "models"),
+            "boosted": fit_boosted(packed, keys, FOLDS, **BOOST).transform(stored, "models")}
 
 
 def _probability(family: str) -> Column:
