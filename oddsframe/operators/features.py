@@ -5,9 +5,9 @@ market features and history columns. ``resolve`` follows the names down to colum
 a set of vectors needs; ``feature_frame`` builds each of these once, however many vectors and features use it, and joins them to
 the matches; ``assemble`` evaluates the vectors of each match's league in their order.
 
-The matches are written to the shared checkpoint folder once: every history table starts from there, and its statistics per match
-are written too, as are the joined columns. So no plan holds more than one history table, and the driver plans, replans and keeps
-metrics of a few stages at a time. History tables are keyed by team and kick-off and joined on these, so a team with a third of all
+The matches are written to the shared checkpoint folder once: the history tables start from there, those of one kind (team, venue)
+from one prefix of totals, and their statistics per match are written too, as are the joined columns. So no plan holds more than one kind, and the driver plans,
+replans and keeps metrics of a few stages at a time. History tables are keyed by team and kick-off and joined on these, so a team with a third of all
 matches is no hot key.
 """
 
@@ -91,32 +91,43 @@ def history_needed(vectors: list[Vector]) -> dict[str, set[str]]:
     return need
 
 
-def _venue_sides(tables: set[str], n: int | None) -> list[tuple[str, str, int]]:
-    suffix = {None: ""}.get(n, str(n))
-    both = f"both{suffix}" in tables
-    return [(f"{side}_{at}{suffix}", f"{side}_id", venue) for side in ("home", "away")
-            for at, venue in (("athome", 1), ("ataway", 0)) if both or f"{at}{suffix}" in tables]
+def _suffix(n: int | None) -> str:
+    return "" if n is None else str(n)
 
 
-def _with_rates(df: DataFrame, prefixes: list[str], stats: set[str]) -> DataFrame:
-    keep = tuple(s for s in H.RATE_STATS if s in stats)
-    return df.select("event_id", *[c for p in prefixes for c in H.rates(p, stats=keep)])
+def _team_tables(m: DataFrame, base: DataFrame, need: dict[str, set[str]]) -> DataFrame:
+    """Statistics of both sides from all tables of a team's matches."""
+    names = {t: TABLES[t][1] for t in TABLES if t in need}
+    looked = H.two_sided(base, H.history_tables(M.team_long(m), H.LEAGUE_TEAM, names, H.written))
+    return looked.select("event_id", *[c for s in ("home", "away") for t in names for c in H.rates(f"{s}_{t}", stats=_in_order(need[t]))])
 
 
-def _both(df: DataFrame, tables: set[str], n: int | None) -> DataFrame:
-    """Both venues of a side together, from their totals."""
-    suffix = {None: ""}.get(n, str(n))
+def _venue_tables(m: DataFrame, base: DataFrame, need: dict[str, set[str]]) -> DataFrame:
+    """Statistics of both sides from all tables of a team's matches at a venue, or at both venues together from their totals."""
+    limits = {f"last{_suffix(n)}": n for n in dict.fromkeys(TABLES[t][1] for t in TABLES if t in need)}
+    both = any(t.startswith("both") for t in need)
+    sides = [(f"{side}_{at}", f"{side}_id", venue) for side in ("home", "away") for at, venue in (("athome", 1), ("ataway", 0))
+             if both or any(t.startswith(at) for t in need)]
+    out = H.lookup_sides(base, H.history_tables(M.team_long(m, with_flipped_venues=True), H.LEAGUE_TEAM_VENUE, limits, H.written), sides)
+    values = list(H.history_values())
     cols = []
-    for side in ("home", "away"):
-        a, b = f"{side}_athome{suffix}", f"{side}_ataway{suffix}"
-        if f"both{suffix}" in tables:
-            cols += [(F.coalesce(F.col(f"{a}_{v}"), F.lit(0)) + F.coalesce(F.col(f"{b}_{v}"), F.lit(0))).alias(f"{side}_both{suffix}_{v}")
-                     for v in H.history_values()]
-    return df.select("*", *cols)
+    for n in limits.values():
+        for p, _id, _venue in sides:
+            cols += [F.col(f"{p}_last{_suffix(n)}_{v}").alias(f"{p}{_suffix(n)}_{v}") for v in values]
+        if f"both{_suffix(n)}" in need:
+            cols += [sum((F.coalesce(f"{s}_{at}_last{_suffix(n)}_{v}", F.lit(0)) for at in ("athome", "ataway")), F.lit(0)).alias(
+                f"{s}_both{_suffix(n)}_{v}") for s in ("home", "away") for v in values]
+    return out.select("event_id", *cols).select("event_id", *[
+        c for s in ("home", "away") for t in sorted(need) for c in H.rates(f"{s}_{t}", stats=_in_order(need[t]))])
+
+
+def _in_order(stats: set[str]) -> tuple[str, ...]:
+    return tuple(s for s in H.RATE_STATS if s in stats)
 
 
 def feature_frame(spark: SparkSession, frame: DataFrame, vectors: list[Vector], seen: Column | None = None) -> DataFrame:
-    """``frame`` (a match frame) with all market features and the history columns that ``vectors`` reach.
+    """``frame`` (a match frame; its names only where a vector uses them) with all market features and the history columns that
+    ``vectors`` reach.
 
     ``seen`` says from which matches team codes are learnt (played ones unless given)."""
     return feature_columns(spark, frame.transform(stored, "features"), vectors, seen)
@@ -127,20 +138,12 @@ def feature_columns(spark: SparkSession, m: DataFrame, vectors: list[Vector], se
     need = history_needed(vectors)
     base = m.select("event_id", "event_type_id", "start_time", "home_id", "away_id")
     out = m
-    for kind, n in dict.fromkeys(TABLES[t] for t in TABLES if t in need):
-        mine = {t for t in need if TABLES[t] == (kind, n)}
-        stats = set().union(*(need[t] for t in mine))
+    for kind in dict.fromkeys(TABLES[t][0] for t in TABLES if t in need):
+        mine = {t: need[t] for t in need if TABLES[t][0] == kind}
         if kind == "team":
-            name = mine.copy().pop()
-            long = M.team_long(m)
-            table = H.expanding_table(long, H.LEAGUE_TEAM) if n is None else H.last_n_table(long, H.LEAGUE_TEAM, n)
-            side = _with_rates(H.two_sided(base, table, pfx=(f"home_{name}", f"away_{name}")), [f"home_{name}", f"away_{name}"], stats)
+            side = _team_tables(m, base, mine)
         elif kind == "venue":
-            flipped = M.team_long(m, with_flipped_venues=True)
-            table = (H.expanding_table(flipped, H.LEAGUE_TEAM_VENUE) if n is None
-                     else H.last_n_table(flipped, H.LEAGUE_TEAM_VENUE, n))
-            looked = _both(H.lookup_sides(base, table, _venue_sides(mine, n)), mine, n)
-            side = _with_rates(looked, [f"{s}_{t}" for s in ("home", "away") for t in sorted(mine)], stats)
+            side = _venue_tables(m, base, mine)
         elif kind == "joint":
             joint = H.joint_recent(M.team_long(m), m)
             side = joint.select("event_id", *[div(F.col(f"_{s[0]}{v}"), F.col(f"{s}_n")).alias(f"{s}_joint_{stat}")
@@ -149,8 +152,10 @@ def feature_columns(spark: SparkSession, m: DataFrame, vectors: list[Vector], se
             codes = encode_teams(m, M.is_played() if seen is None else seen)
             side = codes.select("event_id", F.col("home_idx").alias("home_team_code"), F.col("away_idx").alias("away_team_code"))
         out = out.join(side.transform(stored, "history"), "event_id", "left")
+    # names are no features: they are not carried through the joins
+    used = set().union(*(v.columns() for v in vectors)) if vectors else set()
+    known = out if out is m else out.drop(*[c for c, t in m.dtypes if t == "string" and c not in used]).transform(stored, "features")
     # market features are sums and quotients of the row's own columns: they are computed where they are read and never shuffled
-    known = out if out is m else out.transform(stored, "features")
     return known.select("*", *[c for group in market.GROUPS.values() for c in group()])
 
 
@@ -162,11 +167,11 @@ def values(vector: Vector) -> Column:
     return F.transform(cells, finite if vector.fill is None else lambda x: F.coalesce(finite(x), F.lit(vector.fill)))
 
 
-def assemble(frame: DataFrame, vectors: list[Vector], of_league: dict[int, tuple[str, ...]]) -> DataFrame:
-    """``(event_id, vector, values)``: one row per match and vector of its league, values in the vector's order."""
+def assemble(frame: DataFrame, vectors: list[Vector], of_league: dict[int, tuple[str, ...]], carry: list[str] | tuple[str, ...] = ()) -> DataFrame:
+    """``(event_id, *carry, vector, values)``: one row per match and vector of its league, values in the vector's order."""
     by_name = {v.name: v for v in vectors}
     rows = F.lit(None)
     for league, names in sorted(of_league.items()):
         rows = F.when(F.col("event_type_id") == league, F.array(*[
             F.struct(F.lit(n).alias("vector"), values(by_name[n]).alias("values")) for n in names])).otherwise(rows)
-    return frame.select("event_id", F.inline(rows))
+    return frame.select("event_id", *carry, F.inline(rows))

@@ -6,6 +6,8 @@ Every per-window computation runs for all (league, season, window) groups in one
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -90,15 +92,15 @@ def window_sizes(tf: DataFrame) -> DataFrame:
     return tf.groupBy(*WKEYS).agg(F.count(F.lit(1)).alias("n_window"))
 
 
-def chrono_split(tf: DataFrame) -> DataFrame:
+def chrono_split(tf: DataFrame, keep: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Position by (start_time, event_id) inside each window; train = pos*10 <= n*7
     (floor(0.7 n) rows, integer arithmetic so no float edge at n = 90, 170, 180).
 
     The window sizes table has one row per (league, season, window): at most 4 per
-    league and year, so it is broadcast."""
+    league and year, so it is broadcast. ``keep`` is as in ``prefix.time_prefix``."""
     pos = positions(tf, WKEYS, "start_time", ["event_id"], {"_one": F.lit(1)},
                     carry=[c for c in tf.columns if c not in WKEYS + ["start_time", "event_id"]],
-                    split_instant=INSTANT_BUCKET)
+                    split_instant=INSTANT_BUCKET, keep=keep)
     out = pos.drop("_one", "_one_cum").join(F.broadcast(window_sizes(tf)), WKEYS, "inner")
     return out.withColumn("is_train", (F.col("pos") * config.TRAIN_DEN
                                        <= F.col("n_window") * config.TRAIN_NUM).cast("int"))

@@ -22,6 +22,7 @@ from oddsframe import config
 from oddsframe.functions.helpers import div
 from oddsframe.operators import blocks as B
 from oddsframe.operators import features as FT
+from oddsframe.operators import history as H
 from oddsframe.operators import learn as L
 from oddsframe.operators import matches as M
 from oddsframe.operators import trees as T
@@ -44,11 +45,14 @@ def vector_rows(spark: SparkSession, t: Tables, vectors: list[FT.Vector], of_lea
     used = [v for v in vectors if v.name in of_league.values()]
     # the matches are written once, for the vectors, the split and the league gate
     m = M.match_frame(t, quote_policy="asof").transform(stored, "asof-matches")
-    x = FT.assemble(FT.feature_columns(spark, m, used), used, {league: (name,) for league, name in of_league.items()}).select(
-        "event_id", F.transform("values", lambda v: F.coalesce(v, F.lit(0.0))).alias("x")).transform(stored, "vectors")
+    known = FT.feature_columns(spark, m, used)
     large = L.league_sizes(t, m).filter(F.col("n_league") >= config.LEAGUE_MIN_MATCHES)
-    split = L.gated(L.chrono_split(L.train_frame(spark, t, matches=m))).join(large, "event_type_id", "left_semi")
-    return split.join(x, "event_id").withColumn("y", F.col("label_over")).transform(stored, "models")
+    split = L.gated(L.chrono_split(L.train_frame(spark, t, matches=m), H.written)).join(large, "event_type_id", "left_semi")
+    # vectors are made of the rows of the split only, behind the join
+    added = [c for c in split.columns if c not in known.columns]
+    both = known.filter(M.is_played() & F.col("over_odd").isNotNull()).join(split.select("event_id", *added), "event_id")
+    x = FT.assemble(both, used, {league: (name,) for league, name in of_league.items()}, carry=[c for c in split.columns if c != "event_id"])
+    return x.select(*split.columns, F.transform("values", lambda v: F.coalesce(v, F.lit(0.0))).alias("x"), F.col("label_over").alias("y")).transform(stored, "models")
 
 
 def k_best(train: DataFrame, keys: list[str], k: int = K_BEST) -> DataFrame:

@@ -16,6 +16,8 @@ one (keys, time), which is bounded by the rows of one key at one instant.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -31,15 +33,18 @@ def _bucket(col: Column, bucket: str | int | Column) -> Column:
 
 
 def time_prefix(df: DataFrame, keys: list[str], time_col: str, values: dict[str, Column],
-                bucket: str | int | Column = "month") -> DataFrame:
+                bucket: str | int | Column = "month", keep: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Returns keys, time, ``<v>_before`` (sum over strictly earlier times) and ``<v>_at``
     (sum at exactly this time) for every distinct (keys, time) of ``df``. NULL values
     count as 0, so rows carried only to make their time present contribute nothing.
-    ``time_col`` may be any orderable column; ``bucket`` is as in ``_bucket``."""
+    ``time_col`` may be any orderable column; ``bucket`` is as in ``_bucket``. ``keep`` (writes and reads back) is applied to the
+    totals per time and to the result, which are otherwise computed anew, from the rows, by each of their readers."""
     names = list(values)
     per_t = (df.groupBy(*keys, time_col)
                .agg(*[F.sum(F.coalesce(v, F.lit(0))).alias(n) for n, v in values.items()])
                .withColumn("_bk", _bucket(F.col(time_col), bucket)))
+    if keep is not None:
+        per_t = keep(per_t)
     per_b = per_t.groupBy(*keys, "_bk").agg(*[F.sum(n).alias(n) for n in names])
     wb = Window.partitionBy(*keys).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
     off = per_b.select(*keys, "_bk", *[F.coalesce(F.sum(n).over(wb), F.lit(0)).alias(f"_off_{n}")
@@ -49,14 +54,15 @@ def time_prefix(df: DataFrame, keys: list[str], time_col: str, values: dict[str,
                        *[F.coalesce(F.sum(n).over(wt), F.lit(0)).alias(f"_in_{n}") for n in names],
                        *[F.col(n).alias(f"{n}_at") for n in names])
     out = inb.join(off, [*keys, "_bk"], "inner")
-    return out.select(*keys, time_col,
-                      *[(F.col(f"_off_{n}") + F.col(f"_in_{n}")).alias(f"{n}_before") for n in names],
-                      *[f"{n}_at" for n in names])
+    out = out.select(*keys, time_col,
+                     *[(F.col(f"_off_{n}") + F.col(f"_in_{n}")).alias(f"{n}_before") for n in names],
+                     *[f"{n}_at" for n in names])
+    return out if keep is None else keep(out)
 
 
 def positions(df: DataFrame, keys: list[str], time_col: str, tiebreak: list[str],
               values: dict[str, Column], carry: list[str] | tuple[str, ...] = (),
-              bucket: str = "month", split_instant: int | None = None) -> DataFrame:
+              bucket: str = "month", split_instant: int | None = None, keep: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Row position ``pos`` (1-based, order time then tiebreak within keys), the row's
     own values and inclusive running totals ``<v>_cum``; ``carry`` columns pass through.
 
@@ -65,11 +71,11 @@ def positions(df: DataFrame, keys: list[str], time_col: str, tiebreak: list[str]
     adds no shuffle. When an instant can hold an unbounded number of rows (all matches
     of a league on one day), ``split_instant`` = id-bucket width ranks inside
     (instant, floor(id / width)) and adds per-bucket offsets from a partial count and a
-    window over the bucket counts: no window partition holds more than one bucket."""
+    window over the bucket counts: no window partition holds more than one bucket. ``keep`` is as in ``time_prefix``."""
     vals = {n: F.coalesce(v, F.lit(0)) for n, v in values.items()}
     base = df.select(*keys, time_col, *tiebreak, *carry, *[v.alias(f"_v_{n}") for n, v in vals.items()])
     pre = time_prefix(base, keys, time_col,
-                      {"_n": F.lit(1), **{n: F.col(f"_v_{n}") for n in vals}}, bucket)
+                      {"_n": F.lit(1), **{n: F.col(f"_v_{n}") for n in vals}}, bucket, keep)
     j = base.join(pre.select(*keys, time_col, "_n_before", *[f"{n}_before" for n in vals]),
                   [*keys, time_col], "inner")
     if split_instant is None:
